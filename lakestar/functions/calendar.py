@@ -51,10 +51,9 @@ def time_parts(column: Column) -> list[Column]:
 
 def late_days(start: Column, end: Column, allowed_days: Column) -> Column:
     """Whole days from `start` to `end` beyond the allowed ones; 0 if in time or still open."""
-    day = 24 * 60 * 60 * 1_000_000
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    over = F.floor((micros - allowed_days.cast("long") * day) / day)
-    return F.coalesce(F.greatest(over, F.lit(0)), F.lit(0)).cast("int")
+    over = (end - start) - F.make_dt_interval(allowed_days)
+    days = F.extract(F.lit("DAY"), over)
+    return F.coalesce(F.greatest(days, F.lit(0)), F.lit(0)).cast("int")
 
 
 def months_back(as_of: Column, months: int) -> tuple[Column, Column]:

@@ -27,11 +27,10 @@ def count_users(events: DataFrame, user: str, name: str = "users") -> DataFrame:
     return events.agg(F.count_distinct(user).alias(name))
 
 
-def never_seen(events: DataFrame, column: str, condition: Column) -> DataFrame:
-    """Values of `column` that occur, but not in the rows meeting `condition`."""
-    everything = events.select(column).distinct()
-    seen = events.where(condition).select(column).distinct()
-    return everything.join(seen, column, "left_anti")
+def never_seen(everything: DataFrame, seen: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Different values of `columns` that occur in `everything` but not in `seen`."""
+    values = everything.select(*columns).distinct()
+    return values.join(seen.select(*columns).distinct(), list(columns), "left_anti")
 
 
 def mark(events: DataFrame, condition: Column, name: str) -> DataFrame:

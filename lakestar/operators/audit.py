@@ -58,9 +58,9 @@ def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def range_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Smallest and largest value per numeric column."""
-    stats = df.agg(
-        *(f(c).cast("double").alias(f"{k}_{c}") for c in columns for k, f in _ENDS.items())
-    )
+    parts = {"min": F.min, "max": F.max}
+    ends = [f(c).cast("double").alias(f"{k}_{c}") for c in columns for k, f in parts.items()]
+    stats = df.agg(*ends)
     items = F.array(
         *(
             F.struct(
@@ -74,9 +74,6 @@ def range_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stats.select(F.inline(items))
 
 
-_ENDS = {"min": F.min, "max": F.max}
-
-
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, smallest and largest value per column, in one pass."""
     parts = {

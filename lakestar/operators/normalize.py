@@ -25,11 +25,15 @@ def split_parent_child(
     key: str,
     parent_columns: Sequence[str],
     child_id: str,
+    unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Second normal form: (parent: one row per key, child: the rest with its own id)."""
+    """Second normal form: (parent: one row per key, child: the rest with its own id).
+
+    Set `unique` when no two child rows are equal.
+    """
     parent = df.select(key, *parent_columns).distinct()
     child_columns = [c for c in df.columns if c not in parent_columns]
-    child = add_row_numbers(df.select(*child_columns), child_columns, child_id)
+    child = add_row_numbers(df.select(*child_columns), child_columns, child_id, unique=unique)
     return parent, child
 
 
