@@ -156,11 +156,11 @@ def counts_by_date(spark, sf):
 
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
-    WHERE l_orderkey = 338 AND l_linenumber = 4
+    WHERE l_orderkey = 3 AND l_linenumber = 2
 """)
 def lookup_session_item(spark, sf):
     lines = t.table(spark, sf, "lineitem")
-    found = lookup(lines, {"l_orderkey": 338, "l_linenumber": 4})
+    found = lookup(lines, {"l_orderkey": 3, "l_linenumber": 2})
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 

@@ -26,12 +26,15 @@ SALES = """
       JOIN supplier ON l_suppkey = s_suppkey
       JOIN nation sn ON s_nationkey = sn.n_nationkey JOIN region sr ON sn.n_regionkey = sr.r_regionkey)
 """
-DAY = F.dayofmonth("payment_date")
-MONTH = F.month("payment_date")
+
+
+def _with_month(rows):
+    return rows.withColumn("month", F.month("payment_date"))
 
 
 def _by_day(spark, sf, place):
-    return t.sales(spark, sf, buyer=[place], product=["category"]).withColumn("day", DAY)
+    rows = t.sales(spark, sf, buyer=[place], product=["category"])
+    return rows.withColumn("day", F.dayofmonth("payment_date"))
 
 
 def _top(place, where=""):
@@ -93,11 +96,11 @@ def revenue_by_country(spark, sf):
 
 @query(SALES + "SELECT month, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
 def revenue_by_month(spark, sf):
-    return olap.revenue_by(t.sales(spark, sf).withColumn("month", MONTH), ["month"], "amount")
+    return olap.revenue_by(_with_month(t.sales(spark, sf)), ["month"], "amount")
 
 
 def _month_country(spark, sf):
-    return t.sales(spark, sf, store=["store_country"]).withColumn("month", MONTH)
+    return _with_month(t.sales(spark, sf, store=["store_country"]))
 
 
 @query(SALES + "SELECT month, store_country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1, 2")
@@ -183,7 +186,7 @@ def count_by_district(spark, sf):
 """)
 def revenue_by_part_segment_month(spark, sf):
     """Ordered by month, then revenue; ties by title and city."""
-    rows = t.sales(spark, sf, buyer=["city"], product=["title"]).withColumn("month", MONTH)
+    rows = _with_month(t.sales(spark, sf, buyer=["city"], product=["title"]))
     sums = olap.revenue_by(rows, ["title", "city", "month"], "amount")
     return sums.orderBy("month", F.col("revenue").desc(), "title", "city")
 
@@ -193,7 +196,7 @@ def revenue_by_part_segment_month(spark, sf):
 """)
 def payment_detail(spark, sf):
     rows = t.sales(spark, sf, buyer=["city", "district"], product=["title"])
-    return rows.withColumn("month", MONTH).select(
+    return _with_month(rows).select(
         "title", "amount", "payment_date", "month", "city", "district"
     )
 

@@ -5,8 +5,29 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "smallint": T.ShortType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _schema(fields: str) -> T.StructType:
+    """Fields written as `name type, name type`. Needs no running session, unlike a DDL text."""
+
+    def data_type(text: str) -> T.DataType:
+        if text.startswith("decimal"):
+            return T.DecimalType(*map(int, text[8:-1].split(",")))
+        return _TYPES[text]
+
+    pairs = (field.split() for field in fields.split(", "))
+    return T.StructType([T.StructField(name, data_type(kind)) for name, kind in pairs])
 
 
 # --- event domain, raw -------------------------------------------------------------------------
@@ -45,6 +66,12 @@ TIME = _schema(
     "start_time timestamp, hour int, day int, week int, month int, year int, weekday int"
 )
 
+# The user table kept by the stream, with the order of its last event.
+LEVELS = _schema(
+    "userId int, firstName string, lastName string, gender string, level string, ts bigint,"
+    " sessionId int, itemInSession int"
+)
+
 EVENT_STAR = {
     "songplays": SONGPLAYS,
     "users": USERS,

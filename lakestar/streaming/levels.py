@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import StructType
 
 from lakestar import schemas
 from lakestar.operators.keyed import latest_by
@@ -13,15 +12,11 @@ from lakestar.sinks.files import read_snapshot, write_snapshot
 from lakestar.sources.events import with_user_id
 
 ORDER = ["ts", "sessionId", "itemInSession"]
-STATE = StructType.fromDDL(
-    "userId int, firstName string, lastName string, gender string, level string, ts bigint,"
-    " sessionId int, itemInSession int"
-)
 
 
 def level_rows(log: DataFrame, action: str = "NextSong") -> DataFrame:
     """Per log row what the level table keeps, including the order columns."""
-    return with_user_id(log.where(F.col("page") == action)).select(*STATE.names)
+    return with_user_id(log.where(F.col("page") == action)).select(*schemas.LEVELS.names)
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, number: int, root: str) -> None:
@@ -31,7 +26,7 @@ def apply_batch(spark: SparkSession, batch: DataFrame, number: int, root: str) -
     a batch that is run again writes the same snapshot.
     """
     rows = latest_by(level_rows(batch), ["userId"], ORDER)
-    before = read_snapshot(spark, root, STATE, before=number)
+    before = read_snapshot(spark, root, schemas.LEVELS, before=number)
     if before is not None:
         rows = latest_by(before.unionByName(rows), ["userId"], ORDER)
     write_snapshot(rows, root, number)
@@ -59,5 +54,5 @@ def follow_logs(
 
 def current_levels(spark: SparkSession, root: str) -> DataFrame | None:
     """The user table after the newest batch."""
-    state = read_snapshot(spark, root, STATE)
+    state = read_snapshot(spark, root, schemas.LEVELS)
     return None if state is None else state.drop(*ORDER)
