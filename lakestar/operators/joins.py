@@ -16,11 +16,11 @@ BROADCAST_ROWS = 1_000_000
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` marked for broadcast if it has at most `rows` rows, else left to the planner.
 
-    The probe stops at `rows + 1` rows. Other joins of the library carry no hint: the planner
-    broadcasts below `spark.sql.autoBroadcastJoinThreshold`, by file size or measured size.
+    For narrow tables whose size the planner cannot tell, such as filtered ones: counting them
+    costs less than shuffling the large side. Other joins of the library carry no hint, so the
+    planner broadcasts below `spark.sql.autoBroadcastJoinThreshold`, by file or measured size.
     """
-    probe = df.limit(rows + 1).count()
-    return F.broadcast(df) if probe <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def first_match(

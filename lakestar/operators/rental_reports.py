@@ -146,8 +146,9 @@ def customer_balance(
     payment: DataFrame,
     as_of: Column,
     charge_replacement: bool = False,
+    late_fee: int = 1,
 ) -> DataFrame:
-    """What every customer owes at `as_of`: fees, plus 1 per late day, minus payments.
+    """What every customer owes at `as_of`: rates, plus `late_fee` per late day, minus payments.
 
     All customers in one pass each over rentals and payments. With `charge_replacement`, a film
     overdue by more than twice its duration also costs its replacement.
@@ -155,23 +156,21 @@ def customer_balance(
     late = calendar.late_days(
         F.col("rental_date"), F.col("return_date"), F.col("rental_duration")
     )
-    money = "decimal(28,2)"
-    cost = F.sum("rental_rate") + F.sum(late)
+    cost = F.sum("rental_rate") + F.sum(late * F.lit(late_fee))
     if charge_replacement:
         lost = late > F.col("rental_duration") * 2
         cost = cost + F.sum(F.when(lost, F.col("replacement_cost")).otherwise(F.lit(0)))
     owed = (
         charges.where(F.col("rental_date") <= as_of)
         .groupBy("customer_id")
-        .agg(cost.cast(money).alias("_owed"))
+        .agg(cost.alias("_owed"))
     )
     paid = (
         payment.where(F.col("payment_date") <= as_of)
         .groupBy("customer_id")
-        .agg(F.sum("amount").cast(money).alias("_paid"))
+        .agg(F.sum("amount").alias("_paid"))
     )
-    zero = F.lit(0).cast(money)
-    balance = F.coalesce("_owed", zero) - F.coalesce("_paid", zero)
+    balance = F.coalesce("_owed", F.lit(0)) - F.coalesce("_paid", F.lit(0))
     return (
         customer.select("customer_id")
         .join(owed, "customer_id", "left")

@@ -170,11 +170,11 @@ def lookup_join_single(spark, sf):
     """
     part = t.table(spark, sf, "part")
     on = ["p_name", "p_brand", "price"]
-    parts = part.select("p_partkey", "p_name", "p_brand", t.money("p_retailprice").alias("price"))
+    parts = part.select("p_partkey", "p_name", "p_brand", t.cents("p_retailprice").alias("price"))
     promoted = part.where(F.col("p_type") == "PROMO").select(
         "p_name",
         "p_brand",
-        t.money("p_retailprice").alias("price"),
+        t.cents("p_retailprice").alias("price"),
         F.col("p_partkey").alias("song_id"),
     )
     matched = first_match(parts, promoted, on, ["song_id"]).select("p_partkey", "song_id")
@@ -233,11 +233,8 @@ def denormalize_orders(spark, sf):
 """)
 def revenue_by_part(spark, sf):
     """Revenue per title in one grouping after the join."""
-    lines = t.table(spark, sf, "lineitem")
-    joined = lines.join(t.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.groupBy(F.col("p_name").alias("title")).agg(
-        F.sum(t.money("l_extendedprice")).alias("revenue")
-    )
+    joined = t.order_lines(spark, sf).join(t.products(spark, sf), "film_id")
+    return t.in_units(joined.groupBy("title").agg(F.sum("amount").alias("revenue")), "revenue")
 
 
 @query("""
@@ -249,16 +246,11 @@ def revenue_by_part(spark, sf):
 """)
 def revenue_by_part_two_step(spark, sf):
     """The same revenue by counting equal prices per part first, then price times count."""
-    price = t.money("l_extendedprice").alias("price")
-    counts = t.table(spark, sf, "lineitem").groupBy("l_partkey", price).agg(
-        F.count("*").alias("n")
-    )
-    per_part = counts.groupBy("l_partkey").agg(
-        F.sum(F.col("price") * F.col("n").cast("decimal(18,0)")).alias("r")
-    )
-    part = t.table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("title"))
-    joined = per_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return joined.groupBy("title").agg(F.sum("r").cast("decimal(28,2)").alias("revenue"))
+    lines = t.order_lines(spark, sf)
+    counts = lines.groupBy("film_id", "amount").agg(F.count("*").alias("_n"))
+    named = counts.join(t.products(spark, sf), "film_id")
+    sums = named.groupBy("title").agg(F.sum(F.col("amount") * F.col("_n")).alias("revenue"))
+    return t.in_units(sums, "revenue")
 
 
 @query("""
@@ -267,9 +259,10 @@ def revenue_by_part_two_step(spark, sf):
 """)
 def sum_by_name(spark, sf):
     """A narrow table answers the sum per name without a join."""
-    return t.table(spark, sf, "part").groupBy("p_name").agg(
-        F.sum(t.money("p_retailprice")).alias("total"), F.count("*").alias("n")
+    sums = t.table(spark, sf, "part").groupBy("p_name").agg(
+        F.sum(t.cents("p_retailprice")).alias("total"), F.count("*").alias("n")
     )
+    return t.in_units(sums, "total")
 
 
 @query("""
@@ -279,9 +272,10 @@ def sum_by_name(spark, sf):
 """)
 def having_multi(spark, sf):
     grouped = t.table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.count("*").alias("orders"), F.sum(t.money("o_totalprice")).alias("total")
+        F.count("*").alias("orders"), F.sum(t.cents("o_totalprice")).alias("total")
     )
-    return grouped.where((F.col("orders") > 12) & (F.col("total") > 3000000))
+    kept = grouped.where((F.col("orders") > 12) & (F.col("total") > 3_000_000_00))
+    return t.in_units(kept, "total")
 
 
 @query("""
@@ -317,7 +311,7 @@ def avg_by_group_in_range(spark, sf):
         .where(shipped)
         .groupBy("l_partkey")
         .agg(
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_sum"),
+            F.sum(F.col("l_quantity").cast("long")).alias("_sum"),
             F.count("l_quantity").alias("_n"),
         )
     )

@@ -210,7 +210,7 @@ FACT = """
 
 @query(FACT)
 def fact_sales(spark, sf):
-    return rs.fact_sales(t.sales(spark, sf))
+    return t.in_units(rs.fact_sales(t.sales(spark, sf)), "sales_amount")
 
 
 @query(f"""
@@ -219,7 +219,8 @@ def fact_sales(spark, sf):
            * FROM ({FACT})
 """)
 def fact_sales_keyed(spark, sf):
-    return rs.number_sales(rs.fact_sales(t.sales(spark, sf)))
+    fact = rs.fact_sales(t.sales(spark, sf))
+    return t.in_units(rs.number_sales(fact), "sales_amount")
 
 
 @query("""
@@ -235,20 +236,14 @@ def role_playing_dim(spark, sf):
     """The nation table twice: the buyer's, and the seller's if it lies in another region."""
     customer = t.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     supplier = t.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    orders = t.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    lines = t.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_suppkey", t.money("l_extendedprice").alias("amount")
-    )
-    nation = t.table(spark, sf, "nation")
+    buyers = t.orders(spark, sf).join(customer, F.col("customer_id") == F.col("c_custkey"))
+    sellers = t.order_lines(spark, sf).join(supplier, F.col("store_id") == F.col("s_suppkey"))
     sums = (
-        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(
-            orders.join(customer, F.col("o_custkey") == F.col("c_custkey")),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
+        sellers.join(buyers, "order_id")
         .groupBy("c_nationkey", "s_nationkey")
         .agg(F.count("*").alias("lines"), F.sum("amount").alias("amount"))
     )
+    nation = t.table(spark, sf, "nation")
     buyer, seller = nation.alias("b"), nation.alias("s")
     named = sums.join(buyer, F.col("c_nationkey") == F.col("b.n_nationkey")).join(
         seller,
@@ -256,9 +251,11 @@ def role_playing_dim(spark, sf):
         & (F.col("s.n_regionkey") != F.col("b.n_regionkey")),
         "left",
     )
-    return named.groupBy(
-        F.col("b.n_name").alias("buyer_nation"), F.col("s.n_name").alias("seller_nation")
-    ).agg(F.sum("lines").alias("lines"), F.sum("amount").alias("revenue"))
+    keys = F.col("b.n_name").alias("buyer_nation"), F.col("s.n_name").alias("seller_nation")
+    totals = named.groupBy(*keys).agg(
+        F.sum("lines").alias("lines"), F.sum("amount").alias("revenue")
+    )
+    return t.in_units(totals, "revenue")
 
 
 @query("""
@@ -280,7 +277,7 @@ def star_spent_over(spark, sf):
             "c_name",
             "p_name",
             (F.col("c_acctbal") >= 0).alias("rewards"),
-            t.money("l_extendedprice").alias("spent"),
+            F.col("l_extendedprice").alias("spent"),
         )
     )
 
@@ -290,11 +287,10 @@ def star_spent_over(spark, sf):
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_suppkey, s_name
 """)
 def star_sum_per_store(spark, sf):
-    lines = t.table(spark, sf, "lineitem")
-    sums = lines.groupBy("l_suppkey").agg(F.sum(t.money("l_extendedprice")).alias("spent"))
+    sums = t.order_lines(spark, sf).groupBy("store_id").agg(F.sum("amount").alias("spent"))
     supplier = t.table(spark, sf, "supplier")
-    named = sums.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    return named.select(F.col("s_name").alias("store"), "spent")
+    named = sums.join(supplier, F.col("store_id") == F.col("s_suppkey"))
+    return t.in_units(named.select(F.col("s_name").alias("store"), "spent"), "spent")
 
 
 # --- event star --------------------------------------------------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import functions as F
 
 from lakestar.operators import olap
@@ -32,9 +30,13 @@ def _with_month(rows):
     return rows.withColumn("month", F.month("payment_date"))
 
 
-def _by_day(spark, sf, place):
+def _by_day(spark, sf, place, where=None):
+    """The largest sums per day, category and place."""
     rows = t.sales(spark, sf, buyer=[place], product=["category"])
-    return rows.withColumn("day", F.dayofmonth("payment_date"))
+    rows = rows.withColumn("day", F.dayofmonth("payment_date"))
+    return t.in_units(
+        olap.revenue_by(rows, ["day", "category", place], "amount", where, top=20), "revenue"
+    )
 
 
 def _top(place, where=""):
@@ -44,13 +46,12 @@ def _top(place, where=""):
 
 @query(_top("city"))
 def olap_simple_cube(spark, sf):
-    return olap.revenue_by(_by_day(spark, sf, "city"), ["day", "category", "city"], "amount", top=20)
+    return _by_day(spark, sf, "city")
 
 
 @query(_top("city", "WHERE category = 'PROMO'"))
 def olap_slice(spark, sf):
-    rows, where = _by_day(spark, sf, "city"), {"category": ["PROMO"]}
-    return olap.revenue_by(rows, ["day", "category", "city"], "amount", where, top=20)
+    return _by_day(spark, sf, "city", {"category": ["PROMO"]})
 
 
 @query(_top("city", "WHERE category IN ('PROMO', 'SMALL') AND city IN ('BUILDING', 'MACHINERY')"
@@ -61,51 +62,55 @@ def olap_dice(spark, sf):
         "city": ["BUILDING", "MACHINERY"],
         "day": [1, 15, 30],
     }
-    rows = _by_day(spark, sf, "city")
-    return olap.revenue_by(rows, ["day", "category", "city"], "amount", where, top=20)
+    return _by_day(spark, sf, "city", where)
 
 
 @query(_top("country"))
 def olap_rollup_level(spark, sf):
-    rows = _by_day(spark, sf, "country")
-    return olap.revenue_by(rows, ["day", "category", "country"], "amount", top=20)
+    return _by_day(spark, sf, "country")
 
 
 @query(_top("district"))
 def olap_drilldown_level(spark, sf):
-    rows = _by_day(spark, sf, "district")
-    return olap.revenue_by(rows, ["day", "category", "district"], "amount", top=20)
+    return _by_day(spark, sf, "district")
 
 
 @query("SELECT sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS revenue FROM lineitem")
 def revenue_total(spark, sf):
-    lines = t.table(spark, sf, "lineitem")
-    return lines.agg(F.sum(t.money("l_extendedprice")).alias("revenue"))
+    total = t.order_lines(spark, sf).agg(F.sum("amount").alias("revenue"))
+    return t.in_units(total, "revenue")
+
+
+def _with_store(sums, spark, sf):
+    """Sums per store with the attributes of the store: only the sums meet the store table."""
+    return sums.join(t.stores(spark, sf), "store_id")
 
 
 @query(SALES + "SELECT store_country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
 def revenue_by_country(spark, sf):
-    """Lines are summed per store first; only the sums meet the store table."""
-    lines = t.table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("store_id"), t.money("l_extendedprice").alias("amount")
-    )
-    per_store = olap.revenue_by(lines, ["store_id"], "amount", name="amount")
-    named = per_store.join(t.stores(spark, sf), "store_id")
-    return olap.revenue_by(named, ["store_country"], "amount")
+    per_store = olap.revenue_by(t.order_lines(spark, sf), ["store_id"], "amount", name="amount")
+    named = _with_store(per_store, spark, sf)
+    return t.in_units(olap.revenue_by(named, ["store_country"], "amount"), "revenue")
 
 
 @query(SALES + "SELECT month, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
 def revenue_by_month(spark, sf):
-    return olap.revenue_by(_with_month(t.sales(spark, sf)), ["month"], "amount")
+    rows = _with_month(t.order_sums(spark, sf))
+    return t.in_units(olap.revenue_by(rows, ["month"], "amount"), "revenue")
 
 
 def _month_country(spark, sf):
-    return _with_month(t.sales(spark, sf, store=["store_country"]))
+    """Sums per month and store with the store's country: far fewer rows than sales, so a cube
+    multiplies only these."""
+    rows = _with_month(t.sales(spark, sf))
+    sums = olap.revenue_by(rows, ["month", "store_id"], "amount", name="amount")
+    return _with_store(sums, spark, sf)
 
 
 @query(SALES + "SELECT month, store_country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1, 2")
 def revenue_by_month_country(spark, sf):
-    return olap.revenue_by(_month_country(spark, sf), ["month", "store_country"], "amount")
+    sums = olap.revenue_by(_month_country(spark, sf), ["month", "store_country"], "amount")
+    return t.in_units(sums, "revenue")
 
 
 @query(SALES + """
@@ -116,7 +121,8 @@ def revenue_by_month_country(spark, sf):
 def olap_grouping_sets(spark, sf):
     sets = [[], ["month"], ["store_country"], ["month", "store_country"]]
     rows = _month_country(spark, sf)
-    return olap.grouping_sets(rows, sets, ["month", "store_country"], "amount")
+    sums = olap.grouping_sets(rows, sets, ["month", "store_country"], "amount")
+    return t.in_units(sums, "revenue")
 
 
 @query(SALES + """
@@ -125,7 +131,8 @@ def olap_grouping_sets(spark, sf):
     FROM sales GROUP BY CUBE (month, store_country)
 """)
 def olap_cube(spark, sf):
-    return olap.cube(_month_country(spark, sf), ["month", "store_country"], "amount")
+    sums = olap.cube(_month_country(spark, sf), ["month", "store_country"], "amount")
+    return t.in_units(sums, "revenue")
 
 
 @query(SALES + """
@@ -136,7 +143,8 @@ def olap_cube(spark, sf):
     GROUP BY month, store_country
 """)
 def olap_cube_union(spark, sf):
-    return olap.cube_by_union(_month_country(spark, sf), "month", "store_country", "amount")
+    sums = olap.cube_by_union(_month_country(spark, sf), "month", "store_country", "amount")
+    return t.in_units(sums, "revenue")
 
 
 @query("""
@@ -146,12 +154,9 @@ def olap_cube_union(spark, sf):
 """)
 def top10_parts(spark, sf):
     """Best-selling titles. Lines are summed per part first, so a hot part is one row per task."""
-    lines = t.table(spark, sf, "lineitem").select(
-        F.col("l_partkey").alias("film_id"), t.money("l_extendedprice").alias("amount")
-    )
-    per_part = olap.revenue_by(lines, ["film_id"], "amount", name="amount")
+    per_part = olap.revenue_by(t.order_lines(spark, sf), ["film_id"], "amount", name="amount")
     named = per_part.join(t.products(spark, sf), "film_id")
-    return olap.revenue_by(named, ["title"], "amount", top=10)
+    return t.in_units(olap.revenue_by(named, ["title"], "amount", top=10), "revenue")
 
 
 @query(SALES + """
@@ -159,8 +164,11 @@ def top10_parts(spark, sf):
     ORDER BY revenue DESC, district LIMIT 10
 """)
 def top10_cities(spark, sf):
-    rows = t.sales(spark, sf, buyer=["district"])
-    return olap.revenue_by(rows, ["district"], "amount", top=10)
+    """Summed per order, then per customer, before a place is known."""
+    sums = t.order_sums(spark, sf)
+    per_buyer = olap.revenue_by(sums, ["customer_id"], "amount", name="amount")
+    placed = per_buyer.join(t.buyers(spark, sf, ["district"]), "customer_id")
+    return t.in_units(olap.revenue_by(placed, ["district"], "amount", top=10), "revenue")
 
 
 @query("""
@@ -187,7 +195,7 @@ def count_by_district(spark, sf):
 def revenue_by_part_segment_month(spark, sf):
     """Ordered by month, then revenue; ties by title and city."""
     rows = _with_month(t.sales(spark, sf, buyer=["city"], product=["title"]))
-    sums = olap.revenue_by(rows, ["title", "city", "month"], "amount")
+    sums = t.in_units(olap.revenue_by(rows, ["title", "city", "month"], "amount"), "revenue")
     return sums.orderBy("month", F.col("revenue").desc(), "title", "city")
 
 
@@ -196,7 +204,7 @@ def revenue_by_part_segment_month(spark, sf):
 """)
 def payment_detail(spark, sf):
     rows = t.sales(spark, sf, buyer=["city", "district"], product=["title"])
-    return _with_month(rows).select(
+    return _with_month(t.in_units(rows, "amount")).select(
         "title", "amount", "payment_date", "month", "city", "district"
     )
 
@@ -204,6 +212,11 @@ def payment_detail(spark, sf):
 # --- star benchmark ----------------------------------------------------------------------------
 
 
+def _revenue(df):
+    """Cents times percent as units."""
+    return t.in_units(df, "revenue", scale=10_000)
+
+
 @query("""
     SELECT sum(l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))::DOUBLE AS revenue
     FROM lineitem, orders
@@ -211,7 +224,7 @@ def payment_detail(spark, sf):
       AND l_discount::DECIMAL(4,2) BETWEEN 0.01 AND 0.03 AND l_quantity < 24
 """)
 def ssb_one_dim(spark, sf):
-    return ssb.one_dim(t.lineorder(spark, sf), 1997, Decimal("0.01"), Decimal("0.03"), 24)
+    return _revenue(ssb.one_dim(t.lineorder(spark, sf), 1997, 1, 3, 24))
 
 
 @query("""
@@ -224,13 +237,8 @@ def ssb_one_dim(spark, sf):
     GROUP BY d_year, p_brand1
 """)
 def ssb_two_dim(spark, sf):
-    return ssb.two_dim(
-        t.lineorder(spark, sf),
-        t.benchmark_part(spark, sf),
-        t.benchmark_supplier(spark, sf),
-        "PROMO",
-        "AMERICA",
-    )
+    part, supplier = t.benchmark_part(spark, sf), t.benchmark_supplier(spark, sf)
+    return _revenue(ssb.two_dim(t.lineorder(spark, sf), part, supplier, "PROMO", "AMERICA"))
 
 
 @query("""
@@ -245,7 +253,7 @@ def ssb_two_dim(spark, sf):
     GROUP BY 1, 2, 3
 """)
 def ssb_drill(spark, sf):
-    return ssb.drill(
+    rows = ssb.drill(
         t.lineorder(spark, sf),
         t.benchmark_customer(spark, sf),
         t.benchmark_supplier(spark, sf),
@@ -254,6 +262,7 @@ def ssb_drill(spark, sf):
         "1997-12-01",
         "1998-01-01",
     )
+    return _revenue(rows)
 
 
 @query("""
@@ -262,4 +271,4 @@ def ssb_drill(spark, sf):
     FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY l_shipdate
 """)
 def ssb_same_dist(spark, sf):
-    return ssb.same_dist(t.shipped_lines(spark, sf), t.benchmark_part(spark, sf))
+    return _revenue(ssb.same_dist(t.shipped_lines(spark, sf), t.benchmark_part(spark, sf)))

@@ -37,10 +37,10 @@ def _sellers_as_cast(spark, sf):
 
     A product has at most as many of them as there are nations, so its list stays short.
     """
-    pairs = t.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    lines = t.order_lines(spark, sf)
     supplier = t.table(spark, sf, "supplier")
-    cast = pairs.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("l_partkey").alias("film_id"), F.col("s_nationkey").alias("actor_id")
+    cast = lines.join(supplier, F.col("store_id") == F.col("s_suppkey")).select(
+        "film_id", F.col("s_nationkey").alias("actor_id")
     )
     nation = t.table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("actor_id"),
@@ -67,7 +67,8 @@ def _film_list(spark, sf, nice):
     cast, people = _sellers_as_cast(spark, sf)
     film = t.film(spark, sf)
     links, category = t.film_category(spark, sf), t.category(spark, sf)
-    return r.film_list(film, links, category, cast, people, nice_names=nice)
+    films = r.film_list(film, links, category, cast, people, nice_names=nice)
+    return t.in_units(films, "price")
 
 
 @query(_film_list_sql("replace(n_name, '_', ' ')"))
@@ -102,9 +103,8 @@ def actor_info_like(spark, sf):
     key = F.concat_ws("/", "p_type", "p_name").alias("film_id")
     film = part.select(key, F.col("p_name").alias("title")).distinct()
     links = part.select(key, F.col("p_type").alias("category_id")).distinct()
-    sold = t.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    roles = sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    cast = roles.select(F.col("l_suppkey").alias("actor_id"), key).distinct()
+    roles = t.order_lines(spark, sf).join(part, F.col("film_id") == F.col("p_partkey"))
+    cast = roles.select(F.col("store_id").alias("actor_id"), key).distinct()
     actor = t.staff(spark, sf).withColumnRenamed("staff_id", "actor_id")
     return r.actor_info(actor, cast, film, links, t.category(spark, sf))
 
@@ -163,7 +163,10 @@ def _balance(spark, sf, replacement):
     charges = rental.join(terms, "film_id")
     payment = t.payment(spark, sf)
     as_of = t.day("1999-06-30")
-    return r.customer_balance(t.customer(spark, sf), charges, payment, as_of, replacement)
+    balance = r.customer_balance(
+        t.customer(spark, sf), charges, payment, as_of, replacement, late_fee=100
+    )
+    return t.in_units(balance, "balance")
 
 
 @query(_balance_sql())
@@ -188,7 +191,7 @@ def rewards_report(spark, sf):
         F.col("c_custkey").alias("customer_id"), "c_name"
     )
     as_of = F.lit("1998-05-20").cast("date")
-    return r.rewards_report(customer, t.payment(spark, sf), 1, 100000, as_of)
+    return r.rewards_report(customer, t.payment(spark, sf), 1, 100_000_00, as_of)
 
 
 @query("""
@@ -196,10 +199,9 @@ def rewards_report(spark, sf):
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
 """)
 def sales_by_category(spark, sf):
-    lines = t.table(spark, sf, "lineitem").select(
-        F.col("l_partkey").alias("film_id"), t.money("l_extendedprice").alias("amount")
-    )
-    return r.sales_by_category(lines, t.film_category(spark, sf), t.category(spark, sf))
+    lines = t.order_lines(spark, sf)
+    sums = r.sales_by_category(lines, t.film_category(spark, sf), t.category(spark, sf))
+    return t.in_units(sums, "total_sales")
 
 
 @query(f"""
@@ -210,9 +212,7 @@ def sales_by_category(spark, sf):
     GROUP BY ALL
 """)
 def sales_by_store(spark, sf):
-    lines = t.table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("store_id"), t.money("l_extendedprice").alias("amount")
-    )
     staff = t.staff(spark, sf).select("staff_id", "first_name", "last_name")
     places = t.address_parts(spark, sf)
-    return r.sales_by_store(lines, t.store(spark, sf), staff, *places)
+    sums = r.sales_by_store(t.order_lines(spark, sf), t.store(spark, sf), staff, *places)
+    return t.in_units(sums, "total_sales")
