@@ -16,8 +16,6 @@ from lakestar.session import checkpointed
 
 # Row count of a key up to which its rows may meet in one task.
 KEY_ROWS = 5_000_000
-# Copies of one identical row that may be written out by one task.
-COPIES_PER_TASK = 1_000_000
 
 
 def _in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -33,10 +31,17 @@ def _in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def _before(df: DataFrame, partition: Sequence[str], order: str, value: str, out: str) -> DataFrame:
-    window = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    frame = window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.coalesce(F.sum(value).over(frame), F.lit(0)))
+def _tell_copies_apart(df: DataFrame) -> DataFrame:
+    """`df` with `_salt` and `_copy`, which differ between rows equal in all columns.
+
+    Equal rows are counted per input partition and written out again with a running number. This
+    does not depend on the order in which a task sees its rows, so a task that runs again after a
+    lost executor gives the same result; and no count exceeds the rows of one input partition.
+    """
+    salted = df.withColumn("_salt", F.spark_partition_id())
+    counted = salted.groupBy(*salted.columns).agg(F.count("*").alias("_n"))
+    copies = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)
+    return counted.withColumn("_copy", F.explode(copies)).drop("_n")
 
 
 def add_row_numbers(
@@ -49,51 +54,24 @@ def add_row_numbers(
     """A gapless key in the order of `order`, then of all other columns (nulls first).
 
     Same numbers as `row_number()` over that order. Set `unique` when no two rows are equal in
-    all columns; else equal rows are counted first and written out again at the end, so that a
-    row with very many copies never sits in one range partition.
+    all columns. Else a row may have any number of copies: they are told apart first, so that the
+    range partitioning can cut between them.
     """
     columns = df.columns
-    sort = [F.col(c).asc_nulls_first() for c in (*order, *(c for c in columns if c not in order))]
-    if unique:
-        placed = _in_order(df, sort)
-        sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-        # One row per partition: small whatever the size of the data.
-        offsets = _before(sizes, [], "_part", "_rows", "_offset").select("_part", "_offset")
-        numbered = placed.join(F.broadcast(offsets), "_part")
-        number = F.col("_offset") + F.col("_pos") + F.lit(start)
-        return numbered.select(number.alias(name), *columns)
-
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    placed = _in_order(counted, sort)
-    sizes = placed.groupBy("_part").agg(
-        F.sum("_copies").alias("_rows"), F.max("_copies").alias("_most")
-    )
-    offsets = _before(sizes, [], "_part", "_rows", "_offset").select("_part", "_offset")
-    inside = _before(placed, ["_part"], "_pos", "_copies", "_inside")
-    numbered = inside.join(F.broadcast(offsets), "_part").withColumn(
-        "_first", F.col("_offset") + F.col("_inside") + F.lit(start)
-    )
-    most = sizes.agg(F.max("_most")).first()[0] or 0
-    if most == 1:
-        return numbered.select(F.col("_first").alias(name), *columns)
-    if most <= COPIES_PER_TASK:
-        copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))
-        spread = numbered.withColumn("_copy", copy)
-        return spread.select((F.col("_first") + F.col("_copy")).alias(name), *columns)
-    blocks = F.sequence(
-        F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_PER_TASK).cast("long")
-    )
-    blocked = numbered.withColumn("_block", F.explode(blocks)).repartition(
-        "_part", "_pos", "_block"
-    )
-    end = F.least(F.col("_block") + F.lit(COPIES_PER_TASK - 1), F.col("_copies") - 1)
-    spread = blocked.withColumn("_copy", F.explode(F.sequence(F.col("_block"), end)))
-    return spread.select((F.col("_first") + F.col("_copy")).alias(name), *columns)
+    rows = df if unique else _tell_copies_apart(df)
+    placed = _in_order(rows, _sort([*order, *(c for c in rows.columns if c not in order)]))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
+    # One row per partition, whatever the size of the data: a window and a broadcast will do.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
+    number = F.col("_off") + F.col("_pos") + F.lit(start)
+    numbered = placed.join(F.broadcast(offsets), "_part")
+    return numbered.select(number.alias(name), *columns)
 
 
 def _sort(order: Sequence[str]) -> list[Column]:
     """Sort columns from names; a leading minus means descending."""
-    return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
 
 
 def _plain(order: Sequence[str]) -> list[str]:

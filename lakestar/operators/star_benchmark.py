@@ -44,7 +44,6 @@ def two_dim(
     """Revenue by year and brand, for one product category and supplier region."""
     brands = part.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
     suppliers = supplier.where(F.col("s_region") == region).select("s_suppkey")
-    # The suppliers only filter: a copy for every executor when they are few enough.
     rows = lineorder.join(
         small(suppliers), F.col("lo_suppkey") == F.col("s_suppkey"), "left_semi"
     ).join(brands, F.col("lo_partkey") == F.col("p_partkey"))
@@ -65,10 +64,11 @@ def drill(
     """Revenue between cities within some days, largest first per year."""
     buyers = customer.where(F.col("c_city").isin(list(customer_cities)))
     sellers = supplier.where(F.col("s_city").isin(list(supplier_cities)))
+    buyers, sellers = buyers.select("c_custkey", "c_city"), sellers.select("s_suppkey", "s_city")
     rows = (
         _between_days(lineorder, first, after)
-        .join(buyers.select("c_custkey", "c_city"), F.col("lo_custkey") == F.col("c_custkey"))
-        .join(sellers.select("s_suppkey", "s_city"), F.col("lo_suppkey") == F.col("s_suppkey"))
+        .join(small(sellers), F.col("lo_suppkey") == F.col("s_suppkey"))
+        .join(small(buyers), F.col("lo_custkey") == F.col("c_custkey"))
     )
     return (
         rows.groupBy("c_city", "s_city", F.year("lo_orderdate").alias("d_year"))

@@ -83,14 +83,14 @@ def revenue_total(spark, sf):
 
 def _with_store(sums, spark, sf):
     """Sums per store with the attributes of the store: only the sums meet the store table."""
-    return sums.join(t.stores(spark, sf), "store_id")
+    return sums.join(t.stores(spark, sf, ["country"]), "store_id")
 
 
-@query(SALES + "SELECT store_country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
+@query(SALES + "SELECT store_country AS country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
 def revenue_by_country(spark, sf):
     per_store = olap.revenue_by(t.order_lines(spark, sf), ["store_id"], "amount", name="amount")
     named = _with_store(per_store, spark, sf)
-    return t.in_units(olap.revenue_by(named, ["store_country"], "amount"), "revenue")
+    return t.in_units(olap.revenue_by(named, ["country"], "amount"), "revenue")
 
 
 @query(SALES + "SELECT month, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
@@ -107,43 +107,43 @@ def _month_country(spark, sf):
     return _with_store(sums, spark, sf)
 
 
-@query(SALES + "SELECT month, store_country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1, 2")
+@query(SALES + "SELECT month, store_country AS country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1, 2")
 def revenue_by_month_country(spark, sf):
-    sums = olap.revenue_by(_month_country(spark, sf), ["month", "store_country"], "amount")
+    sums = olap.revenue_by(_month_country(spark, sf), ["month", "country"], "amount")
     return t.in_units(sums, "revenue")
 
 
 @query(SALES + """
-    SELECT month, store_country, sum(amount)::DOUBLE AS revenue,
+    SELECT month, store_country AS country, sum(amount)::DOUBLE AS revenue,
            grouping(month, store_country)::INT AS grouping_id
     FROM sales GROUP BY GROUPING SETS ((), (month), (store_country), (month, store_country))
 """)
 def olap_grouping_sets(spark, sf):
-    sets = [[], ["month"], ["store_country"], ["month", "store_country"]]
+    sets = [[], ["month"], ["country"], ["month", "country"]]
     rows = _month_country(spark, sf)
-    sums = olap.grouping_sets(rows, sets, ["month", "store_country"], "amount")
+    sums = olap.grouping_sets(rows, sets, ["month", "country"], "amount")
     return t.in_units(sums, "revenue")
 
 
 @query(SALES + """
-    SELECT month, store_country, sum(amount)::DOUBLE AS revenue,
+    SELECT month, store_country AS country, sum(amount)::DOUBLE AS revenue,
            grouping(month, store_country)::INT AS grouping_id
     FROM sales GROUP BY CUBE (month, store_country)
 """)
 def olap_cube(spark, sf):
-    sums = olap.cube(_month_country(spark, sf), ["month", "store_country"], "amount")
+    sums = olap.cube(_month_country(spark, sf), ["month", "country"], "amount")
     return t.in_units(sums, "revenue")
 
 
 @query(SALES + """
-    SELECT NULL::VARCHAR AS month, NULL AS store_country, sum(amount)::DOUBLE AS revenue FROM sales
+    SELECT NULL::VARCHAR AS month, NULL AS country, sum(amount)::DOUBLE AS revenue FROM sales
     UNION ALL SELECT NULL, store_country, sum(amount)::DOUBLE FROM sales GROUP BY store_country
     UNION ALL SELECT month::VARCHAR, NULL, sum(amount)::DOUBLE FROM sales GROUP BY month
     UNION ALL SELECT month::VARCHAR, store_country, sum(amount)::DOUBLE FROM sales
     GROUP BY month, store_country
 """)
 def olap_cube_union(spark, sf):
-    sums = olap.cube_by_union(_month_country(spark, sf), "month", "store_country", "amount")
+    sums = olap.cube_by_union(_month_country(spark, sf), "month", "country", "amount")
     return t.in_units(sums, "revenue")
 
 

@@ -38,30 +38,30 @@ def day(text: str) -> Column:
 # --- sales star --------------------------------------------------------------------------------
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations (district) with their region (country)."""
+def places(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """Nations (district), with their region (country) if wanted."""
     nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.select(
-        "n_nationkey", F.col("n_name").alias("district"), F.col("r_name").alias("country")
-    )
+    if "country" in columns:
+        region = table(spark, sf_dir, "region")
+        nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        nation = nation.withColumn("country", F.col("r_name"))
+    return nation.withColumn("district", F.col("n_name")).select("n_nationkey", *columns)
 
 
-PLACE = ("district", "country")
+def _placed(spark: SparkSession, sf_dir: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`df`, which knows its nation, with its place as far as wanted."""
+    wanted = [c for c in columns if c in ("district", "country")]
+    return df.join(places(spark, sf_dir, wanted), "n_nationkey") if wanted else df
 
 
 def buyers(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
-    """Customers with the wanted columns; nations are joined only for a district or country."""
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer"),
         F.col("c_mktsegment").alias("city"),
         F.col("c_nationkey").alias("n_nationkey"),
     )
-    if set(columns) & set(PLACE):
-        customer = customer.join(places(spark, sf_dir), "n_nationkey")
-    return customer.select("customer_id", *columns)
+    return _placed(spark, sf_dir, customer, columns).select("customer_id", *columns)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,17 +73,13 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
-    joined = supplier.join(
-        places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    return joined.select(
+def stores(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("store_id"),
         F.col("s_name").alias("store"),
-        F.col("district").alias("store_district"),
-        F.col("country").alias("store_country"),
+        F.col("s_nationkey").alias("n_nationkey"),
     )
+    return _placed(spark, sf_dir, supplier, columns).select("store_id", *columns)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,10 +371,10 @@ def benchmark_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stores(spark, sf_dir).select(
+    return stores(spark, sf_dir, ["district", "country"]).select(
         F.col("store_id").alias("s_suppkey"),
-        F.col("store_district").alias("s_city"),
-        F.col("store_country").alias("s_region"),
+        F.col("district").alias("s_city"),
+        F.col("country").alias("s_region"),
     )
 
 

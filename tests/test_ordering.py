@@ -36,9 +36,7 @@ def test_unique_rows_numbered_as_row_number(events):
     )
 
 
-@pytest.mark.parametrize("block", [1_000_000, 7])
-def test_equal_rows_each_get_a_number(spark, events, monkeypatch, block):
-    monkeypatch.setattr(ordering, "COPIES_PER_TASK", block)
+def test_equal_rows_each_get_a_number(events):
     pairs = events.select("user", "v")
     numbered = ordering.add_row_numbers(pairs, ["user"], "n", start=0)
     order = Window.orderBy("user", "v")
@@ -84,6 +82,15 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert len(sizes) > 1 and max(sizes) < 20000 / 2
 
 
+def test_copies_of_one_row_are_spread_over_tasks(spark):
+    copies = spark.range(0, 20000, 1, 8).select(F.lit("same").alias("a"))
+    numbered = ordering.add_row_numbers(copies, ["a"], "n")
+    assert rows(numbered.agg(F.min("n"), F.max("n"), F.count_distinct("n"))) == [(1, 20000, 20000)]
+    told = ordering._tell_copies_apart(copies)
+    placed = ordering._in_order(told, [F.asc(c) for c in told.columns])
+    assert max(r[1] for r in placed.groupBy("_part").count().collect()) < 20000 / 2
+
+
 def test_checkpoint_folder_is_the_configured_one(spark):
     from lakestar.session import ensure_checkpoint_dir
 
