@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.operators.keyed import latest_by
-from lakestar.operators.ordering import KEY_ROWS, running_sum
+from lakestar.operators.ordering import running_sum
 
 
 def count_by_hour(events: DataFrame, time: str, name: str = "plays") -> DataFrame:
@@ -45,7 +45,7 @@ def with_phase(
     is_boundary: Column,
     name: str = "phase",
     peers: bool = False,
-    key_rows: int = KEY_ROWS,
+    key_rows: int | None = None,
 ) -> DataFrame:
     """Numbers the stretches of each user's events between boundary events.
 
@@ -64,7 +64,7 @@ def average_between(
     is_boundary: Column,
     is_counted: Column,
     name: str,
-    key_rows: int = KEY_ROWS,
+    key_rows: int | None = None,
 ) -> DataFrame:
     """Average number of counted events per user and stretch that has any."""
     wanted = events.where(is_boundary | is_counted)

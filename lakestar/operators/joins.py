@@ -13,14 +13,14 @@ from lakestar.operators.keyed import first_by
 BROADCAST_ROWS = 1_000_000
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """`df` marked for broadcast if it has at most `rows` rows, else left to the planner.
 
     For narrow tables whose size the planner cannot tell, such as filtered ones: counting them
     costs less than shuffling the large side. Other joins of the library carry no hint, so the
     planner broadcasts below `spark.sql.autoBroadcastJoinThreshold`, by file or measured size.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    return F.broadcast(df) if df.count() <= (rows or BROADCAST_ROWS) else df
 
 
 def first_match(

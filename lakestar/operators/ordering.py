@@ -89,16 +89,16 @@ def running_sum(
     value: str,
     name: str,
     peers: bool = False,
-    key_rows: int = KEY_ROWS,
+    key_rows: int | None = None,
 ) -> DataFrame:
     """Sum of `value` per key from the first row in `order` up to the current one.
 
     `order` names columns, a leading minus means descending. `peers=False` is a ROWS frame, with
     rows equal in `order` taken by their other columns; `peers=True` is a RANGE frame, where such
-    rows share one result. Keys within `key_rows` rows use a plain window. If some key has more,
-    its rows are spread over range partitions instead.
+    rows share one result. If every key has at most `key_rows` rows (default `KEY_ROWS`), a plain
+    window does it. If some key has more, the rows are spread over range partitions instead.
     """
-    if _largest_key(df, keys) <= key_rows:
+    if _largest_key(df, keys) <= (key_rows or KEY_ROWS):
         first = Window.unboundedPreceding
         if peers:
             window = Window.partitionBy(*keys).orderBy(*_sort(order))

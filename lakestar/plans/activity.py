@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakestar.operators import activity as a
+from lakestar.operators.joins import small
 from lakestar.plans import tables as t
 from lakestar.plans.registry import query
 from lakestar.sinks.tables import lookup
@@ -33,18 +34,17 @@ def distinct_users(spark, sf):
 
 
 @query("""
-    SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN (
+    SELECT DISTINCT p_brand AS brand FROM part WHERE p_brand NOT IN (
       SELECT p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       JOIN part ON l_partkey = p_partkey WHERE o_custkey = 10)
 """)
 def pages_not_visited(spark, sf):
     """Brands one customer has never ordered."""
-    orders = t.table(spark, sf, "orders").where(F.col("o_custkey") == 10)
-    lines = t.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    ordered = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
-    part = t.table(spark, sf, "part").select("p_partkey", "p_brand")
-    seen = part.join(ordered, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
-    return a.never_seen(part, seen, ["p_brand"])
+    own = t.orders(spark, sf).where(F.col("customer_id") == 10).select("order_id")
+    ordered = t.order_lines(spark, sf).join(small(own), "order_id", "left_semi")
+    products = t.products(spark, sf)
+    seen = products.join(ordered, "film_id", "left_semi")
+    return a.never_seen(products, seen, ["brand"])
 
 
 @query("""
