@@ -24,3 +24,26 @@ FUNCTIONS = {
 def register_sql_functions(spark: SparkSession) -> None:
     for signature, (returns, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {returns} RETURN {body}")
+
+# Table functions over the views `inventory` and `rental`.
+STOCK_FUNCTIONS = {
+    "film_in_stock(film INT, store INT) RETURNS TABLE (inventory_id INT)": (
+        "SELECT i.inventory_id FROM inventory i LEFT ANTI JOIN"
+        " (SELECT inventory_id FROM rental WHERE return_date IS NULL) o"
+        " ON i.inventory_id = o.inventory_id WHERE i.film_id = film AND i.store_id = store"
+    ),
+    "film_not_in_stock(film INT, store INT) RETURNS TABLE (inventory_id INT)": (
+        "SELECT i.inventory_id FROM inventory i LEFT SEMI JOIN"
+        " (SELECT inventory_id FROM rental WHERE return_date IS NULL) o"
+        " ON i.inventory_id = o.inventory_id WHERE i.film_id = film AND i.store_id = store"
+    ),
+    "item_held_by(item INT) RETURNS TABLE (customer_id INT)": (
+        "SELECT customer_id FROM rental WHERE return_date IS NULL AND inventory_id = item"
+    ),
+}
+
+
+def register_stock_functions(spark: SparkSession) -> None:
+    """For single films and items; whole tables are answered by `rental_reports`."""
+    for signature, body in STOCK_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

@@ -99,12 +99,14 @@ def actor_info_like(spark, sf):
 
     A film here is a title within a category, so a text holds each title once.
     """
-    part = t.table(spark, sf, "part")
-    key = F.concat_ws("/", "p_type", "p_name").alias("film_id")
-    film = part.select(key, F.col("p_name").alias("title")).distinct()
-    links = part.select(key, F.col("p_type").alias("category_id")).distinct()
-    roles = t.order_lines(spark, sf).join(part, F.col("film_id") == F.col("p_partkey"))
-    cast = roles.select(F.col("store_id").alias("actor_id"), key).distinct()
+    titles = t.products(spark, sf).select("film_id", "category", "title")
+    key = F.concat_ws("/", "category", "title").alias("film_id")
+    pairs = titles.select("category", "title").distinct()
+    film = pairs.select(key, "title")
+    links = pairs.select(key, F.col("category").alias("category_id"))
+    sold = t.order_lines(spark, sf).select("film_id", "store_id").join(titles, "film_id")
+    roles = sold.select("store_id", "category", "title").distinct()
+    cast = roles.select(F.col("store_id").alias("actor_id"), key)
     actor = t.staff(spark, sf).withColumnRenamed("staff_id", "actor_id")
     return r.actor_info(actor, cast, film, links, t.category(spark, sf))
 

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NAMES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-]
+from lakestar import schemas
+
+NAMES = list(schemas.GIVEN)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is declared, so no job has to look into the files first."""
+    return spark.read.schema(schemas.GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(column: str) -> Column:

@@ -14,6 +14,8 @@ _TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<float>": T.ArrayType(T.FloatType()),
     "array<string>": T.ArrayType(T.StringType()),
 }
 
@@ -191,3 +193,39 @@ TICKETS = _schema(
     " seat_section string, seat_row string, seat string, ticketholder_id double,"
     " ticket_price decimal(8,2)"
 )
+
+# --- the given tables --------------------------------------------------------------------------
+
+GIVEN = {
+    "region": _schema("r_regionkey int, r_name string"),
+    "nation": _schema("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": _schema(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": _schema("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": _schema(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+        " p_retailprice double"
+    ),
+    "orders": _schema(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": _schema(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": _schema(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+        " props string"
+    ),
+    "documents": _schema(
+        "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    ),
+    "embeddings": _schema("vec_id bigint, embedding array<float>, label int"),
+    "pages": _schema("page_id bigint, url string, html string"),
+    "benchmark": _schema("item_id bigint, text string"),
+    "labels": _schema("doc_id bigint, quality int, toxic int"),
+    "conversations": _schema("conv_id bigint, turn bigint, role string, text string"),
+}

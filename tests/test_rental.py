@@ -66,6 +66,18 @@ def test_stock(t):
     assert rows(r.item_holders(t["rental"])) == [(3, 1)]
 
 
+def test_stock_in_sql(spark, t):
+    from lakestar.functions.sql import register_stock_functions
+
+    t["inventory"].createOrReplaceTempView("inventory")
+    t["rental"].createOrReplaceTempView("rental")
+    register_stock_functions(spark)
+    assert rows(spark.sql("SELECT * FROM film_in_stock(1, 1)")) == [(1,), (2,)]
+    assert rows(spark.sql("SELECT * FROM film_in_stock(2, 1)")) == []
+    assert rows(spark.sql("SELECT * FROM film_not_in_stock(2, 1)")) == [(3,)]
+    assert rows(spark.sql("SELECT * FROM item_held_by(3)")) == [(1,)]
+
+
 def test_balance_counts_whole_late_days(t):
     charges = r.rental_charges(t["rental"], t["inventory"], t["film"])
     balance = r.customer_balance(t["customer"], charges, t["payment"], at("2005-06-30"))
