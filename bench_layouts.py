@@ -107,7 +107,7 @@ def main() -> None:
             lambda: orders.withColumn(
                 "n", F.row_number().over(Window.orderBy("payment_date", "order_id"))
             ),
-            lambda: add_row_numbers(orders, ["payment_date"], "n", unique=True),
+            lambda: add_row_numbers(orders, ["payment_date", "order_id"], "n", ties=[]),
         ),
     }
     queries = {}

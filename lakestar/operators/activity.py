@@ -46,14 +46,16 @@ def with_phase(
     name: str = "phase",
     peers: bool = False,
     key_rows: int | None = None,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Numbers the stretches of each user's events between boundary events.
 
     Counted from the latest event back (give `order` descending), so 0 is the stretch after the
-    last boundary. `peers=True` gives events at one time the same phase.
+    last boundary. `peers=True` gives events at one time the same phase; else `ties` settle which
+    of them comes first, by default all other columns.
     """
     marked = mark(events, is_boundary, "_boundary")
-    summed = running_sum(marked, [user], order, "_boundary", name, peers, key_rows)
+    summed = running_sum(marked, [user], order, "_boundary", name, peers, key_rows, ties)
     return summed.drop("_boundary")
 
 
@@ -67,9 +69,15 @@ def average_between(
     key_rows: int | None = None,
 ) -> DataFrame:
     """Average number of counted events per user and stretch that has any."""
-    wanted = events.where(is_boundary | is_counted)
-    phases = with_phase(wanted, user, order, is_boundary, "_phase", key_rows=key_rows)
-    counts = phases.where(is_counted).groupBy(user, "_phase").agg(F.count("*").alias("_n"))
+    # Only what the count needs: one row per event with its two marks.
+    marks = [is_boundary.alias("_is_boundary"), is_counted.alias("_is_counted")]
+    plain = [c.removeprefix("-") for c in order]
+    wanted = events.where(is_boundary | is_counted).select(user, *plain, *marks)
+    phases = with_phase(
+        wanted, user, order, F.col("_is_boundary"), "_phase", key_rows=key_rows
+    )
+    counted = phases.where("_is_counted")
+    counts = counted.groupBy(user, "_phase").agg(F.count("*").alias("_n"))
     return counts.agg((F.sum("_n") / F.count("*")).alias(name))
 
 

@@ -21,8 +21,8 @@ def songs_dim(songs: DataFrame) -> DataFrame:
 
 def songs_by_content(songs: DataFrame) -> DataFrame:
     """One row per distinct song content, numbered by title; ignores the source's song ids."""
-    content = songs.select("title", "artist_id", "year", "duration").distinct()
-    return add_row_numbers(content, ["title"], "song_id", unique=True)
+    columns = ["title", "artist_id", "year", "duration"]
+    return add_row_numbers(songs.select(*columns).distinct(), columns, "song_id", ties=[])
 
 
 def artists_variants(songs: DataFrame) -> DataFrame:

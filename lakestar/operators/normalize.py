@@ -25,15 +25,16 @@ def split_parent_child(
     key: str,
     parent_columns: Sequence[str],
     child_id: str,
-    unique: bool = False,
+    child_key: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Second normal form: (parent: one row per key, child: the rest with its own id).
 
-    Set `unique` when no two child rows are equal.
+    Child ids follow `child_key` if it tells the child rows apart, else all child columns.
     """
     parent = df.select(key, *parent_columns).distinct()
     child_columns = [c for c in df.columns if c not in parent_columns]
-    child = add_row_numbers(df.select(*child_columns), child_columns, child_id, unique=unique)
+    order, ties = (child_key, []) if child_key else (child_columns, None)
+    child = add_row_numbers(df.select(*child_columns), order, child_id, ties=ties)
     return parent, child
 
 
@@ -46,7 +47,7 @@ def extract_dimension(
     """
     columns = list(columns)
     values = df.select(*columns).distinct().dropna(how="all")
-    dimension = add_row_numbers(values, columns, key, unique=True)
+    dimension = add_row_numbers(values, columns, key, ties=[])
     renamed = dimension.select(F.col(key), *(F.col(c).alias(f"_r_{c}") for c in columns))
     match = F.lit(True)
     for c in columns:

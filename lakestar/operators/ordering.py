@@ -49,17 +49,22 @@ def add_row_numbers(
     order: Sequence[str],
     name: str,
     start: int = 1,
-    unique: bool = False,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
-    """A gapless key in the order of `order`, then of all other columns (nulls first).
+    """A gapless key in the order of `order`, then `ties` (nulls first).
 
-    Same numbers as `row_number()` over that order. Set `unique` when no two rows are equal in
-    all columns. Else a row may have any number of copies: they are told apart first, so that the
-    range partitioning can cut between them.
+    Same numbers as `row_number()` over that order, in which no two rows may be equal. Without
+    `ties` all other columns settle the order and rows may have any number of copies: these are
+    told apart first, so that the range partitioning can cut between them. Name short `ties` for
+    wide rows, as the range partitioning samples the columns it sorts by.
     """
     columns = df.columns
-    rows = df if unique else _tell_copies_apart(df)
-    placed = _in_order(rows, _sort([*order, *(c for c in rows.columns if c not in order)]))
+    if ties is None:
+        rows = _tell_copies_apart(df)
+        ties = [c for c in rows.columns if c not in order]
+    else:
+        rows = df
+    placed = _in_order(rows, _sort([*order, *(c for c in ties if c not in order)]))
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     # One row per partition, whatever the size of the data: a window and a broadcast will do.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -90,25 +95,29 @@ def running_sum(
     name: str,
     peers: bool = False,
     key_rows: int | None = None,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sum of `value` per key from the first row in `order` up to the current one.
 
     `order` names columns, a leading minus means descending. `peers=False` is a ROWS frame, with
-    rows equal in `order` taken by their other columns; `peers=True` is a RANGE frame, where such
-    rows share one result. If every key has at most `key_rows` rows (default `KEY_ROWS`), a plain
-    window does it. If some key has more, the rows are spread over range partitions instead.
+    rows equal in `order` taken by `ties` (by default all other columns); `peers=True` is a RANGE
+    frame, where such rows share one result. If every key has at most `key_rows` rows (default
+    `KEY_ROWS`), a plain window does it. If some key has more, the rows are spread over range
+    partitions instead.
     """
+    if ties is None:
+        ties = [c for c in df.columns if c not in keys and c not in _plain(order)]
     if _largest_key(df, keys) <= (key_rows or KEY_ROWS):
         first = Window.unboundedPreceding
         if peers:
             window = Window.partitionBy(*keys).orderBy(*_sort(order))
             frame = window.rangeBetween(first, Window.currentRow)
         else:
-            window = Window.partitionBy(*keys).orderBy(*_sort(_full_order(df, keys, order)))
+            window = Window.partitionBy(*keys).orderBy(*_sort([*order, *ties]))
             frame = window.rowsBetween(first, Window.currentRow)
         return df.withColumn(name, F.sum(value).over(frame))
     if not peers:
-        return _spread_rows(df, keys, order, value, name)
+        return _spread_rows(df, keys, [*order, *ties], value, name)
     # One row per group of peers: the group may be large, its sum is not.
     groups = df.groupBy(*keys, *_plain(order)).agg(F.sum(value).alias("_sum"))
     totals = _spread_rows(groups, keys, order, "_sum", name).drop("_sum")
@@ -117,10 +126,6 @@ def running_sum(
     return df.join(totals, _same(on)).select(*df.columns, name)
 
 
-def _full_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
-    return [*order, *(c for c in df.columns if c not in keys and c not in _plain(order))]
-
-
 def _same(columns: Sequence[str]) -> Column:
     match = F.lit(True)
     for c in columns:
@@ -131,7 +136,7 @@ def _same(columns: Sequence[str]) -> Column:
 def _spread_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
-    placed = _in_order(df, _sort([*keys, *_full_order(df, keys, order)]))
+    placed = _in_order(df, _sort([*keys, *order]))
     parts = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
     seen = Window.partitionBy(*keys).orderBy("_part")
     # A partition boundary falls inside at most one key, so the carried sums are fewer than the

@@ -43,7 +43,8 @@ def pages_not_visited(spark, sf):
     own = t.orders(spark, sf).where(F.col("customer_id") == 10).select("order_id")
     ordered = t.order_lines(spark, sf).join(small(own), "order_id", "left_semi")
     products = t.products(spark, sf)
-    seen = products.join(ordered, "film_id", "left_semi")
+    bought = ordered.select("film_id").distinct()
+    seen = products.join(bought, "film_id", "left_semi")
     return a.never_seen(products, seen, ["brand"])
 
 

@@ -42,9 +42,8 @@ def _document_lines(spark, sf):
 def normalize_2nf(spark, sf):
     """The line table: document attributes split off, every line with its own id."""
     rows = _document_lines(spark, sf)
-    return normalize.split_parent_child(
-        rows, "doc_id", ["lang", "source"], "line_id", unique=True
-    )[1]
+    key = ["doc_id", "line_no"]
+    return normalize.split_parent_child(rows, "doc_id", ["lang", "source"], "line_id", key)[1]
 
 
 @query("""
@@ -76,7 +75,7 @@ def recompose_3nf(spark, sf):
 """)
 def surrogate_key(spark, sf):
     orders = t.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return ordering.add_row_numbers(orders, ["o_orderdate"], "order_id", unique=True)
+    return ordering.add_row_numbers(orders, ["o_orderdate", "o_orderkey"], "order_id", ties=[])
 
 
 @query("""

@@ -21,13 +21,24 @@ SETTINGS = {
 }
 
 
+def partitions_for(input_bytes: int, per_partition: int = 200 << 20) -> int:
+    """Shuffle partitions so that one holds about 200 MB if everything is shuffled.
+
+    Adaptive execution merges what turns out smaller, but cannot raise the number.
+    """
+    return min(max(200, -(-input_bytes // per_partition)), 500_000)
+
+
 def build_session(
     name: str = "lakestar",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """A session with the library's settings. On a cluster leave `master` to spark-submit."""
+    """A session with the library's settings. On a cluster leave `master` to spark-submit.
+
+    Further settings are keywords with two underscores for a dot.
+    """
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)

@@ -29,8 +29,8 @@ def events(spark):
 
 
 def test_unique_rows_numbered_as_row_number(events):
-    numbered = ordering.add_row_numbers(events, ["ts", "user"], "n", unique=True)
-    order = Window.orderBy("ts", "user", "id", "v")
+    numbered = ordering.add_row_numbers(events, ["ts", "user"], "n", ties=["id"])
+    order = Window.orderBy("ts", "user", "id")
     assert rows(numbered, "n", "id") == rows(
         events.select(F.row_number().over(order).alias("n"), "id")
     )
@@ -48,7 +48,7 @@ def test_equal_rows_each_get_a_number(events):
 def test_row_numbers_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "a int, b string")
     assert ordering.add_row_numbers(empty, ["a"], "n").count() == 0
-    assert ordering.add_row_numbers(empty, ["a"], "n", unique=True).count() == 0
+    assert ordering.add_row_numbers(empty, ["a", "b"], "n", ties=[]).count() == 0
 
 
 @pytest.mark.parametrize("peers", [False, True])
