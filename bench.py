@@ -40,7 +40,8 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    names = os.environ.get("BENCH_QUERIES", "").split(",") if "BENCH_QUERIES" in os.environ else HEADLINE
+    wanted = os.environ.get("BENCH_QUERIES")
+    names = wanted.split(",") if wanted else HEADLINE
     spark = build_session(
         "bench",
         f"local[{cpus}]",

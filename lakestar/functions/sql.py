@@ -23,7 +23,8 @@ FUNCTIONS = {
 
 def register_sql_functions(spark: SparkSession) -> None:
     for signature, (returns, body) in FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {returns} RETURN {body}")
+        declared = f"{signature} RETURNS {returns}"
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {declared} RETURN {body}")
 
 # Table functions over the views `inventory` and `rental`.
 STOCK_FUNCTIONS = {

@@ -1,4 +1,4 @@
-"""Whole jobs, from raw files to finished tables. Run with spark-submit or `python -m lakestar.jobs`."""
+"""Whole jobs, from raw files to finished tables. Run with `python -m lakestar.jobs`."""
 
 from __future__ import annotations
 

@@ -98,3 +98,11 @@ def level_history(events: DataFrame, user: str, level: str, time: str) -> DataFr
     """The levels of level changers by day."""
     days = events.select(user, level, F.to_date(time).alias("day")).distinct()
     return days.join(level_changers(events, user, level), user, "left_semi")
+
+
+def level_changers_now(
+    events: DataFrame, user: str, level: str, order: Sequence[str]
+) -> DataFrame:
+    """The current level of level changers."""
+    current = latest_level(events, user, level, order)
+    return current.join(level_changers(events, user, level), user, "left_semi")

@@ -16,6 +16,8 @@ from lakestar.session import checkpointed
 
 # Row count of a key up to which its rows may meet in one task.
 KEY_ROWS = 5_000_000
+# Copies of one row written out from one list.
+BLOCK = 100_000
 
 
 def _in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -40,8 +42,12 @@ def _tell_copies_apart(df: DataFrame) -> DataFrame:
     """
     salted = df.withColumn("_salt", F.spark_partition_id())
     counted = salted.groupBy(*salted.columns).agg(F.count("*").alias("_n"))
-    copies = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)
-    return counted.withColumn("_copy", F.explode(copies)).drop("_n")
+    # In two steps, so that no list gets long.
+    starts = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BLOCK).cast("long"))
+    blocks = counted.withColumn("_block", F.explode(starts))
+    end = F.least(F.col("_block") + F.lit(BLOCK - 1), F.col("_n") - 1)
+    copies = blocks.withColumn("_copy", F.explode(F.sequence(F.col("_block"), end)))
+    return copies.drop("_n", "_block")
 
 
 def add_row_numbers(

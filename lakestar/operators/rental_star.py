@@ -18,7 +18,9 @@ def dim_date(events: DataFrame, column: str) -> DataFrame:
     return days.select(calendar.date_key(day).alias("date_key"), "date", *calendar.date_parts(day))
 
 
-def _with_place(df: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
+def _with_place(
+    df: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
+) -> DataFrame:
     return df.join(address, "address_id").join(city, "city_id").join(country, "country_id")
 
 

@@ -130,6 +130,14 @@ def level_changers_history(spark, sf):
     return a.level_history(t.activity(spark, sf), "user_id", "page", "ts")
 
 
+@query("""
+    SELECT user_id, arg_max(event_type, (ts, event_id)) AS page FROM events GROUP BY user_id
+    HAVING count(DISTINCT event_type) > 1
+""")
+def level_changers_now(spark, sf):
+    return a.level_changers_now(t.activity(spark, sf), "user_id", "page", ["ts", "event_id"])
+
+
 @query("SELECT (isodow(ts) - 1)::INT AS weekday, count(*) AS n FROM events GROUP BY 1")
 def counts_by_weekday(spark, sf):
     events = t.activity(spark, sf)

@@ -13,7 +13,7 @@ from lakestar.plans.registry import query
 from lakestar.sources.events import consolidate, drop_incomplete
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+@query("SELECT * FROM orders")
 def scan_parquet(spark, sf):
     return t.table(spark, sf, "orders")
 

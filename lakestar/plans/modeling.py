@@ -258,7 +258,7 @@ def role_playing_dim(spark, sf):
 
 
 @query("""
-    SELECT c_name, p_name, c_acctbal >= 0 AS rewards, l_extendedprice::DECIMAL(18,2)::DOUBLE AS spent
+    SELECT c_name, p_name, c_acctbal >= 0 AS rewards, l_extendedprice AS spent
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN part ON l_partkey = p_partkey WHERE l_extendedprice > 100000
 """)

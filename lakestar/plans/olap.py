@@ -20,9 +20,11 @@ SALES = """
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       JOIN part ON l_partkey = p_partkey
       JOIN customer ON o_custkey = c_custkey
-      JOIN nation cn ON c_nationkey = cn.n_nationkey JOIN region cr ON cn.n_regionkey = cr.r_regionkey
+      JOIN nation cn ON c_nationkey = cn.n_nationkey
+      JOIN region cr ON cn.n_regionkey = cr.r_regionkey
       JOIN supplier ON l_suppkey = s_suppkey
-      JOIN nation sn ON s_nationkey = sn.n_nationkey JOIN region sr ON sn.n_regionkey = sr.r_regionkey)
+      JOIN nation sn ON s_nationkey = sn.n_nationkey
+      JOIN region sr ON sn.n_regionkey = sr.r_regionkey)
 """
 
 
@@ -86,7 +88,9 @@ def _with_store(sums, spark, sf):
     return sums.join(t.stores(spark, sf, ["country"]), "store_id")
 
 
-@query(SALES + "SELECT store_country AS country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
+@query(SALES + """
+    SELECT store_country AS country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1
+""")
 def revenue_by_country(spark, sf):
     per_store = olap.revenue_by(t.order_lines(spark, sf), ["store_id"], "amount", name="amount")
     named = _with_store(per_store, spark, sf)
@@ -107,7 +111,9 @@ def _month_country(spark, sf):
     return _with_store(sums, spark, sf)
 
 
-@query(SALES + "SELECT month, store_country AS country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1, 2")
+@query(SALES + """
+    SELECT month, store_country AS country, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1, 2
+""")
 def revenue_by_month_country(spark, sf):
     sums = olap.revenue_by(_month_country(spark, sf), ["month", "country"], "amount")
     return t.in_units(sums, "revenue")

@@ -35,8 +35,8 @@ def _schema(fields: str) -> T.StructType:
 # --- event domain, raw -------------------------------------------------------------------------
 
 SONGS_RAW = _schema(
-    "num_songs int, artist_id string, artist_latitude decimal(10,6), artist_longitude decimal(10,6),"
-    " artist_location string, artist_name string, song_id string, title string,"
+    "num_songs int, artist_id string, artist_latitude decimal(10,6),"
+    " artist_longitude decimal(10,6), artist_location string, artist_name string, song_id string, title string,"
     " duration decimal(10,5), year int"
 )
 
@@ -62,7 +62,8 @@ SONGPLAYS = _schema(
 USERS = _schema("user_id int, first_name string, last_name string, gender string, level string")
 SONGS = _schema("song_id string, title string, artist_id string, year int, duration decimal(10,5)")
 ARTISTS = _schema(
-    "artist_id string, name string, location string, latitude decimal(10,6), longitude decimal(10,6)"
+    "artist_id string, name string, location string, latitude decimal(10,6),"
+    " longitude decimal(10,6)"
 )
 TIME = _schema(
     "start_time timestamp, hour int, day int, week int, month int, year int, weekday int"

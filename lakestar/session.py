@@ -14,7 +14,6 @@ SETTINGS = {
     # at the price of one more shuffle for that join only.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Checkpoints of frames that are no longer in use are removed.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",

@@ -13,16 +13,21 @@ def write_parquet(
     path: str,
     partition_by: Sequence[str] = (),
     mode: str = "errorifexists",
+    keep_other_partitions: bool = False,
 ) -> None:
     """Parquet files, one folder per value of `partition_by`.
 
+    Overwriting replaces the whole table, or with `keep_other_partitions` only the folders that
+    are written again.
+
     Rows of one folder are brought together first, or every task would write a small file into
     every folder. The rebalance hint lets the adaptive planner cut a folder that holds a large
     share of all rows into several tasks, which a plain `repartition` would not.
     """
     if partition_by:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
-    writer = df.write.mode(mode)
+    replaced = "dynamic" if keep_other_partitions else "static"
+    writer = df.write.mode(mode).option("partitionOverwriteMode", replaced)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

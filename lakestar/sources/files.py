@@ -110,7 +110,7 @@ def read_lines(spark: SparkSession, path: Paths) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
-    """Parquet, flat or partitioned. `base_path` keeps partition columns when reading a subfolder."""
+    """Parquet, flat or partitioned. `base_path` keeps partition columns of a subfolder."""
     reader = spark.read.option("basePath", base_path) if base_path else spark.read
     return reader.parquet(path)
 

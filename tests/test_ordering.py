@@ -36,7 +36,9 @@ def test_unique_rows_numbered_as_row_number(events):
     )
 
 
-def test_equal_rows_each_get_a_number(events):
+@pytest.mark.parametrize("block", [100_000, 7])
+def test_equal_rows_each_get_a_number(events, monkeypatch, block):
+    monkeypatch.setattr(ordering, "BLOCK", block)
     pairs = events.select("user", "v")
     numbered = ordering.add_row_numbers(pairs, ["user"], "n", start=0)
     order = Window.orderBy("user", "v")

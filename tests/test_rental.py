@@ -12,7 +12,10 @@ from tests.conftest import rows
 ROWS = {
     "country": [(1, "Canada")],
     "city": [(1, "Lethbridge", 1), (2, "Calgary", 1)],
-    "address": [(1, "47 Drive", None, "Alberta", 1, "T1", "555"), (2, "28 Way", None, "Alberta", 2, None, "556")],
+    "address": [
+        (1, "47 Drive", None, "Alberta", 1, "T1", "555"),
+        (2, "28 Way", None, "Alberta", 2, None, "556"),
+    ],
     "customer": [
         (1, 1, "MARY", "SMITH", "m@x", 1, True, date(2006, 2, 14), 1),
         (2, 1, "JO", "DOE", None, 2, False, date(2006, 2, 14), 0),
@@ -131,7 +134,8 @@ def test_sales(t):
     assert rows(r.sales_by_category(sales, t["film_category"], t["category"])) == [
         ("Action", D("16.48"))
     ]
-    by_store = r.sales_by_store(sales, t["store"], t["staff"].select("staff_id", "first_name", "last_name"), *place(t))
+    staff = t["staff"].select("staff_id", "first_name", "last_name")
+    by_store = r.sales_by_store(sales, t["store"], staff, *place(t))
     assert rows(by_store) == [(1, "Lethbridge,Canada", "Mike Hillyer", D("16.48"))]
 
 

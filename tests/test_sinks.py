@@ -19,10 +19,12 @@ def test_parquet_modes_and_partitions(spark, plays, tmp_path):
     assert sorted(p.split("/")[-1] for p in glob.glob(path + "/half=*")) == ["half=0", "half=1"]
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         files.write_parquet(plays, path, ["half"])
-    files.write_parquet(plays.where("half = 1").limit(1), path, ["half"], mode="overwrite")
+    one = plays.where("half = 1").limit(1)
+    files.write_parquet(one, path, ["half"], mode="overwrite", keep_other_partitions=True)
     back = spark.read.parquet(path)
-    # Only the folder that was written again is replaced.
     assert back.where("half = 0").count() == 12 and back.where("half = 1").count() == 1
+    files.write_parquet(one, path, ["half"], mode="overwrite")
+    assert spark.read.parquet(path).count() == 1
 
 
 def test_csv_quoting(spark, plays, tmp_path):
@@ -39,7 +41,8 @@ def test_create_append_and_drop(spark, plays):
     tables.create_table(spark, "users_t", schemas.USERS)
     tables.create_table(spark, "users_t", schemas.USERS)
     # Columns come in another order and one is missing.
-    new = spark.createDataFrame([("paid", 7, "Ann")], "level string, user_id int, first_name string")
+    columns = "level string, user_id int, first_name string"
+    new = spark.createDataFrame([("paid", 7, "Ann")], columns)
     tables.append_by_name(new, "users_t")
     tables.append_by_name(new, "users_t")
     assert rows(spark.table("users_t")) == [(7, "Ann", None, None, "paid")] * 2
@@ -65,7 +68,8 @@ def test_query_first_layout(spark, plays, tmp_path):
     found = tables.lookup(stored, {"session": 3}, ["item"]).select("item", "song")
     assert [tuple(r) for r in found.collect()] == [(i, f"song{i}") for i in range(4)]
     assert tables.lookup(stored, {"song": "song2"}).count() == 6
-    assert "PushedFilters: [IsNotNull(session), EqualTo(session,3)]" in found._jdf.queryExecution().toString()
+    pushed = "PushedFilters: [IsNotNull(session), EqualTo(session,3)]"
+    assert pushed in found._jdf.queryExecution().toString()
 
 
 def test_bucketed_join_has_no_shuffle(spark, plays, settings):

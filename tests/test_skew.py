@@ -12,7 +12,8 @@ def lines(spark):
     """60,000 lines, half of them of order 0."""
     ids = spark.range(60_000)
     order = F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id"))
-    return ids.select(order.alias("k"), F.col("id").alias("v"), F.repeat(F.lit("x"), 50).alias("pad"))
+    pad = F.repeat(F.lit("x"), 50).alias("pad")
+    return ids.select(order.alias("k"), F.col("id").alias("v"), pad)
 
 
 def plan(df):
