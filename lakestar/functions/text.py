@@ -29,17 +29,13 @@ def group_concat(
 ) -> DataFrame:
     """The values of each group as one text, in value order; nulls are left out.
 
-    Values are counted per group before the shuffle, so copies travel once.
+    The text is one cell, so this is for groups that are small by nature. With `distinct`, copies
+    of a value are dropped before the shuffle to the group.
     """
-    counted = df.groupBy(*keys, column).agg(F.count("*").alias("_n"))
-    item = F.col(column)
-    if not distinct:
-        # repeat() would need the separator between copies only.
-        copies = F.array_repeat(item, F.col("_n").cast("int"))
-        item = F.when(F.col(column).isNotNull(), F.array_join(copies, sep))
-    counted = counted.withColumn("_item", item)
-    text = f"listagg(_item, '{sep}') within group (order by `{column}`)"
-    return counted.groupBy(*keys).agg(F.expr(text).alias(name))
+    if distinct:
+        df = df.select(*keys, column).distinct()
+    text = f"listagg(`{column}`, '{sep}') within group (order by `{column}`)"
+    return df.groupBy(*keys).agg(F.expr(text).alias(name))
 
 
 def words(df: DataFrame, column: str, pattern: str = r"\s+") -> DataFrame:

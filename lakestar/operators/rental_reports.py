@@ -99,7 +99,7 @@ def actor_info(
     )
     titles = group_concat(roles, ["actor_id", "_category"], "title", "_titles")
     lines = titles.withColumn("_line", F.concat("_category", F.lit(": "), "_titles"))
-    info = group_concat(lines, ["actor_id"], "_line", "film_info", distinct=True)
+    info = group_concat(lines, ["actor_id"], "_line", "film_info")
     return actor.select("actor_id", "first_name", "last_name").join(info, "actor_id", "left")
 
 

@@ -28,14 +28,9 @@ SALES = """
 """
 
 
-def _with_month(rows):
-    return rows.withColumn("month", F.month("payment_date"))
-
-
 def _by_day(spark, sf, place, where=None):
     """The largest sums per day, category and place."""
     rows = t.sales(spark, sf, buyer=[place], product=["category"])
-    rows = rows.withColumn("day", F.dayofmonth("payment_date"))
     return t.in_units(
         olap.revenue_by(rows, ["day", "category", place], "amount", where, top=20), "revenue"
     )
@@ -99,15 +94,14 @@ def revenue_by_country(spark, sf):
 
 @query(SALES + "SELECT month, sum(amount)::DOUBLE AS revenue FROM sales GROUP BY 1")
 def revenue_by_month(spark, sf):
-    rows = _with_month(t.order_sums(spark, sf))
+    rows = t.order_sums(spark, sf)
     return t.in_units(olap.revenue_by(rows, ["month"], "amount"), "revenue")
 
 
 def _month_country(spark, sf):
     """Sums per month and store with the store's country: far fewer rows than sales, so a cube
     multiplies only these."""
-    rows = _with_month(t.sales(spark, sf))
-    sums = olap.revenue_by(rows, ["month", "store_id"], "amount", name="amount")
+    sums = olap.revenue_by(t.sales(spark, sf), ["month", "store_id"], "amount", name="amount")
     return _with_store(sums, spark, sf)
 
 
@@ -200,7 +194,7 @@ def count_by_district(spark, sf):
 """)
 def revenue_by_part_segment_month(spark, sf):
     """Ordered by month, then revenue; ties by title and city."""
-    rows = _with_month(t.sales(spark, sf, buyer=["city"], product=["title"]))
+    rows = t.sales(spark, sf, buyer=["city"], product=["title"])
     sums = t.in_units(olap.revenue_by(rows, ["title", "city", "month"], "amount"), "revenue")
     return sums.orderBy("month", F.col("revenue").desc(), "title", "city")
 
@@ -210,7 +204,7 @@ def revenue_by_part_segment_month(spark, sf):
 """)
 def payment_detail(spark, sf):
     rows = t.sales(spark, sf, buyer=["city", "district"], product=["title"])
-    return _with_month(t.in_units(rows, "amount")).select(
+    return t.in_units(rows, "amount").select(
         "title", "amount", "payment_date", "month", "city", "district"
     )
 

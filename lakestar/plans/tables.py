@@ -93,10 +93,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the parts of their day, worked out before they meet their lines."""
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("payment_date"),
+        F.month("o_orderdate").alias("month"),
+        F.dayofmonth("o_orderdate").alias("day"),
     )
 
 

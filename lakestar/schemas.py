@@ -36,8 +36,8 @@ def _schema(fields: str) -> T.StructType:
 
 SONGS_RAW = _schema(
     "num_songs int, artist_id string, artist_latitude decimal(10,6),"
-    " artist_longitude decimal(10,6), artist_location string, artist_name string, song_id string, title string,"
-    " duration decimal(10,5), year int"
+    " artist_longitude decimal(10,6), artist_location string, artist_name string,"
+    " song_id string, title string, duration decimal(10,5), year int"
 )
 
 LOG_RAW = _schema(
