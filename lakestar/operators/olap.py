@@ -40,6 +40,11 @@ def revenue_by(
     return result.orderBy(F.col(name).desc(), *keys).limit(top)
 
 
+def _finest(rows: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """Sums per full key. Coarser sums are made from these, so only they are multiplied per set."""
+    return rows.groupBy(*keys).agg(F.sum(measure).alias(measure))
+
+
 def grouping_sets(
     rows: DataFrame,
     sets: Sequence[Sequence[str]],
@@ -48,7 +53,8 @@ def grouping_sets(
 ) -> DataFrame:
     """Sums for several key sets in one pass. `grouping_id` tells a total from a null key."""
     columns = [[F.col(c) for c in one] for one in sets]
-    grouped = rows.groupingSets(columns, *(F.col(k) for k in keys))
+    finest = _finest(rows, keys, measure)
+    grouped = finest.groupingSets(columns, *(F.col(k) for k in keys))
     return grouped.agg(
         F.sum(measure).alias("revenue"), F.grouping_id().cast("int").alias("grouping_id")
     )
@@ -56,7 +62,7 @@ def grouping_sets(
 
 def cube(rows: DataFrame, keys: Sequence[str], measure: str = "sales_amount") -> DataFrame:
     """Sums for every subset of `keys`, in one pass over the rows."""
-    return rows.cube(*keys).agg(
+    return _finest(rows, keys, measure).cube(*keys).agg(
         F.sum(measure).alias("revenue"), F.grouping_id().cast("int").alias("grouping_id")
     )
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,30 @@ def test_broadcast_only_below_the_bound(spark):
     hinted = joins.small(spark.range(10), rows=10)._jdf.queryExecution().logical().toString()
     plain = joins.small(spark.range(11), rows=10)._jdf.queryExecution().logical().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_writes_one_by_one_give_the_same_table(spark, seed):
+    rng = random.Random(seed)
+    users = {u: (f"n{u}", "free", 0) for u in range(0, 20, 2)}
+    writes = [
+        (rng.choice([3, rng.randrange(25)]), f"w{i}", rng.choice(["free", "paid", None]), i + 1)
+        for i in range(200)
+    ]
+    updated, ignored, last = dict(users), dict(users), {}
+    for user, name, level, ts in writes:
+        if user in updated:
+            updated[user] = (updated[user][0], level, updated[user][2])
+        else:
+            updated[user] = (name, level, ts)
+        ignored.setdefault(user, (name, level, ts))
+        last[user] = (name, level, ts)
+    target = spark.createDataFrame([(u, *v) for u, v in users.items()], SCHEMA)
+    source = spark.createDataFrame(writes, SCHEMA).orderBy(F.rand(seed))
+
+    def table(state):
+        return sorted(((u, *v) for u, v in state.items()), key=repr)
+
+    assert rows(keyed.upsert(target, source, ["user"], ["level"], ["ts"])) == table(updated)
+    assert rows(keyed.insert_ignore(target, source, ["user"], ["ts"])) == table(ignored)
+    assert rows(keyed.latest_by(source, ["user"], ["ts"])) == table(last)
