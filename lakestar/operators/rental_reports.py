@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 from lakestar.functions import calendar
 from lakestar.functions.text import capitalized, full_name, group_concat
-
-
-def _placed(people: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame):
-    return people.join(address, "address_id").join(city, "city_id").join(country, "country_id")
+from lakestar.operators.joins import small
+from lakestar.operators.rental_star import with_place
 
 
 def customer_list(
     customer: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
 ) -> DataFrame:
     """Customers flat, with name, place and an activity note."""
-    return _placed(customer, address, city, country).select(
+    return with_place(customer, address, city, country).select(
         F.col("customer_id").alias("id"),
         full_name("first_name", "last_name").alias("name"),
         "address",
@@ -34,7 +32,7 @@ def staff_list(
     staff: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
 ) -> DataFrame:
     """Staff flat, with name and place."""
-    return _placed(staff, address, city, country).select(
+    return with_place(staff, address, city, country).select(
         F.col("staff_id").alias("id"),
         full_name("first_name", "last_name").alias("name"),
         "address",
@@ -46,6 +44,12 @@ def staff_list(
     )
 
 
+def _named(category: DataFrame, name: str) -> DataFrame:
+    """Category names by id. Few categories share all films, so they should not be a join key
+    that rows are shuffled by."""
+    return small(category.select("category_id", F.col("name").alias(name)))
+
+
 def film_list(
     film: DataFrame,
     film_category: DataFrame,
@@ -63,11 +67,10 @@ def film_list(
         if nice_names
         else full_name("first_name", "last_name")
     )
-    cast = film_actor.join(actor.select("actor_id", name.alias("_name")), "actor_id")
+    names = small(actor.select("actor_id", name.alias("_name")))
+    cast = film_actor.join(names, "actor_id")
     actors = group_concat(cast, ["film_id"], "_name", "actors")
-    categories = film_category.join(
-        category.select("category_id", F.col("name").alias("category")), "category_id"
-    )
+    categories = film_category.join(_named(category, "category"), "category_id")
     return (
         film.join(categories, "film_id")
         .join(actors, "film_id")
@@ -92,11 +95,9 @@ def actor_info(
     category: DataFrame,
 ) -> DataFrame:
     """Actors with `category: title, title` texts; null for an actor without films."""
-    roles = (
-        film_actor.join(film.select("film_id", "title"), "film_id")
-        .join(film_category, "film_id")
-        .join(category.select("category_id", F.col("name").alias("_category")), "category_id")
-    )
+    categories = film_category.join(_named(category, "_category"), "category_id")
+    titled = film.select("film_id", "title").join(categories, "film_id")
+    roles = film_actor.join(titled, "film_id")
     titles = group_concat(roles, ["actor_id", "_category"], "title", "_titles")
     lines = titles.withColumn("_line", F.concat("_category", F.lit(": "), "_titles"))
     info = group_concat(lines, ["actor_id"], "_line", "film_info")
@@ -204,10 +205,9 @@ def sales_by_category(
 ) -> DataFrame:
     """Sales per category. Sales are summed per film first, so a best-seller joins as one row."""
     per_film = sales.groupBy("film_id").agg(F.sum("amount").alias("_amount"))
-    named = per_film.join(film_category, "film_id").join(category, "category_id")
-    return named.groupBy(F.col("name").alias("category")).agg(
-        F.sum("_amount").alias("total_sales")
-    )
+    categories = film_category.join(_named(category, "category"), "category_id")
+    named = per_film.join(categories, "film_id")
+    return named.groupBy("category").agg(F.sum("_amount").alias("total_sales"))
 
 
 def sales_by_store(
@@ -224,7 +224,7 @@ def sales_by_store(
         F.col("staff_id").alias("manager_staff_id"),
         full_name("first_name", "last_name").alias("manager"),
     )
-    placed = _placed(
+    placed = with_place(
         per_store.join(store, "store_id").join(manager, "manager_staff_id"), address, city, country
     )
     return placed.select(

@@ -18,17 +18,23 @@ def dim_date(events: DataFrame, column: str) -> DataFrame:
     return days.select(calendar.date_key(day).alias("date_key"), "date", *calendar.date_parts(day))
 
 
-def _with_place(
+def with_place(
     df: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
 ) -> DataFrame:
-    return df.join(address, "address_id").join(city, "city_id").join(country, "country_id")
+    """`df` with its address, city and country.
+
+    The places are put together first, so `df` is joined once, by address, and never by a city or
+    country that very many rows may share.
+    """
+    places = address.join(city.join(country, "country_id"), "city_id")
+    return df.join(places, "address_id")
 
 
 def dim_customer(
     customer: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame, as_of: Column
 ) -> DataFrame:
     """Customers with their place. The validity dates are both `as_of`."""
-    placed = _with_place(customer, address, city, country)
+    placed = with_place(customer, address, city, country)
     return placed.select(
         F.col("customer_id").alias("customer_key"),
         "customer_id",
@@ -86,7 +92,7 @@ def dim_store(
         F.col("first_name").alias("manager_first_name"),
         F.col("last_name").alias("manager_last_name"),
     )
-    placed = _with_place(store.join(managers, "manager_staff_id"), address, city, country)
+    placed = with_place(store.join(managers, "manager_staff_id"), address, city, country)
     return placed.select(
         F.col("store_id").alias("store_key"),
         "store_id",
