@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.operators.joins import small
 from lakestar.operators.ordering import add_row_numbers
 
 
@@ -53,7 +54,8 @@ def extract_dimension(
     for c in columns:
         match = match & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
     kept = [c for c in df.columns if c not in columns]
-    return df.join(renamed, match, "left").select(*kept, key), dimension
+    # Often few values share all rows; then they are broadcast instead of shuffled by.
+    return df.join(small(renamed), match, "left").select(*kept, key), dimension
 
 
 def denormalize(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> DataFrame:
