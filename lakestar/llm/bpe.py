@@ -9,7 +9,7 @@ two pairs at most, so a match of n bytes takes O(n log n) at worst, however long
 
 Defined results: a null text encodes as an empty one, which has no ids. Text that looks like a
 special token is ordinary text. Rows are independent, so repeated rows have equal results.
-Other columns of the input are kept unless their names are taken.
+Other columns of the input are kept.
 """
 
 from __future__ import annotations
@@ -160,14 +160,6 @@ def codec(path: str, pattern: str) -> Codec:
     return kept[path, pattern]
 
 
-def _column(df: DataFrame, wanted: str) -> str:
-    """`wanted`, or a longer name if `df` has a column of that name."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
-
-
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """`docs` (any columns) with `ids`, an array of int. `path` is the vocabulary's rank file, which
     every executor has. If `docs` has a column `ids`, that one is left out of the result."""
@@ -190,7 +182,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """`rows` with `decoded`, the bytes of the ids; null for null. A column of that name is left out."""
     others = [c for c in rows.columns if c.lower() != "decoded"]
-    kept = rows.select(*others, F.col(ids).alias("_ids"))
+    kept = rows.select(*others, F.col(ids).alias("_decoded_from"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm import bpe, minhash, secrets, substring, topk, toxicity, warc
+from lakestar.llm import bpe, decontam, html, minhash, pii, secrets, substring, topk, toxicity, warc
 from lakestar.llm.common import scratch
 from lakestar.llm.spans import count_of, listed
 
@@ -59,8 +59,8 @@ WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 @query(rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 s AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) END AS s FROM w),
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
 e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
 c AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
@@ -110,7 +110,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-p AS (SELECT doc_id, i, w[i:i + 12] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+p AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
 f AS (SELECT x, min(doc_id) AS first FROM p GROUP BY x),
 g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM p JOIN f USING (x) WHERE first < doc_id),
 l AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id),
@@ -141,3 +141,50 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(pii.BASE))
+    return found.select(
+        "doc_id",
+        *(count_of(F.col("spans"), k).alias(f"n_{k}") for k in pii.BASE),
+        sha256(listed(base)).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query(r"""
+WITH b AS (
+  SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+i AS (SELECT item_id, w, len(w) AS n, least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+y AS (
+  SELECT item_id, n, k, x, count(*) AS c FROM (
+    SELECT item_id, n, k, array_to_string(w[p:p + k - 1], ' ') AS x
+    FROM (SELECT *, unnest(range(1, n - k + 2)) AS p FROM i)) GROUP BY ALL),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, k, p, len(w) AS size, array_to_string(w[p:p + k - 1], ' ') AS x
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i))),
+h AS (SELECT s.doc_id, y.item_id, y.n, y.k, s.p, s.size, s.x, y.c FROM s JOIN y ON s.x = y.x AND s.k = y.k),
+m AS (
+  SELECT a.doc_id, a.item_id, a.n, a.k, a.p, a.size, z.x, least(count(*), any_value(z.c)) AS common
+  FROM h a JOIN h z ON a.doc_id = z.doc_id AND a.item_id = z.item_id AND z.p BETWEEN a.p AND a.p + a.n - a.k
+  GROUP BY ALL),
+t AS (
+  SELECT doc_id, item_id, n, p - 1 AS start, CAST(sum(common) AS BIGINT) AS shared,
+    least(n - k + 1, size - k + 1 - (p - 1)) + n - k + 1 AS total
+  FROM m GROUP BY doc_id, item_id, n, k, p, size)
+SELECT doc_id, item_id, shared / (total - shared) AS similarity, start, n AS n_words FROM t
+WHERE 175 * shared >= 75 * total
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY shared / (total - shared) DESC, start) = 1
+""")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

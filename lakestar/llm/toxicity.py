@@ -130,13 +130,16 @@ def held_out(id: Column) -> Column:
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
+    sample: int = SAMPLE, keep: bool = False,
 ) -> DataFrame:
     """`doc_id`, `held_out`, `score` (0 to 1) and `predicted` (1 from 0.5) for each row of `docs`.
 
     `sample` is how many labelled rows are learned from, about; labels of held-out rows never are.
+    With `keep`, the result has the row itself too, as `row`.
     """
-    docs = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    row = [F.struct("*").alias("row")] if keep else []
+    docs = docs.select(*row, F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     known = labels.select(F.col(id).cast("long").alias("id"), F.col(label).cast("int").alias("label"))
     known = known.where("id is not null and label in (0, 1)").where(~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -145,11 +148,11 @@ def score_toxicity(
     fold = F.pmod(F.xxhash64(F.lit(12), "id"), F.lit(2)).cast("int")
     known = known.where(drawn).withColumn("fold", fold)
     # The sample has a known size, so it may go to every task; of copies of a row one is enough.
-    taught = staged(docs.join(F.broadcast(known), "id").dropDuplicates(["id"]), "labelled")
+    taught = staged(docs.select("id", "_text").join(F.broadcast(known), "id").dropDuplicates(["id"]), "labelled")
     lexicon = learn_lexicon(taught)
     trees = CalibratedTrees(FEATURES).fit(with_features(taught.select("label", "fold", "_text"), lexicon))
     scored = trees.score(with_features(docs, lexicon))
     return scored.select(
-        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
+        *(["row"] if keep else []), F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
