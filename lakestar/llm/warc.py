@@ -9,7 +9,7 @@ running digest per record.
 Archives are written and read by Spark's own text files, so any store that Spark reaches will do, and
 a lost task is simply run again. A file is cut into records at the line of the next record's version;
 the writer ends a chunk inside any payload that holds such a line, so a payload never looks like a
-record. Files stay splittable.
+record. Files are compressed, each as large as what one task writes.
 
 Of records with equal payloads of at least `least` bytes the one with the smallest id is a response,
 the others are revisits, which carry the digest and the id of that response instead of the payload.
@@ -55,14 +55,17 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
         payloads = batch.column(2).cast(pa.binary())
-        for i, (id, origin) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+        for i, (id, origin, first) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)))):
             view = memoryview(payloads[i].as_buffer())
+            if first is not None:
+                rows.append((id, origin, 0, True, "", origin, len(view), first))
+                continue
             running, done = hashlib.sha256(), 0
             for number, piece in enumerate(cuts(view)):
                 running.update(piece)
                 done += len(piece)
                 text = str(piece, "utf-8")
-                rows.append((id, origin, number, done == len(view), text, running.hexdigest(), done))
+                rows.append((id, origin, number, done == len(view), text, running.hexdigest(), done, None))
                 held += len(piece)
                 if held > 4 * CHUNK:
                     yield _rows(rows)
@@ -72,8 +75,8 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64()]
-    names = ["id", "origin", "chunk", "last", "payload", "digest", "bytes"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    names = ["id", "origin", "chunk", "last", "payload", "digest", "bytes", "first"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
@@ -86,9 +89,10 @@ def named(records: DataFrame, id: str = "page_id", payload: str = "html") -> Dat
 
 def chunk_table(records: DataFrame) -> DataFrame:
     """`named` records as chunks: `id`, `origin`, `chunk`, `last`, `payload`, and, of the payload up
-    to here, `digest` and `bytes`."""
-    kinds = "id long, origin string, chunk long, last boolean, payload string, digest string, bytes long"
-    return records.select("id", "origin", "payload").mapInArrow(_chunked, kinds)
+    to here, `digest` and `bytes`. A record with `first`, the id of an equal one, is a single row without
+    payload that has the digest and the bytes of the whole."""
+    kinds = "id long, origin string, chunk long, last boolean, payload string, digest string, bytes long, first long"
+    return records.select("id", "origin", "payload", "first").mapInArrow(_chunked, kinds)
 
 
 def record_name(id, chunk) -> Column:
@@ -108,41 +112,38 @@ def write_warc(
     again = narrow.join(firsts, "origin").where("id <> first").distinct()
 
     marked = records.join(again, ["id", "origin"], "left")
-    chunks = chunk_table(marked.where("first is null"))
-    whole = F.lit(0)
+    chunks = chunk_table(marked)
+    whole, again = F.lit(0), F.col("first").isNotNull()
 
     def fields(*pairs) -> Column:
         lines = [F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")) for name, value in pairs]
         return F.concat(F.lit(VERSION), *lines, F.lit("\r\n"))
 
     kind = F.when(F.col("chunk") == 0, F.lit("response")).otherwise(F.lit("continuation"))
-    segments = chunks.select(
-        F.concat(
-            fields(
-                ("WARC-Type", kind),
-                ("WARC-Record-ID", record_name(F.col("id"), F.col("chunk"))),
-                ("WARC-Segment-Origin-ID", record_name(F.col("id"), whole)),
-                ("WARC-Segment-Number", F.col("chunk") + 1),
-                ("WARC-Segment-Last", F.col("last")),
-                ("WARC-Prefix-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-                ("WARC-Prefix-Length", F.col("bytes")),
-                ("Content-Length", F.octet_length("payload")),
-            ),
-            F.col("payload"),
-        ).alias("value")
-    )
-    revisits = marked.where("first is not null").select("id", "origin", "first", F.octet_length("payload").alias("size"))
-    revisits = revisits.distinct().select(
+    digest = F.concat(F.lit("sha256:"), F.col("digest"))
+    segment = F.concat(
         fields(
-            ("WARC-Type", F.lit("revisit")),
-            ("WARC-Record-ID", record_name(F.col("id"), whole)),
-            ("WARC-Refers-To", record_name(F.col("first"), whole)),
-            ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("origin"))),
-            ("WARC-Payload-Length", F.col("size")),
-            ("Content-Length", whole),
-        ).alias("value")
+            ("WARC-Type", kind),
+            ("WARC-Record-ID", record_name(F.col("id"), F.col("chunk"))),
+            ("WARC-Segment-Origin-ID", record_name(F.col("id"), whole)),
+            ("WARC-Segment-Number", F.col("chunk") + 1),
+            ("WARC-Segment-Last", F.col("last")),
+            ("WARC-Prefix-Digest", digest),
+            ("WARC-Prefix-Length", F.col("bytes")),
+            ("Content-Length", F.octet_length("payload")),
+        ),
+        F.col("payload"),
+    )
+    revisit = fields(
+        ("WARC-Type", F.lit("revisit")),
+        ("WARC-Record-ID", record_name(F.col("id"), whole)),
+        ("WARC-Refers-To", record_name(F.col("first"), whole)),
+        ("WARC-Payload-Digest", digest),
+        ("WARC-Payload-Length", F.col("bytes")),
+        ("Content-Length", whole),
     )
-    segments.union(revisits).write.option("lineSep", END).text(path)
+    lines = chunks.select(F.when(again, revisit).otherwise(segment).alias("value"))
+    lines.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -210,5 +211,8 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def check_warc(chunks: DataFrame) -> DataFrame:
     """One row per record of `read_warc`: `id`, `bytes`, `digest`, `type`, `refers_to`; every digest
     is computed anew from the chunks, and a chunk that does not fit is an error."""
-    ordered = chunks.repartition("id").sortWithinPartitions("id", "origin", "chunk")
-    return ordered.mapInArrow(_checked, "id long, bytes long, digest string, type string, refers_to long")
+    kinds = "id long, bytes long, digest string, type string, refers_to long"
+    # Records of one chunk need no other row; only the chunks of longer ones are brought together.
+    single = F.expr("chunk = 0 and last")
+    several = chunks.where(~single).repartition("id").sortWithinPartitions("id", "origin", "chunk")
+    return chunks.where(single).mapInArrow(_checked, kinds).union(several.mapInArrow(_checked, kinds)).distinct()
