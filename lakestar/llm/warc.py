@@ -34,16 +34,18 @@ END, VERSION = "\r\n\r\n", "WARC/1.1\r\n"
 BOUNDARY = (END + VERSION).encode()
 
 
-def cuts(payload: memoryview, size: int = CHUNK) -> Iterator[memoryview]:
+def cuts(payload: memoryview, size: int | None = None) -> Iterator[memoryview]:
     """Chunks of a UTF-8 payload: whole characters, and no chunk holds the boundary of records."""
     at = 0
     while True:
-        end = min(at + size, len(payload))
+        end = min(at + (size or CHUNK), len(payload))
         while end < len(payload) and payload[end] & 0xC0 == 0x80:
             end -= 1
-        found = bytes(payload[at:end]).find(BOUNDARY)
+        # With the line ends around it a chunk must not read as a boundary either; one is cut in two
+        # after its first eight bytes, four of which are line ends that may not be the payload's.
+        found = (END.encode() + bytes(payload[at:end]) + END.encode()).find(BOUNDARY)
         if found >= 0:
-            end = at + found + len(BOUNDARY) - 1
+            end = at + found + 4
         yield payload[at:end]
         at = end
         if at >= len(payload):
