@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from heapq import heappop, heappush
 from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,8 +29,11 @@ from pyspark.sql import functions as F
 #: A word of the lower bitmap has 2 ** WIDTH bits.
 WIDTH = 8
 MASK = (1 << WIDTH) - 1
-#: Matches and their ids that a worker remembers, and the bytes of the longest one.
-REMEMBERED, SHORT = 1 << 19, 64
+BIT = [1 << i for i in range(1 << WIDTH)]
+#: Texts that are encoded together, and new matches of these that are worth a queue in common.
+TEXTS, MANY = 4096, 1000
+#: Matches that half of a worker's memory holds, and the characters of the longest one.
+REMEMBERED, SHORT = 1 << 18, 64
 
 
 class Codec:
@@ -40,6 +44,8 @@ class Codec:
             parts = (line.split() for line in file if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in parts}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        self.bytes = np.array(self.single, np.int64)
         #: The id of every pair of ids that is a token together.
         self.merged = {
             self.ranks[token[:i]] << 32 | self.ranks[token[i:]]: rank
@@ -47,13 +53,15 @@ class Codec:
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
         }
+        self.pairs = np.array(sorted(self.merged), np.int64)
+        self.pair_ranks = np.array([self.merged[p] for p in self.pairs.tolist()], np.int64)
         # White space is what Unicode calls so; the library also counts four control characters.
         space = r"\t\n\v\f\r\x20\x85\xa0  -     　"
         pattern = pattern.replace(r"[^\s", f"[^{space}").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
         self.find = regex.compile(pattern, regex.V0).findall
         self.odd = regex.compile(r" \s|\s \Z").search
         self.known: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one match."""
@@ -62,14 +70,13 @@ class Codec:
             return (whole,)
         merged = self.merged.get
         n = len(piece)
-        ids = [self.ranks[piece[i : i + 1]] for i in range(n)]
+        ids = [*map(self.single.__getitem__, piece), -1]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ids.append(-1)
         # The queue: a bucket of positions per rank, and two levels of bits over the ranks.
         buckets: dict[int, list[int]] = {}
         lower: dict[int, int] = {}
         upper = 0
-        fresh = [(merged(ids[i] << 32 | ids[i + 1]), i) for i in range(n - 1)]
+        fresh = [(merged(a << 32 | b), i) for i, (a, b) in enumerate(zip(ids, ids[1:n]))]
         while True:
             for rank, i in fresh:
                 if rank is None:
@@ -79,8 +86,11 @@ class Codec:
                 else:
                     buckets[rank] = [i]
                     word = rank >> WIDTH
-                    upper |= 1 << word
-                    lower[word] = lower.get(word, 0) | 1 << (rank & MASK)
+                    if word in lower:
+                        lower[word] |= BIT[rank & MASK]
+                    else:
+                        lower[word] = BIT[rank & MASK]
+                        upper |= 1 << word
             if not upper:
                 break
             # Find-first-set on either level: the smallest rank, and its leftmost position.
@@ -88,11 +98,16 @@ class Codec:
             bits = lower[word]
             rank = word << WIDTH | (bits & -bits).bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
                 del buckets[rank]
-                lower[word] = bits = bits & (bits - 1)
-                if not bits:
+                bits &= bits - 1
+                if bits:
+                    lower[word] = bits
+                else:
+                    del lower[word]
                     upper &= upper - 1
             left, j = ids[i], after[i]
             fresh = ()
@@ -111,6 +126,105 @@ class Codec:
                 fresh = ((merged(ids[h] << 32 | rank), h),)
         return tuple([x for x in ids if x >= 0])
 
+    def merge_all(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of many matches, by one queue over all of them.
+
+        The matches lie in one linked list with gaps between them. A round takes the smallest rank from
+        the bitmaps and merges, in each match, its leftmost position in that bucket; further ones wait
+        in the bucket, as a merge may queue a smaller rank first. So each match is merged in the order
+        that it would be merged in alone.
+        """
+        sizes = np.array([len(p) for p in pieces])
+        ids = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)].copy()
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        ends = np.cumsum(sizes)
+        after[ends - 1], before[ends - sizes] = -1, -1
+        upper, lower, buckets = 0, {}, {}
+
+        def rank_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            key = ids[a] << 32 | ids[b]
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            return np.where(self.pairs[at] == key, self.pair_ranks[at], -1)
+
+        def push(ranks: np.ndarray, positions: np.ndarray) -> None:
+            nonlocal upper
+            good = ranks >= 0
+            ranks, positions = ranks[good], positions[good]
+            order = np.argsort(ranks, kind="stable")
+            ranks, positions = ranks[order], positions[order]
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+            for rank, start, stop in zip(ranks[cuts[:-1]].tolist() if len(ranks) else (), cuts, cuts[1:]):
+                if rank in buckets:
+                    buckets[rank].append(positions[start:stop])
+                else:
+                    buckets[rank] = [positions[start:stop]]
+                    word = rank >> WIDTH
+                    lower[word] = lower.get(word, 0) | BIT[rank & MASK]
+                    upper |= 1 << word
+
+        first = np.flatnonzero(after >= 0)
+        push(rank_of(first, after[first]), first)
+        while upper:
+            word = (upper & -upper).bit_length() - 1
+            bits = lower[word]
+            rank = word << WIDTH | (bits & -bits).bit_length() - 1
+            lower[word] = bits = bits & (bits - 1)
+            if not bits:
+                upper &= upper - 1
+            held = buckets.pop(rank)
+            i = np.unique(np.concatenate(held)) if len(held) > 1 else np.sort(held[0])
+            i = i[(ids[i] >= 0) & (after[i] >= 0)]
+            i = i[rank_of(i, after[i]) == rank]  # the others are stale
+            if not len(i):
+                continue
+            lead = np.ones(len(i), bool)
+            lead[1:] = owner[i[1:]] != owner[i[:-1]]
+            wait, i = i[~lead], i[lead]
+            j = after[i]
+            k, h = after[j], before[i]
+            ids[i], ids[j], after[i] = rank, -1, k
+            right, left = k >= 0, h >= 0
+            before[k[right]] = i[right]
+            a = np.concatenate([i[right], h[left]])
+            ranks = rank_of(a, np.concatenate([k[right], i[left]]))
+            if len(wait):
+                a, ranks = np.concatenate([a, wait]), np.concatenate([ranks, np.full(len(wait), rank)])
+            push(ranks, a)
+        alive = ids >= 0
+        found, counts = ids[alive].tolist(), np.bincount(owner[alive], minlength=len(pieces))
+        cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        return [tuple(found[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    def prepare(self, texts: list[str]) -> None:
+        """Encodes all matches of some texts that are not remembered, together.
+
+        The memory has two halves. When the newer one is full it becomes the older one, so what is
+        used again stays and what is not goes.
+        """
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        parts: set[str] = set()
+        for text in texts:
+            parts.update(text.split(" "))
+        pieces: set[str] = set()
+        for part in parts:
+            if part.isalpha():
+                pieces.add(" " + part)
+            elif part[:-1].isalpha():
+                pieces.add(" " + part[:-1])
+            else:
+                pieces.update(self.find(" " + part))
+        new = [p for p in pieces if p not in self.known and len(p) <= SHORT]
+        again = [p for p in new if p in self.older]
+        self.known.update((p, self.older[p]) for p in again)
+        new = [p for p in new if p not in self.known]
+        whole = [(p, self.ranks.get(p.encode())) for p in new]
+        self.known.update((p, (rank,)) for p, rank in whole if rank is not None)
+        new = [p for p, rank in whole if rank is None]
+        if len(new) >= MANY:
+            self.known.update(zip(new, self.merge_all([p.encode() for p in new])))
+
     def pieces(self, text: str) -> list[int]:
         """The ids of a text, match by match."""
         known, out = self.known, []
@@ -119,8 +233,6 @@ class Codec:
             if ids is None:
                 ids = self.merge(piece.encode())
                 if len(piece) <= SHORT:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
                     known[piece] = ids
             out += ids
         return out
@@ -129,22 +241,22 @@ class Codec:
         """The ids of a text.
 
         A space before something else than white space starts a match, whatever is left of it, if
-        no white space is there. So the parts between single spaces are encoded one by one, which
-        lets most be looked up; other texts are matched as a whole.
+        no white space is there. So the parts between single spaces are encoded one by one; a part of
+        letters only is one match, and only other parts are searched for the pattern. Texts with other
+        white space around spaces are searched as a whole.
         """
         if self.odd(text):
             return self.pieces(text)
         first, *parts = text.split(" ")
-        out, words = self.pieces(first), self.words
+        out, get = self.pieces(first), self.known.get
         for part in parts:
-            ids = words.get(part)
-            if ids is None:
-                ids = tuple(self.pieces(" " + part))
-                if len(part) <= SHORT and "\n" not in part:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    words[part] = ids
-            out += ids
+            if part.isalpha():
+                out += get(" " + part) or self.pieces(" " + part)
+            elif part[:-1].isalpha():  # what follows letters is a match of its own
+                out += get(" " + part[:-1]) or self.pieces(" " + part[:-1])
+                out += get(part[-1]) or self.pieces(part[-1])
+            else:
+                out += self.pieces(" " + part)
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -170,9 +282,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                ids = [own.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
+                texts = batch.column(batch.num_columns - 1).to_pylist()
+                own.prepare(texts)
+                ids = [own.encode(t) for t in texts]
                 found = pa.array(ids, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], [*batch.schema.names[:-1], "ids"])
 
