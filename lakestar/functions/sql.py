@@ -13,7 +13,7 @@ FUNCTIONS = {
     "month_end(ts TIMESTAMP)": ("DATE", "last_day(ts)"),
     "day_key(ts TIMESTAMP)": ("INT", "cast(date_format(ts, 'yyyyMMdd') AS INT)"),
     "weekend(ts TIMESTAMP)": ("BOOLEAN", "weekday(ts) >= 5"),
-    "concat_pair(a STRING, b STRING)": ("STRING", "concat_ws(', ', a, b)"),
+    "concat_pair(a STRING, b STRING)": ("STRING", "coalesce(a || ', ' || b, a, b)"),
     "nice_name(name STRING)": (
         "STRING",
         "concat(upper(substring(name, 1, 1)), lower(substring(name, 2)))",

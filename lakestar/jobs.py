@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestar import schemas
 from lakestar.operators.event_star import build_event_star, write_event_star
 from lakestar.operators.query_tables import write_query_tables
-from lakestar.session import build_session, partitions_for
+from lakestar.session import build_session, listed_bytes, partitions_for
 from lakestar.sinks.files import write_csv
 from lakestar.sinks.tables import append_by_name, recreate_tables
 from lakestar.sources.events import consolidate_event_files
@@ -64,9 +64,10 @@ def main() -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("source", help="folder of the raw files")
     parser.add_argument("target", help="output folder, or database for event-warehouse")
-    parser.add_argument("--input-gb", type=int, default=0, help="size of the raw files")
     args = parser.parse_args()
-    spark = build_session(args.job, shuffle_partitions=partitions_for(args.input_gb << 30))
+    spark = build_session(args.job)
+    shuffles = partitions_for(listed_bytes(spark, args.source))
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffles))
     JOBS[args.job](spark, args.source, args.target)
 
 

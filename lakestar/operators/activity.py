@@ -45,7 +45,6 @@ def with_phase(
     is_boundary: Column,
     name: str = "phase",
     peers: bool = False,
-    key_rows: int | None = None,
     ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Numbers the stretches of each user's events between boundary events.
@@ -55,7 +54,7 @@ def with_phase(
     of them comes first, by default all other columns.
     """
     marked = mark(events, is_boundary, "_boundary")
-    summed = running_sum(marked, [user], order, "_boundary", name, peers, key_rows, ties)
+    summed = running_sum(marked, [user], order, "_boundary", name, peers, ties)
     return summed.drop("_boundary")
 
 
@@ -66,7 +65,6 @@ def average_between(
     is_boundary: Column,
     is_counted: Column,
     name: str,
-    key_rows: int | None = None,
 ) -> DataFrame:
     """Average number of counted events per user and stretch that has any."""
     # Only what the count needs: one row per event with its two marks.
@@ -74,7 +72,7 @@ def average_between(
     plain = [c.removeprefix("-") for c in order]
     wanted = events.where(is_boundary | is_counted).select(user, *plain, *marks)
     phases = with_phase(
-        wanted, user, order, F.col("_is_boundary"), "_phase", key_rows=key_rows
+        wanted, user, order, F.col("_is_boundary"), "_phase"
     )
     counted = phases.where("_is_counted")
     counts = counted.groupBy(user, "_phase").agg(F.count("*").alias("_n"))

@@ -10,7 +10,7 @@ from lakestar.operators.joins import first_match
 from lakestar.operators.keyed import first_by, latest_by
 from lakestar.operators.ordering import add_row_numbers
 from lakestar.sinks.files import write_parquet
-from lakestar.sources.events import with_user_id
+from lakestar.sources.events import user_id, with_user_id
 
 PLAY = "NextSong"
 
@@ -70,12 +70,14 @@ def time_dim(events: DataFrame, column: str = "start_time") -> DataFrame:
     return times.select("start_time", *calendar.time_parts(F.col("start_time")))
 
 
-def song_lookup(songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """Song ids and artist ids by title, artist name and duration."""
-    names = artists.select("artist_id", "name")
-    return songs.join(names, "artist_id").select(
+def song_lookup(songs_raw: DataFrame) -> DataFrame:
+    """Song ids and artist ids by title, artist name and duration.
+
+    The name is the one on the song's own row: an artist may appear under several.
+    """
+    return songs_raw.select(
         F.col("title").alias("song"),
-        F.col("name").alias("artist"),
+        F.col("artist_name").alias("artist"),
         F.col("duration").alias("length"),
         "song_id",
         "artist_id",
@@ -84,8 +86,7 @@ def song_lookup(songs: DataFrame, artists: DataFrame) -> DataFrame:
 
 def songplays(
     log: DataFrame,
-    songs: DataFrame,
-    artists: DataFrame,
+    songs_raw: DataFrame,
     match: str = "left",
     use_duration: bool = False,
     start: int = 1,
@@ -96,10 +97,10 @@ def songplays(
     """
     on = ["song", "artist", "length"] if use_duration else ["song", "artist"]
     ids = ["song_id", "artist_id"]
-    matched = first_match(plays(log), song_lookup(songs, artists), on, ids, how=match)
+    matched = first_match(plays(log), song_lookup(songs_raw), on, ids, how=match)
     fact = matched.select(
         "start_time",
-        F.expr("try_cast(nullif(trim(userId), '') as int)").alias("user_id"),
+        user_id("userId").alias("user_id"),
         "level",
         "song_id",
         "artist_id",
@@ -128,7 +129,7 @@ def build_event_star(
         "artists": artists,
         "users": users_dim(log),
         "time": time_dim(timed),
-        "songplays": songplays(log, songs, artists, match, use_duration),
+        "songplays": songplays(log, songs_raw, match, use_duration),
     }
 
 

@@ -5,24 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakestar.operators.keyed import first_by
 
-# Rows up to which a table may be copied to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """`df` marked for broadcast if it has at most `rows` rows, else left to the planner.
-
-    For narrow tables whose size the planner cannot tell, such as filtered ones: counting them
-    costs less than shuffling the large side. Other joins of the library carry no hint, so the
-    planner broadcasts below `spark.sql.autoBroadcastJoinThreshold`, by file or measured size.
-    """
-    return F.broadcast(df) if df.count() <= (rows or BROADCAST_ROWS) else df
-
-
 def first_match(
     left: DataFrame,
     lookup: DataFrame,
@@ -38,22 +23,10 @@ def first_match(
     return left.join(single, list(on), how)
 
 
-def colocated_join(
-    fact: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    key_rows: int = 50_000_000,
-) -> DataFrame:
+def colocated_join(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Inner join of two tables bucketed by `key`, where `dimension` has one row per key.
 
-    Bucketed joins need no shuffle, but a bucket is then one task and the adaptive planner cannot
-    split it. Keys with more than `key_rows` fact rows are joined by broadcast instead: there can
-    only be (fact rows / key_rows) of them, each with one dimension row.
+    Bucketed joins need no shuffle. A bucket is one task, so choose more buckets for more rows; tables
+    with a hot key are better left unbucketed, as the adaptive planner then cuts it.
     """
-    heavy = fact.groupBy(key).count().where(F.col("count") > key_rows).select(key)
-    hot = [row[0] for row in heavy.collect()]
-    if not hot:
-        return fact.join(dimension, key)
-    is_hot = F.col(key).isin(hot)
-    even = fact.where(~is_hot).join(dimension.where(~is_hot), key)
-    return even.unionByName(fact.where(is_hot).join(F.broadcast(dimension.where(is_hot)), key))
+    return fact.join(dimension, key)

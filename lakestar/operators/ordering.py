@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from lakestar.session import checkpointed
 
-# Row count of a key up to which its rows may meet in one task.
-KEY_ROWS = 5_000_000
 # Copies of one row written out from one list.
 BLOCK = 100_000
 
@@ -89,10 +87,6 @@ def _plain(order: Sequence[str]) -> list[str]:
     return [c.removeprefix("-") for c in order]
 
 
-def _largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,28 +94,17 @@ def running_sum(
     value: str,
     name: str,
     peers: bool = False,
-    key_rows: int | None = None,
     ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sum of `value` per key from the first row in `order` up to the current one.
 
     `order` names columns, a leading minus means descending. `peers=False` is a ROWS frame, with
     rows equal in `order` taken by `ties` (by default all other columns); `peers=True` is a RANGE
-    frame, where such rows share one result. If every key has at most `key_rows` rows (default
-    `KEY_ROWS`), a plain window does it. If some key has more, the rows are spread over range
-    partitions instead.
+    frame, where such rows share one result. The rows are spread over range partitions, so no key is
+    too large for a task, and there is one way whatever the size.
     """
     if ties is None:
         ties = [c for c in df.columns if c not in keys and c not in _plain(order)]
-    if _largest_key(df, keys) <= (key_rows or KEY_ROWS):
-        first = Window.unboundedPreceding
-        if peers:
-            window = Window.partitionBy(*keys).orderBy(*_sort(order))
-            frame = window.rangeBetween(first, Window.currentRow)
-        else:
-            window = Window.partitionBy(*keys).orderBy(*_sort([*order, *ties]))
-            frame = window.rowsBetween(first, Window.currentRow)
-        return df.withColumn(name, F.sum(value).over(frame))
     if not peers:
         return _spread_rows(df, keys, [*order, *ties], value, name)
     # One row per group of peers: the group may be large, its sum is not.

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lakestar.functions import calendar
 from lakestar.functions.text import capitalized, full_name, group_concat
-from lakestar.operators.joins import small
 from lakestar.operators.rental_star import with_place
 
 
@@ -47,7 +46,7 @@ def staff_list(
 def _named(category: DataFrame, name: str) -> DataFrame:
     """Category names by id. Few categories share all films, so they should not be a join key
     that rows are shuffled by."""
-    return small(category.select("category_id", F.col("name").alias(name)))
+    return category.select("category_id", F.col("name").alias(name))
 
 
 def film_list(
@@ -67,7 +66,7 @@ def film_list(
         if nice_names
         else full_name("first_name", "last_name")
     )
-    names = small(actor.select("actor_id", name.alias("_name")))
+    names = actor.select("actor_id", name.alias("_name"))
     cast = film_actor.join(names, "actor_id")
     actors = group_concat(cast, ["film_id"], "_name", "actors")
     categories = film_category.join(_named(category, "category"), "category_id")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions import calendar
-from lakestar.operators.joins import small
 from lakestar.operators.ordering import add_row_numbers
 
 
@@ -58,7 +57,7 @@ def dim_customer(
 
 def dim_movie(film: DataFrame, language: DataFrame) -> DataFrame:
     """Films with the names of their language and, if known, original language."""
-    names = small(language.select("language_id", "name"))
+    names = language.select("language_id", "name")
     spoken = names.select("language_id", F.col("name").alias("language"))
     original = names.select(
         F.col("language_id").alias("original_language_id"),

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import small
 
 
 def with_order_date(lineorder: DataFrame) -> DataFrame:
@@ -45,7 +44,7 @@ def two_dim(
     brands = part.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
     suppliers = supplier.where(F.col("s_region") == region).select("s_suppkey")
     rows = lineorder.join(
-        small(suppliers), F.col("lo_suppkey") == F.col("s_suppkey"), "left_semi"
+        suppliers, F.col("lo_suppkey") == F.col("s_suppkey"), "left_semi"
     ).join(brands, F.col("lo_partkey") == F.col("p_partkey"))
     return rows.groupBy(F.year("lo_orderdate").alias("d_year"), "p_brand1").agg(
         F.sum("lo_revenue").alias("revenue")
@@ -67,8 +66,8 @@ def drill(
     buyers, sellers = buyers.select("c_custkey", "c_city"), sellers.select("s_suppkey", "s_city")
     rows = (
         _between_days(lineorder, first, after)
-        .join(small(sellers), F.col("lo_suppkey") == F.col("s_suppkey"))
-        .join(small(buyers), F.col("lo_custkey") == F.col("c_custkey"))
+        .join(sellers, F.col("lo_suppkey") == F.col("s_suppkey"))
+        .join(buyers, F.col("lo_custkey") == F.col("c_custkey"))
     )
     return (
         rows.groupBy("c_city", "s_city", F.year("lo_orderdate").alias("d_year"))

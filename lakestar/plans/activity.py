@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakestar.operators import activity as a
-from lakestar.operators.joins import small
 from lakestar.plans import tables as t
 from lakestar.plans.registry import query
 from lakestar.sinks.tables import lookup
@@ -41,7 +40,7 @@ def distinct_users(spark, sf):
 def pages_not_visited(spark, sf):
     """Brands one customer has never ordered."""
     own = t.orders(spark, sf).where(F.col("customer_id") == 10).select("order_id")
-    ordered = t.order_lines(spark, sf).join(small(own), "order_id", "left_semi")
+    ordered = t.order_lines(spark, sf).join(own, "order_id", "left_semi")
     products = t.products(spark, sf)
     bought = ordered.select("film_id").distinct()
     seen = products.join(bought, "film_id", "left_semi")
@@ -145,12 +144,14 @@ def counts_by_weekday(spark, sf):
 
 
 @query("""
-    SELECT week(o_orderdate)::INT AS week, year(o_orderdate)::INT AS year, count(*) AS n
+    SELECT week(o_orderdate)::INT AS week, isoyear(o_orderdate)::INT AS year, count(*) AS n
     FROM orders GROUP BY 1, 2
 """)
 def counts_by_week(spark, sf):
+    """ISO weeks, with the year that the week belongs to."""
     orders = t.table(spark, sf, "orders")
-    keys = [F.weekofyear("o_orderdate").alias("week"), F.year("o_orderdate").alias("year")]
+    year = F.expr("extract(YEAROFWEEK FROM o_orderdate)")
+    keys = [F.weekofyear("o_orderdate").alias("week"), year.alias("year")]
     return orders.groupBy(*keys).agg(F.count("*").alias("n"))
 
 

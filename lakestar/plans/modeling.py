@@ -307,7 +307,7 @@ def time_dim(spark, sf):
 
 @query("""
     SELECT p_partkey::VARCHAR AS song_id, p_name AS title, p_brand AS artist_id, p_size AS year,
-           p_retailprice::DECIMAL(10,5)::DOUBLE AS duration FROM part WHERE p_type = 'PROMO'
+           p_retailprice::DECIMAL(10,5)::DOUBLE AS duration FROM part
 """)
 def songs_dim(spark, sf):
     return es.songs_dim(t.songs_raw(spark, sf))
@@ -316,22 +316,22 @@ def songs_dim(spark, sf):
 @query("""
     SELECT row_number() OVER (ORDER BY title, artist_id, year, duration) AS song_id, * FROM (
       SELECT DISTINCT p_name AS title, p_brand AS artist_id, p_size AS year,
-             p_retailprice::DECIMAL(10,5)::DOUBLE AS duration FROM part WHERE p_type = 'PROMO')
+             p_retailprice::DECIMAL(10,5)::DOUBLE AS duration FROM part)
 """)
 def songs_by_content(spark, sf):
     return es.songs_by_content(t.songs_raw(spark, sf))
 
 
 @query("""
-    SELECT DISTINCT p_brand AS artist_id, p_brand AS name, p_type AS location,
-           NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude FROM part WHERE p_type = 'PROMO'
+    SELECT p_brand AS artist_id, min(p_brand || ' with ' || p_type) AS name, min(p_type) AS location,
+           NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude FROM part GROUP BY p_brand
 """)
 def artists_dim(spark, sf):
     return es.artists_dim(t.songs_raw(spark, sf))
 
 
 @query("""
-    SELECT o_custkey::INT AS user_id, o_orderstatus AS first_name, o_orderpriority AS last_name,
+    SELECT o_custkey::BIGINT AS user_id, o_orderstatus AS first_name, o_orderpriority AS last_name,
            l_linestatus AS gender, o_orderpriority AS level
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'N'
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, l_orderkey DESC,
@@ -343,22 +343,20 @@ def users_dim(spark, sf):
 
 @query("""
     WITH catalogue AS (
-      SELECT p_name, p_brand, p_retailprice, min((p_partkey::VARCHAR, p_brand)) AS ids
-      FROM part WHERE p_type = 'PROMO' GROUP BY 1, 2, 3),
+      SELECT p_name, p_brand || ' with ' || p_type AS artist, p_retailprice,
+             min((p_partkey::VARCHAR, p_brand)) AS ids
+      FROM part GROUP BY 1, 2, 3),
     plays AS (
-      SELECT o_orderdate AS start_time, o_custkey::INT AS user_id, o_orderpriority AS level,
+      SELECT o_orderdate AS start_time, o_custkey::BIGINT AS user_id, o_orderpriority AS level,
              ids[1] AS song_id, ids[2] AS artist_id, l_orderkey AS session_id,
              l_returnflag AS location, l_linestatus AS user_agent
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part p ON l_partkey = p_partkey
-      LEFT JOIN catalogue c ON p.p_name = c.p_name AND p.p_brand = c.p_brand
-        AND p.p_retailprice = c.p_retailprice
+      LEFT JOIN catalogue c ON p.p_name = c.p_name AND p.p_retailprice = c.p_retailprice
+        AND c.artist = CASE WHEN p_size % 3 = 0 THEN p_brand ELSE p_brand || ' with ' || p_type END
       WHERE l_returnflag = 'N')
     SELECT row_number() OVER (ORDER BY start_time, user_id, level, song_id NULLS FIRST,
              artist_id NULLS FIRST, session_id, location, user_agent) AS songplay_id, * FROM plays
 """)
 def fact_songplays(spark, sf):
     """The play fact with at most one song per play, by title, artist and duration."""
-    songs = t.songs_raw(spark, sf)
-    return es.songplays(
-        t.log(spark, sf), es.songs_dim(songs), es.artists_dim(songs), use_duration=True
-    )
+    return es.songplays(t.log(spark, sf), t.songs_raw(spark, sf), use_duration=True)

@@ -185,7 +185,7 @@ def customer_balance_replacement(spark, sf):
 @query("""
     SELECT c_custkey AS customer_id, c_name FROM customer WHERE c_custkey IN (
       SELECT o_custkey FROM orders
-      WHERE o_orderdate BETWEEN TIMESTAMP '1998-02-01' AND TIMESTAMP '1998-02-28'
+      WHERE o_orderdate >= TIMESTAMP '1998-02-01' AND o_orderdate < TIMESTAMP '1998-03-01'
       GROUP BY 1 HAVING sum(o_totalprice::DECIMAL(18,2)) > 100000 AND count(*) > 1)
 """)
 def rewards_report(spark, sf):

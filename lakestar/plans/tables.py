@@ -139,14 +139,18 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def artist_name() -> Column:
+    """The name an artist (a brand) goes by on a product: one per type of product."""
+    return F.concat_ws(" with ", "p_brand", "p_type")
+
+
 def songs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products on promotion as the song catalogue: titles repeat, and most plays miss it."""
-    promoted = table(spark, sf_dir, "part").where(F.col("p_type") == "PROMO")
-    return promoted.select(
+    """All products as the song catalogue: titles repeat, and an artist has several names."""
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("song_id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("artist_id"),
-        F.col("p_brand").alias("artist_name"),
+        artist_name().alias("artist_name"),
         F.col("p_type").alias("artist_location"),
         F.lit(None).cast("decimal(10,6)").alias("artist_latitude"),
         F.lit(None).cast("decimal(10,6)").alias("artist_longitude"),
@@ -160,14 +164,15 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         "p_partkey",
         "p_name",
-        "p_brand",
+        # Some plays carry a name that the catalogue does not have.
+        F.when(F.col("p_size") % 3 == 0, F.col("p_brand")).otherwise(artist_name()).alias("_artist"),
         F.col("p_retailprice").cast("decimal(10,5)").alias("length"),
     )
     ordered = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     joined = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        F.col("p_brand").alias("artist"),
+        F.col("_artist").alias("artist"),
         F.col("p_name").alias("song"),
         "length",
         F.col("o_custkey").cast("string").alias("userId"),

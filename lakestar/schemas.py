@@ -56,10 +56,10 @@ EVENT_CSV = _schema(
 # --- event domain, star ------------------------------------------------------------------------
 
 SONGPLAYS = _schema(
-    "songplay_id bigint, start_time timestamp, user_id int, level string, song_id string,"
+    "songplay_id bigint, start_time timestamp, user_id bigint, level string, song_id string,"
     " artist_id string, session_id int, location string, user_agent string"
 )
-USERS = _schema("user_id int, first_name string, last_name string, gender string, level string")
+USERS = _schema("user_id bigint, first_name string, last_name string, gender string, level string")
 SONGS = _schema("song_id string, title string, artist_id string, year int, duration decimal(10,5)")
 ARTISTS = _schema(
     "artist_id string, name string, location string, latitude decimal(10,6),"
@@ -71,7 +71,7 @@ TIME = _schema(
 
 # The user table kept by the stream, with the order of its last event.
 LEVELS = _schema(
-    "userId int, firstName string, lastName string, gender string, level string, ts bigint,"
+    "userId bigint, firstName string, lastName string, gender string, level string, ts bigint,"
     " sessionId int, itemInSession int"
 )
 

@@ -25,7 +25,13 @@ def partitions_for(input_bytes: int, per_partition: int = 200 << 20) -> int:
 
     Adaptive execution merges what turns out smaller, but cannot raise the number.
     """
-    return min(max(200, -(-input_bytes // per_partition)), 500_000)
+    return max(200, -(-input_bytes // per_partition))
+
+
+def listed_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder, from their listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg({"length": "sum"}).first()[0] or 0
 
 
 def build_session(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar import schemas
@@ -39,10 +39,15 @@ def consolidate_event_files(spark: SparkSession, path: Paths) -> DataFrame:
     return consolidate(read_csv(spark, path, schemas.EVENT_CSV), "artist", CONSOLIDATED_COLUMNS)
 
 
+def user_id(column: str) -> Column:
+    """An id written as text, as a 64-bit number; null if blank. Any other text is an error."""
+    text = F.trim(F.col(column))
+    return F.when(text != "", text.cast("bigint"))
+
+
 def with_user_id(log: DataFrame, column: str = "userId") -> DataFrame:
-    """Rows of known users, the id as an integer. Signed-out rows carry a blank id."""
-    user = F.expr(f"try_cast(nullif(trim(`{column}`), '') as int)")
-    return log.withColumn(column, user).dropna(subset=[column])
+    """Rows of known users, the id as a number. Only signed-out rows, with a blank id, are left out."""
+    return log.where(not_blank(column)).withColumn(column, user_id(column))
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:

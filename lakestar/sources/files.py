@@ -17,11 +17,12 @@ def read_json(
     schema: StructType,
     recursive: bool = False,
     pattern: str = "*.json",
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """One JSON object per line. `path` may be a glob; `recursive` walks a whole tree instead.
 
-    Fields are matched by name; absent ones become null. `mode="FAILFAST"` stops on a bad line.
+    Fields are matched by name; absent ones become null. A line that cannot be read is an error; other
+    modes would lose it without a word.
     """
     reader = spark.read.schema(schema).option("mode", mode)
     if recursive:

@@ -37,7 +37,7 @@ def follow_logs(
 ) -> StreamingQuery:
     """Processes all log files present under `source` and not seen before, then stops."""
     stream = (
-        spark.readStream.schema(schemas.LOG_RAW)
+        spark.readStream.option("mode", "FAILFAST").schema(schemas.LOG_RAW)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
         .json(source)

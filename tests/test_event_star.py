@@ -107,3 +107,37 @@ def test_unsorted_log_gives_the_same_star(songs, log):
     b = es.build_event_star(songs, log.orderBy(F.rand(3)))
     for name in a:
         assert rows(a[name]) == rows(b[name])
+
+
+def test_an_artist_matches_under_each_of_two_names(spark, log):
+    data = [
+        song("S1", "Setanta", "A1", "Elena", "269.58300"),
+        song("S9", "Duet", "A1", "Elena with Bo", "10.00000"),
+    ]
+    songs = spark.createDataFrame(data, schemas.SONGS_RAW)
+    plays = spark.createDataFrame(
+        [
+            event("1", T0, title="Setanta", artist="Elena", length="269.58300"),
+            event("1", T0 + 1, title="Duet", artist="Elena with Bo", length="10.00000"),
+        ],
+        schemas.LOG_RAW,
+    )
+    for match in ("left", "inner"):
+        fact = es.songplays(plays, songs, match, use_duration=True)
+        assert rows(fact, "song_id", "artist_id") == [("S1", "A1"), ("S9", "A1")]
+
+
+def test_large_ids_stay_and_broken_ids_are_errors(spark):
+    large = spark.createDataFrame([event("9000000000", T0), event(" ", T0)], schemas.LOG_RAW)
+    assert rows(es.users_dim(large), "user_id") == [(9000000000,)]
+    broken = spark.createDataFrame([event("12x", T0)], schemas.LOG_RAW)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        es.users_dim(broken).collect()
+
+
+def test_a_broken_line_is_an_error(spark, tmp_path):
+    from lakestar.sources.files import read_json
+
+    (tmp_path / "a.json").write_text('{"page": "NextSong"}\n{"page": "Next\n')
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        read_json(spark, str(tmp_path), schemas.LOG_RAW).collect()

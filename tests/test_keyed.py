@@ -78,12 +78,6 @@ def test_first_match_never_multiplies(spark):
     assert joins.first_match(plays, songs, ["s", "a"], ["id"], "inner").count() == 2
 
 
-def test_broadcast_only_below_the_bound(spark):
-    hinted = joins.small(spark.range(10), rows=10)._jdf.queryExecution().logical().toString()
-    plain = joins.small(spark.range(11), rows=10)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
-
-
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_writes_one_by_one_give_the_same_table(spark, seed):
     rng = random.Random(seed)

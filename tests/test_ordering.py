@@ -55,10 +55,8 @@ def test_row_numbers_of_an_empty_table(spark):
 
 @pytest.mark.parametrize("peers", [False, True])
 @pytest.mark.parametrize("order", [["ts"], ["-ts"], ["-ts", "id"]])
-def test_running_sum_same_with_and_without_hot_keys(events, order, peers):
+def test_running_sum_is_the_sum_up_to_a_row(events, order, peers):
     plain = ordering.running_sum(events, ["user"], order, "v", "s", peers)
-    spread = ordering.running_sum(events, ["user"], order, "v", "s", peers, key_rows=10)
-    assert rows(spread) == rows(plain)
     by_user = {}
     for user, ts, ident, v, s in plain.collect():
         by_user.setdefault(user, []).append((ts, ident, v, s))
@@ -77,7 +75,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     one_key = spark.range(20000).select(
         F.lit("hot").alias("k"), F.col("id").alias("ts"), F.lit(1).alias("v")
     )
-    summed = ordering.running_sum(one_key, ["k"], ["ts"], "v", "s", key_rows=100)
+    summed = ordering.running_sum(one_key, ["k"], ["ts"], "v", "s")
     assert summed.where("s != ts + 1").count() == 0
     placed = ordering._in_order(one_key, [F.col("k"), F.col("ts")])
     sizes = [r[1] for r in placed.groupBy("_part").count().collect()]
