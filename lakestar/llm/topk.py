@@ -44,7 +44,7 @@ def as_integers(vector: Column, scale: int = 256) -> Column:
 def _vectors(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = column.combine_chunks()
     flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
-    return flat.flatten().to_numpy().reshape(-1, dim)
+    return flat.flatten().to_numpy().reshape(len(column), dim)
 
 
 def _products(q: np.ndarray, c: np.ndarray, limit: float) -> np.ndarray:
