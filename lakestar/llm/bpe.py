@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import sys
 from collections.abc import Iterator
+from functools import cached_property
 from heapq import heappop, heappush
 from types import ModuleType
 
@@ -44,17 +45,6 @@ class Codec:
             parts = (line.split() for line in file if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in parts}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.single = [self.ranks[bytes([b])] for b in range(256)]
-        self.bytes = np.array(self.single, np.int64)
-        #: The id of every pair of ids that is a token together.
-        self.merged = {
-            self.ranks[token[:i]] << 32 | self.ranks[token[i:]]: rank
-            for token, rank in self.ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in self.ranks and token[i:] in self.ranks
-        }
-        self.pairs = np.array(sorted(self.merged), np.int64)
-        self.pair_ranks = np.array([self.merged[p] for p in self.pairs.tolist()], np.int64)
         # White space is what Unicode calls so; the library also counts four control characters.
         space = r"\t\n\v\f\r\x20\x85\xa0  -     　"
         pattern = pattern.replace(r"[^\s", f"[^{space}").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
@@ -63,6 +53,34 @@ class Codec:
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
+    # What only encoding needs is built when it is first asked for.
+
+    @cached_property
+    def single(self) -> list[int]:
+        return [self.ranks[bytes([b])] for b in range(256)]
+
+    @cached_property
+    def first_ids(self) -> np.ndarray:
+        return np.array(self.single, np.int64)
+
+    @cached_property
+    def merged(self) -> dict[int, int]:
+        """The id of every pair of ids that is a token together."""
+        return {
+            self.ranks[token[:i]] << 32 | self.ranks[token[i:]]: rank
+            for token, rank in self.ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in self.ranks and token[i:] in self.ranks
+        }
+
+    @cached_property
+    def pairs(self) -> np.ndarray:
+        return np.array(sorted(self.merged), np.int64)
+
+    @cached_property
+    def pair_ranks(self) -> np.ndarray:
+        return np.array([self.merged[p] for p in self.pairs.tolist()], np.int64)
+
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one match."""
         whole = self.ranks.get(piece)
@@ -135,7 +153,7 @@ class Codec:
         that it would be merged in alone.
         """
         sizes = np.array([len(p) for p in pieces])
-        ids = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)].copy()
+        ids = self.first_ids[np.frombuffer(b"".join(pieces), np.uint8)].copy()
         owner = np.repeat(np.arange(len(pieces)), sizes)
         after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
         ends = np.cumsum(sizes)
