@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestar import schemas
 from lakestar.operators.event_star import build_event_star, write_event_star
 from lakestar.operators.query_tables import write_query_tables
-from lakestar.session import build_session, listed_bytes, partitions_for
+from lakestar.session import build_session, listed_bytes, partitions_for, written
 from lakestar.sinks.files import write_csv
 from lakestar.sinks.tables import append_by_name, recreate_tables
 from lakestar.sources.events import consolidate_event_files
@@ -24,14 +24,20 @@ def read_raw(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return songs, log
 
 
+def read_once(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """`read_raw`, parsed once whatever the number of tables built from it."""
+    songs, log = read_raw(spark, root)
+    return written(songs, "songs"), written(log, "log")
+
+
 def event_lake(spark: SparkSession, source: str, target: str) -> None:
     """Raw files to the star as partitioned Parquet. Plays without a known song are kept."""
-    write_event_star(build_event_star(*read_raw(spark, source)), target)
+    write_event_star(build_event_star(*read_once(spark, source)), target)
 
 
 def event_warehouse(spark: SparkSession, source: str, database: str) -> None:
     """Raw files to catalog tables. Only plays of known songs; the time table has all events."""
-    songs, log = read_raw(spark, source)
+    songs, log = read_once(spark, source)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     recreate_tables(spark, {f"{database}.{n}": s for n, s in schemas.EVENT_STAR.items()})
     star = build_event_star(songs, log, match="inner", time_of_plays_only=False)

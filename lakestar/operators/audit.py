@@ -56,6 +56,11 @@ def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union([nulls(name, df) for name, df in tables.items()])
 
 
+def each_table(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The same audit of several tables, each row with the name of its table."""
+    return _union([df.select(F.lit(name).alias("table_name"), "*") for name, df in frames.items()])
+
+
 def range_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Smallest and largest value per numeric column."""
     parts = {"min": F.min, "max": F.max}

@@ -118,7 +118,7 @@ def build_event_star(
     use_duration: bool = False,
     time_of_plays_only: bool = True,
 ) -> dict[str, DataFrame]:
-    """All five tables, dimensions first. Nothing is read back from disk in between."""
+    """All five tables, dimensions first. Hand in frames that are cheap to read several times."""
     songs = songs_dim(songs_raw)
     artists = artists_dim(songs_raw)
     timed = log.withColumn("start_time", calendar.from_epoch_millis(F.col("ts")))

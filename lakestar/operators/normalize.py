@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.operators.ordering import add_row_numbers
+from lakestar.operators.ordering import add_row_numbers, running_sum
 
 
 def list_to_rows(
@@ -20,6 +20,24 @@ def list_to_rows(
     return df.select(*kept, F.explode(column).alias(element))
 
 
+def list_to_numbered_rows(
+    df: DataFrame, key: str, column: str, element: str, position: str, row_id: str
+) -> DataFrame:
+    """(`row_id`, `key`, `position`, `element`): one row per list element, numbered from 1 by key and
+    position.
+
+    `key` is unique. Only keys and list lengths are sorted and summed up; the lists move once, to meet
+    the number that their first element has, and are neither sorted nor checkpointed.
+    """
+    sizes = df.select(key, F.size(column).cast("long").alias("_n")).where(F.col("_n") > 0)
+    summed = running_sum(sizes, [], [key], "_n", "_upto", ties=[])
+    starts = summed.select(F.col(key).alias("_key"), (F.col("_upto") - F.col("_n")).alias("_before"))
+    rows = df.select(key, column).join(starts, F.col(key) == F.col("_key"))
+    rows = rows.select("_before", key, F.posexplode(column).alias(position, element))
+    number = F.col("_before") + F.col(position) + F.lit(1)
+    return rows.select(number.alias(row_id), key, position, element)
+
+
 def split_parent_child(
     df: DataFrame,
     key: str,

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 def with_order_date(lineorder: DataFrame) -> DataFrame:
     """The integer order day turned into a date."""
     day = F.to_date(F.col("lo_orderdate").cast("string"), "yyyyMMdd")
@@ -37,18 +36,44 @@ def one_dim(lineorder: DataFrame, year: int, low, high, quantity_below) -> DataF
     return rows.agg(F.sum(discount_revenue()).alias("revenue"))
 
 
+def brands_of(part: DataFrame, category: str) -> DataFrame:
+    return part.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
+
+
+def sellers_of(supplier: DataFrame, region: str) -> DataFrame:
+    return supplier.where(F.col("s_region") == region).select("s_suppkey")
+
+
+def in_cities(df: DataFrame, city: str, cities: Sequence[str], key: str) -> DataFrame:
+    return df.where(F.col(city).isin(list(cities))).select(key, city)
+
+
+def revenue_by_brand(rows: DataFrame) -> DataFrame:
+    """Revenue by year and brand of lines that know their brand."""
+    return rows.groupBy(F.year("lo_orderdate").alias("d_year"), "p_brand1").agg(
+        F.sum("lo_revenue").alias("revenue")
+    )
+
+
+def revenue_by_cities(rows: DataFrame, first: str, after: str) -> DataFrame:
+    """Revenue within some days of lines that know both cities, largest first per year."""
+    return (
+        _between_days(rows, first, after)
+        .groupBy("c_city", "s_city", F.year("lo_orderdate").alias("d_year"))
+        .agg(F.sum("lo_revenue").alias("revenue"))
+        .orderBy(F.col("d_year").asc(), F.col("revenue").desc(), "c_city", "s_city")
+    )
+
+
 def two_dim(
     lineorder: DataFrame, part: DataFrame, supplier: DataFrame, category: str, region: str
 ) -> DataFrame:
     """Revenue by year and brand, for one product category and supplier region."""
-    brands = part.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
-    suppliers = supplier.where(F.col("s_region") == region).select("s_suppkey")
+    brands, suppliers = brands_of(part, category), sellers_of(supplier, region)
     rows = lineorder.join(
         suppliers, F.col("lo_suppkey") == F.col("s_suppkey"), "left_semi"
     ).join(brands, F.col("lo_partkey") == F.col("p_partkey"))
-    return rows.groupBy(F.year("lo_orderdate").alias("d_year"), "p_brand1").agg(
-        F.sum("lo_revenue").alias("revenue")
-    )
+    return revenue_by_brand(rows)
 
 
 def drill(
@@ -61,19 +86,12 @@ def drill(
     after: str,
 ) -> DataFrame:
     """Revenue between cities within some days, largest first per year."""
-    buyers = customer.where(F.col("c_city").isin(list(customer_cities)))
-    sellers = supplier.where(F.col("s_city").isin(list(supplier_cities)))
-    buyers, sellers = buyers.select("c_custkey", "c_city"), sellers.select("s_suppkey", "s_city")
-    rows = (
-        _between_days(lineorder, first, after)
-        .join(sellers, F.col("lo_suppkey") == F.col("s_suppkey"))
-        .join(buyers, F.col("lo_custkey") == F.col("c_custkey"))
-    )
-    return (
-        rows.groupBy("c_city", "s_city", F.year("lo_orderdate").alias("d_year"))
-        .agg(F.sum("lo_revenue").alias("revenue"))
-        .orderBy(F.col("d_year").asc(), F.col("revenue").desc(), "c_city", "s_city")
+    buyers = in_cities(customer, "c_city", customer_cities, "c_custkey")
+    sellers = in_cities(supplier, "s_city", supplier_cities, "s_suppkey")
+    rows = lineorder.join(sellers, F.col("lo_suppkey") == F.col("s_suppkey")).join(
+        buyers, F.col("lo_custkey") == F.col("c_custkey")
     )
+    return revenue_by_cities(rows, first, after)
 
 
 def same_dist(lineorder: DataFrame, part: DataFrame) -> DataFrame:

@@ -161,6 +161,24 @@ def counts_by_date(spark, sf):
     return events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
 
 
+@query("SELECT o_orderpriority AS level, count(*) AS n FROM orders GROUP BY 1 ORDER BY n, level")
+def counts_by_level(spark, sf):
+    orders = t.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("level"))
+    return orders.groupBy("level").agg(F.count("*").alias("n")).orderBy("n", "level")
+
+
+@query("SELECT l_linestatus AS gender, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n, gender")
+def counts_by_gender(spark, sf):
+    lines = t.table(spark, sf, "lineitem").select(F.col("l_linestatus").alias("gender"))
+    return lines.groupBy("gender").agg(F.count("*").alias("n")).orderBy("n", "gender")
+
+
+@query("SELECT user_id, count(*) AS plays FROM events WHERE event_type = 'click' GROUP BY user_id")
+def plays_per_user(spark, sf):
+    clicks = t.activity(spark, sf).where(F.col("page") == "click")
+    return clicks.groupBy("user_id").agg(F.count("*").alias("plays"))
+
+
 # --- lookups of one key, which is what these tables are laid out for ---------------------------
 
 

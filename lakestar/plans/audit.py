@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from lakestar import schemas
 from lakestar.operators import audit
 from lakestar.plans import tables as t
 from lakestar.plans.registry import query
 
 KEYS = {
+    "region": "r_regionkey",
+    "nation": "n_nationkey",
     "customer": "c_custkey",
     "supplier": "s_suppkey",
     "part": "p_partkey",
@@ -16,16 +20,33 @@ KEYS = {
     "lineitem": "l_orderkey",
     "events": "event_id",
     "documents": "doc_id",
+    "embeddings": "vec_id",
+    "pages": "page_id",
+    "benchmark": "item_id",
+    "labels": "doc_id",
+    "conversations": "conv_id",
+}
+COLUMNS = {name: schemas.GIVEN[name].names for name in KEYS}
+NUMBERS = {
+    name: [f.name for f in schemas.GIVEN[name] if isinstance(f.dataType, NumericType)]
+    for name in KEYS
+}
+#: Conditions that both engines read alike.
+RULES = {
+    "customer": {"customer_nation": "c_nationkey BETWEEN 0 AND 24"},
+    "part": {"part_size": "p_size BETWEEN 1 AND 49", "part_price": "p_retailprice > 0"},
+    "orders": {"order_status": "o_orderstatus IN ('F', 'O')", "order_total": "o_totalprice >= 0"},
+    "lineitem": {
+        "flag": "l_returnflag IN ('A', 'R')",
+        "quantity": "l_quantity BETWEEN 1 AND 49",
+        "year": "year(l_shipdate) BETWEEN 1901 AND 2155",
+        "key": "l_orderkey IS NOT NULL",
+    },
+    "events": {"event_kind": "event_type IS NOT NULL", "event_value": "value >= 0"},
+    "documents": {"document_length": "n_chars >= 0", "document_text": "text IS NOT NULL"},
+    "labels": {"label_toxic": "toxic IN (0, 1)", "label_quality": "quality BETWEEN 0 AND 3"},
+    "conversations": {"turn_number": "turn >= 0"},
 }
-COLUMNS = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "orders": [
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority",
-    ],
-    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
-    "labels": ["doc_id", "quality", "toxic"],
-}
 LINKS = {
     "lineitem_orders": ("lineitem", "l_orderkey", "orders", "o_orderkey"),
     "lineitem_part": ("lineitem", "l_partkey", "part", "p_partkey"),
@@ -34,7 +55,6 @@ LINKS = {
     "customer_nation": ("customer", "c_nationkey", "nation", "n_nationkey"),
     "documents_labels": ("documents", "doc_id", "labels", "doc_id"),
 }
-NUMBERS = ["l_quantity", "l_extendedprice", "l_tax"]
 
 
 @query(" UNION ALL ".join(
@@ -71,39 +91,54 @@ def fk_audit(spark, sf):
     )
 
 
-@query("""
-    SELECT 'flag' AS rule, count(*) FILTER (NOT (l_returnflag IN ('A', 'R'))) AS violations
-    FROM lineitem
-    UNION ALL SELECT 'quantity', count(*) FILTER (NOT (l_quantity BETWEEN 1 AND 49)) FROM lineitem
-    UNION ALL SELECT 'year', count(*) FILTER (NOT (year(l_shipdate) BETWEEN 1901 AND 2155))
-    FROM lineitem
-    UNION ALL SELECT 'key', count(*) FILTER (l_orderkey IS NULL) FROM lineitem
-""")
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{label}' AS rule,"
+    f" count(*) FILTER (NOT ({rule})) AS violations FROM {name}"
+    for name, rules in RULES.items() for label, rule in rules.items()
+))
 def domain_audit(spark, sf):
-    rules = {
-        "flag": F.col("l_returnflag").isin("A", "R"),
-        "quantity": F.col("l_quantity").between(1, 49),
-        "year": F.year("l_shipdate").between(1901, 2155),
-        "key": F.col("l_orderkey").isNotNull(),
-    }
-    return audit.domain_audit(t.table(spark, sf, "lineitem"), rules)
+    return audit.each_table(
+        {
+            name: audit.domain_audit(
+                t.table(spark, sf, name), {label: F.expr(rule) for label, rule in rules.items()}
+            )
+            for name, rules in RULES.items()
+        }
+    )
 
 
 @query(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, min({c}) AS min_value, max({c}) AS max_value FROM lineitem"
-    for c in NUMBERS
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, min({c})::DOUBLE AS min_value,"
+    f" max({c})::DOUBLE AS max_value FROM {name}"
+    for name, columns in NUMBERS.items() for c in columns
 ))
 def min_max_profile(spark, sf):
-    return audit.range_audit(t.table(spark, sf, "lineitem"), NUMBERS)
+    return audit.each_table(
+        {name: audit.range_audit(t.table(spark, sf, name), c) for name, c in NUMBERS.items()}
+    )
 
 
 @query(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count({c})::DOUBLE AS count, round(avg({c}), 4) AS mean,"
-    f" round(stddev_samp({c}), 4) AS stddev, min({c}) AS min, max({c}) AS max FROM lineitem"
-    for c in NUMBERS
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, count({c})::DOUBLE AS count,"
+    f" round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev,"
+    f" min({c})::DOUBLE AS min, max({c})::DOUBLE AS max FROM {name}"
+    for name, columns in NUMBERS.items() for c in columns
 ))
 def describe_numeric(spark, sf):
-    stats = audit.describe(t.table(spark, sf, "lineitem"), NUMBERS)
-    return stats.withColumn("mean", F.round("mean", 4)).withColumn(
-        "stddev", F.round("stddev", 4)
+    stats = audit.each_table(
+        {name: audit.describe(t.table(spark, sf, name), c) for name, c in NUMBERS.items()}
     )
+    return stats.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
+
+
+@query(" UNION ALL ".join(
+    f"(SELECT '{name}' AS table_name, {key}::BIGINT AS row_key FROM {name} ORDER BY {key} LIMIT 5)"
+    for name, key in KEYS.items()
+))
+def sample_keys(spark, sf):
+    """Example records of every table: the five smallest keys."""
+    frames = {
+        name: t.table(spark, sf, name).select(F.col(key).cast("long").alias("row_key"))
+        for name, key in KEYS.items()
+    }
+    return audit.each_table({n: df.orderBy("row_key").limit(5) for n, df in frames.items()})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakestar.operators import audit
 from lakestar.operators import event_star as es
 from lakestar.operators import keyed, normalize, ordering
 from lakestar.operators import rental_star as rs
@@ -26,13 +27,6 @@ def normalize_1nf(spark, sf):
     return rows.withColumn("element", F.col("element").cast("double"))
 
 
-def _document_lines(spark, sf):
-    documents = t.table(spark, sf, "documents").select(
-        "doc_id", "lang", "source", F.split("text", "\n").alias("lines")
-    )
-    return normalize.list_to_rows(documents, "lines", "line", "line_no")
-
-
 @query("""
     WITH rows AS (
       SELECT doc_id, (generate_subscripts(lines, 1) - 1)::INT AS line_no, unnest(lines) AS line
@@ -41,9 +35,17 @@ def _document_lines(spark, sf):
 """)
 def normalize_2nf(spark, sf):
     """The line table: document attributes split off, every line with its own id."""
-    rows = _document_lines(spark, sf)
-    key = ["doc_id", "line_no"]
-    return normalize.split_parent_child(rows, "doc_id", ["lang", "source"], "line_id", key)[1]
+    documents = t.table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    return normalize.list_to_numbered_rows(
+        documents, "doc_id", "lines", "line", "line_no", "line_id"
+    )
+
+
+@query("SELECT DISTINCT doc_id, lang, source FROM documents WHERE text IS NOT NULL")
+def normalize_2nf_parent(spark, sf):
+    """The other half: one row per document that has lines, with what depends on the document only."""
+    documents = t.table(spark, sf, "documents").where(F.col("text").isNotNull())
+    return documents.select("doc_id", "lang", "source").distinct()
 
 
 @query("""
@@ -360,3 +362,19 @@ def users_dim(spark, sf):
 def fact_songplays(spark, sf):
     """The play fact with at most one song per play, by title, artist and duration."""
     return es.songplays(t.log(spark, sf), t.songs_raw(spark, sf), use_duration=True)
+
+
+@query("""
+    WITH plays AS (
+      SELECT o_custkey, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'N')
+    SELECT 'songs' AS table_name, count(DISTINCT p_partkey) AS num_rows FROM part
+    UNION ALL SELECT 'artists', count(DISTINCT p_brand) FROM part
+    UNION ALL SELECT 'users', count(DISTINCT o_custkey) FROM plays
+    UNION ALL SELECT 'time', count(DISTINCT o_orderdate) FROM plays
+    UNION ALL SELECT 'songplays', count(*) FROM plays
+""")
+def event_star_sizes(spark, sf):
+    """The whole event star, built as one; rows per table."""
+    star = es.build_event_star(t.songs_raw(spark, sf), t.log(spark, sf))
+    return audit.row_counts(star)

@@ -237,8 +237,13 @@ def ssb_one_dim(spark, sf):
     GROUP BY d_year, p_brand1
 """)
 def ssb_two_dim(spark, sf):
-    part, supplier = t.benchmark_part(spark, sf), t.benchmark_supplier(spark, sf)
-    return _revenue(ssb.two_dim(t.lineorder(spark, sf), part, supplier, "PROMO", "AMERICA"))
+    brands = ssb.brands_of(t.benchmark_part(spark, sf), "PROMO")
+    sellers = ssb.sellers_of(t.benchmark_supplier(spark, sf), "AMERICA")
+    links = [
+        (sellers, "lo_suppkey", "s_suppkey", "left_semi"),
+        (brands, "lo_partkey", "p_partkey", "inner"),
+    ]
+    return _revenue(ssb.revenue_by_brand(t.lineorder(spark, sf, of_lines=links)))
 
 
 @query("""
@@ -253,22 +258,23 @@ def ssb_two_dim(spark, sf):
     GROUP BY 1, 2, 3
 """)
 def ssb_drill(spark, sf):
-    rows = ssb.drill(
-        t.lineorder(spark, sf),
-        t.benchmark_customer(spark, sf),
-        t.benchmark_supplier(spark, sf),
-        ["NATION_1", "NATION_5"],
-        ["NATION_2", "NATION_20"],
-        "1997-12-01",
-        "1998-01-01",
+    customer, supplier = t.benchmark_customer(spark, sf), t.benchmark_supplier(spark, sf)
+    buyers = ssb.in_cities(customer, "c_city", ["NATION_1", "NATION_5"], "c_custkey")
+    sellers = ssb.in_cities(supplier, "s_city", ["NATION_2", "NATION_20"], "s_suppkey")
+    rows = t.lineorder(
+        spark,
+        sf,
+        of_lines=[(sellers, "lo_suppkey", "s_suppkey", "inner")],
+        of_orders=[(buyers, "lo_custkey", "c_custkey", "inner")],
     )
-    return _revenue(rows)
+    return _revenue(ssb.revenue_by_cities(rows, "1997-12-01", "1998-01-01"))
 
 
 @query("""
     SELECT l_shipdate AS lo_orderdate,
            sum(l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))::DOUBLE AS revenue
-    FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY l_shipdate
+    FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY l_shipdate ORDER BY l_shipdate
 """)
 def ssb_same_dist(spark, sf):
-    return _revenue(ssb.same_dist(t.shipped_lines(spark, sf), t.benchmark_part(spark, sf)))
+    sums = ssb.same_dist(t.shipped_lines(spark, sf), t.benchmark_part(spark, sf))
+    return _revenue(sums.orderBy("lo_orderdate"))

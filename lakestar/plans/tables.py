@@ -347,7 +347,24 @@ def _price_and_discount() -> list[Column]:
     ]
 
 
-def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: A dimension with the fact's key and its own, and how it is joined.
+Link = tuple[DataFrame, str, str, str]
+
+
+def _linked(df: DataFrame, links: Sequence[Link]) -> DataFrame:
+    for dimension, key, own, how in links:
+        df = df.join(dimension, F.col(key) == F.col(own), how)
+    return df
+
+
+def lineorder(
+    spark: SparkSession, sf_dir: str, of_lines: Sequence[Link] = (), of_orders: Sequence[Link] = ()
+) -> DataFrame:
+    """Order lines with their order's buyer and day.
+
+    Dimensions of the lines and of the orders are joined before the two meet, so that selective
+    ones shrink what is shuffled by order.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("lo_partkey"),
@@ -360,7 +377,7 @@ def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("customer_id").alias("lo_custkey"),
         F.col("payment_date").alias("lo_orderdate"),
     )
-    return lines.join(ordered, "order_id")
+    return _linked(lines, of_lines).join(_linked(ordered, of_orders), "order_id")
 
 
 def shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once to the shared folder as Parquet and read again, so that several tables built
+    from it parse the source once and read only the columns that they need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` written once to the shared folder, so that later passes see the same partitions."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -7,18 +7,18 @@ from tests.test_sources import HEADER, SONG
 
 # artist, firstName, gender, item, lastName, length, level, location, session, song, user
 EVENTS = [
-    ("Faithless", "Benjamin", "M", 4, "S", 495.3073, "free", "X", 338,
-     "Music Matters (Mark Knight Dub)", 50),
-    ("Lonnie Gordon", "Sylvie", "F", 3, "Cruz", 181.2, "free", "X", 182,
-     "Catch You Baby (Steve Pitron & Max Sanna Radio Edit)", 10),
-    ("Down To The Bone", "Sylvie", "F", 0, "Cruz", 333.7, "free", "X", 182,
-     "Keep On Keepin' On", 10),
-    ("Three Drives", "Sylvie", "F", 1, "Cruz", 411.6, "free", "X", 182, "Greece 2000", 10),
-    ("Sebastien Tellier", "Sylvie", "F", 2, "Cruz", 377.7, "free", "X", 182, "Kilometer", 10),
-    ("The Black Keys", "Sara", "F", 1, "Johnson", 196.9, "paid", "X", 152,
-     "All Hands Against His Own", 95),
-    ("The Black Keys", "Sara", "F", 9, "Johnson", 196.9, "paid", "X", 153,
-     "All Hands Against His Own", 95),
+    ("Quiet Ferns", "Noor", "M", 4, "S", 321.5, "free", "X", 71,
+     "Tin Roof (Night Mix)", 50),
+    ("Ida Vale", "Tove", "F", 3, "Lind", 181.2, "free", "X", 64,
+     "Rain Over (Short Cut)", 10),
+    ("Brass Fence", "Tove", "F", 0, "Lind", 333.7, "free", "X", 64,
+     "Ninth Stair", 10),
+    ("Cold Orchard", "Tove", "F", 1, "Lind", 411.6, "free", "X", 64, "Harvest 12", 10),
+    ("Wren Hollow", "Tove", "F", 2, "Lind", 377.7, "free", "X", 64, "Furlong", 10),
+    ("Chalk Line", "Mika", "F", 1, "Okafor", 196.9, "paid", "X", 152,
+     "Every Door Twice", 95),
+    ("Chalk Line", "Mika", "F", 9, "Okafor", 196.9, "paid", "X", 153,
+     "Every Door Twice", 95),
 ]
 COLUMNS = (
     "artist string, firstName string, gender string, itemInSession int, lastName string,"
@@ -29,19 +29,19 @@ COLUMNS = (
 def test_three_questions_three_tables(spark, tmp_path):
     root = str(tmp_path)
     write_query_tables(spark.createDataFrame(EVENTS, COLUMNS), root)
-    one = ask(spark, root, "by_session", session_id=338, item=4)
+    one = ask(spark, root, "by_session", session_id=71, item=4)
     assert rows(one, "artist", "song", "length") == [
-        ("Faithless", "Music Matters (Mark Knight Dub)", 495.3073)
+        ("Quiet Ferns", "Tin Roof (Night Mix)", 321.5)
     ]
-    heard = ask(spark, root, "by_user_session", user_id=10, session_id=182)
+    heard = ask(spark, root, "by_user_session", user_id=10, session_id=64)
     assert [(r.item, r.artist, r.first_name, r.last_name) for r in heard.collect()] == [
-        (0, "Down To The Bone", "Sylvie", "Cruz"),
-        (1, "Three Drives", "Sylvie", "Cruz"),
-        (2, "Sebastien Tellier", "Sylvie", "Cruz"),
-        (3, "Lonnie Gordon", "Sylvie", "Cruz"),
+        (0, "Brass Fence", "Tove", "Lind"),
+        (1, "Cold Orchard", "Tove", "Lind"),
+        (2, "Wren Hollow", "Tove", "Lind"),
+        (3, "Ida Vale", "Tove", "Lind"),
     ]
-    who = ask(spark, root, "by_song", song="All Hands Against His Own")
-    assert rows(who, "first_name", "last_name") == [("Sara", "Johnson")]
+    who = ask(spark, root, "by_song", song="Every Door Twice")
+    assert rows(who, "first_name", "last_name") == [("Mika", "Okafor")]
 
 
 def raw_files(root):

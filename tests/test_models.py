@@ -13,9 +13,9 @@ from lakestar.operators import star_benchmark as ssb
 from tests.conftest import rows
 
 ALBUMS = [
-    (1, "Rubber Soul", "The Beatles", 1965, ["Michelle", "Think For Yourself", "In My Life"]),
-    (2, "Let It Be", "The Beatles", 1970, ["Let It Be", "Across The Universe"]),
-    (3, "Empty", "Nobody", 1980, []),
+    (1, "Copper Kettle", "Ada North", 2003, ["Morning Rails", "Salt And Slate", "Paper Harbour"]),
+    (2, "Low Tide", "Ada North", 2007, ["Low Tide", "Lanterns"]),
+    (3, "Empty", "Nobody", 2011, []),
 ]
 
 
@@ -34,7 +34,7 @@ def test_three_normal_forms_and_back(library):
     )
     assert parent.count() == 2 and rows(child, "song_id") == [(i,) for i in range(1, 6)]
     third, artists = normalize.extract_dimension(parent, ["artist"], "artist_id")
-    assert rows(artists) == [(1, "The Beatles")] and "artist" not in third.columns
+    assert rows(artists) == [(1, "Ada North")] and "artist" not in third.columns
     back = normalize.denormalize(child, [(third, "album_id"), (artists, "artist_id")])
     assert normalize.same_rows(back.select(*first.columns), first)
     assert not normalize.same_rows(back.select(*first.columns), first.limit(4))
@@ -51,9 +51,9 @@ def test_null_attribute_survives_extraction(spark):
 
 
 def test_sums_per_album(spark):
-    lengths = [(1, 163), (1, 137), (1, 145), (2, 240), (2, 227)]
+    lengths = [(1, 100), (1, 90), (2, 75), (2, 60)]
     df = spark.createDataFrame(lengths, "album_id int, length int")
-    assert rows(olap.revenue_by(df, ["album_id"], "length", name="total")) == [(1, 445), (2, 467)]
+    assert rows(olap.revenue_by(df, ["album_id"], "length", name="total")) == [(1, 190), (2, 135)]
 
 
 @pytest.fixture
@@ -178,17 +178,17 @@ def test_calendar(spark):
 
 
 def test_text(spark):
-    songs = ["Despacito", "despacito", "Despacito", "All the stars"]
+    songs = ["Driftwood", "driftwood", "Driftwood", "All the lamps"]
     df = spark.createDataFrame([(s,) for s in songs], "song string")
     lowered = df.select(F.lower("song").alias("song"))
-    assert rows(text.count_values(lowered, "song")) == [("all the stars", 1), ("despacito", 3)]
+    assert rows(text.count_values(lowered, "song")) == [("all the lamps", 1), ("driftwood", 3)]
     assert rows(text.count_values(text.words(df, "song"), "word")) == [
-        ("all", 1), ("despacito", 3), ("stars", 1), ("the", 1),
+        ("all", 1), ("driftwood", 3), ("lamps", 1), ("the", 1),
     ]
     plain = text.group_concat(df.withColumn("g", F.lit(1)), ["g"], "song", "s")
-    assert rows(plain) == [(1, "All the stars, Despacito, Despacito, despacito")]
+    assert rows(plain) == [(1, "All the lamps, Driftwood, Driftwood, driftwood")]
     once = text.group_concat(df.withColumn("g", F.lit(1)), ["g"], "song", "s", distinct=True)
-    assert rows(once) == [(1, "All the stars, Despacito, despacito")]
+    assert rows(once) == [(1, "All the lamps, Driftwood, driftwood")]
     people = spark.createDataFrame([("ANN", "LEE"), (None, "X")], "f string, l string")
     assert rows(people.select(text.full_name("f", "l"), text.capitalized("l"))) == [
         ("ANN LEE", "Lee"),
