@@ -9,7 +9,8 @@
    places order them; paths nest them. What lies between template tokens is a slot.
 3. A page is matched with its host's template, token by token, in order. The text of the slots is kept
    where the elements around it are not furniture (menus, headers, footers, sidebars, notices, adverts,
-   forms, scripts, styles, comments). If the page marks its article, that is the slot that counts, whole;
+   forms, scripts, styles, comments), by tag or by a whole value of class, id or role. Marks on what holds the
+   page's article do not count. If the page marks its article, that is the slot that counts, whole;
    else texts that belong to the template are furniture too.
 
 Templates meet pages by host and a salt, so a host with a third of all pages is spread over tasks.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -40,19 +42,24 @@ SALTS = 64
 
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
-    "time tt u var wbr".split()
+    "time tt u var wbr math mi mn mo mrow ms msub msubsup msup mtext object semantics svg".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select".split())
-FURNITURE = frozenset("nav aside footer form button dialog menu".split())
+RAW = frozenset("script style noscript iframe textarea title".split())
+#: Furniture whatever it holds. A form may be a page's wrapper.
+NEVER = frozenset("nav aside footer button dialog menu select template annotation".split())
+FURNITURE = NEVER | {"form"}
 ARTICLE = frozenset("article main".split())
-#: Words of class, id and role that mark furniture.
+#: Values of class, id and role that mark furniture, alone or joined to each other and to words of place.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs comment comments "
     "complementary consent contentinfo cookie cookies disqus footer form gdpr header login masthead menu modal nav "
     "navbar navigation newsletter notice notices pagination popup promo promoted promotion related replies reply "
     "search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+PLACES = frozenset(
+    "site page global top bottom left right primary secondary box bar list container wrapper wrap section area block x".split()
+)
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S
 )
@@ -60,19 +67,39 @@ NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\
 WORDS = re.compile(r"[a-z]+")
 
 
+@lru_cache(1 << 16)
+def _marks(names: tuple[str, ...], article: bool) -> bool:
+    """Whether a value of class, id or role marks furniture; `article`: a header is none there."""
+    for value in {v for name in names for v in name.split()}:
+        found = WORDS.findall(value)
+        if all(w in MARKS or w in PLACES for w in found) and any(w in MARKS and not (article and w == "header") for w in found):
+            return True
+    return False
+
+
 class Element:
-    __slots__ = ("tag", "path", "furniture", "article")
+    """`root` is the article that an element is in, `below` whether it is furniture of that; `furniture` also
+    counts what the article is in. `mark` is the furniture nearest above,
+    `hidden` whether some of that is never a wrapper."""
+
+    __slots__ = ("tag", "path", "furniture", "article", "root", "below", "mark", "hidden")
 
     def __init__(self, tag: str, above: Element | None, names: list[str]):
         self.tag = tag
         label = tag if not names else f"{tag}.{'.'.join(names)}"
         inline = tag in INLINE
         self.path = above.path if above and inline else f"{above.path if above else ''}/{label}"
-        self.article = bool(above and above.article) or tag in ARTICLE
-        words = {w for name in names for w in WORDS.findall(name)}
-        body = tag in ("html", "body")
-        furniture = tag in FURNITURE or (tag == "header" and not self.article) or (not body and not MARKS.isdisjoint(words))
-        self.furniture = bool(above and above.furniture) or furniture
+        root = above.root if above else None
+        fresh = tag in ARTICLE and (root is None or tag == "article" and root.tag == "main")
+        self.root = self if fresh else root
+        self.article = self.root is not None
+        own = tag in FURNITURE or (tag == "header" and not self.article)
+        exempt = fresh or tag in ("html", "body", "main")
+        own = own or bool(names) and not exempt and _marks(tuple(names), self.article)
+        self.furniture = own or bool(above and above.furniture)
+        self.below = not fresh and (own or bool(above and above.below))
+        self.hidden = tag in NEVER or bool(above and above.hidden)
+        self.mark = self if own else above.mark if above else None
 
 
 def parse(page: str) -> Iterator[tuple[str, Element | None, str]]:
@@ -120,6 +147,23 @@ def parse(page: str) -> Iterator[tuple[str, Element | None, str]]:
             yield "tag", element, ""
 
 
+def nodes(page: str) -> tuple[list[tuple[str, Element | None, str]], set[Element]]:
+    """The parsed page, and its articles that stay although a mark or a form is around them: where no article
+    is free of marks, the one with the most text and those under the same mark, if other free text is less."""
+    found = list(parse(page))
+    size: Counter = Counter()
+    for what, e, text in found:
+        if what == "text" and e and e.root and e.root.furniture and not e.root.hidden and not e.below:
+            size[e.root] += len(text.strip())
+    if not size:
+        return found, set()
+    free = [(e, len(text.strip())) for what, e, text in found if what == "text" and not (e and e.furniture)]
+    largest, most = size.most_common(1)[0]
+    if sum(n for _, n in free) >= most or any(n and e and e.root and e.root.tag == "article" for e, n in free):
+        return found, set()
+    return found, {root for root in size if root.mark is largest.mark}
+
+
 def _token(what: str, path: str, text: str = "") -> int:
     return xxhash.xxh3_64_intdigest(f"{what} {path} {text}".encode("utf-8", "replace")) - (1 << 63)
 
@@ -178,17 +222,18 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str, template: list[int] | None) -> str:
     rank = {token: i for i, token in enumerate(template or [])}
-    nodes = list(parse(page))
-    marked = any(what == "text" and e and e.article and not e.furniture and text.strip() for what, e, text in nodes)
+    found, lifted = nodes(page)
+    furniture = lambda e: e.below if e.root in lifted else e.furniture
+    marked = any(what == "text" and e and e.article and not furniture(e) and text.strip() for what, e, text in found)
     out, last = [], -1
-    for what, element, text in nodes:
+    for what, element, text in found:
         if what == "tag":
             at = rank.get(_token("tag", element.path), -1)
             last = max(last, at)
             out.append(" ")
         elif what == "break":
             out.append(" ")
-        elif element and element.furniture or marked and not (element and element.article):
+        elif element and furniture(element) or marked and not (element and element.article):
             out.append(" ")
         elif element is None or element.article:
             out.append(text if element or not text.isspace() else " ")

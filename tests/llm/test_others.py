@@ -118,3 +118,22 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, tmp_path):
     assert {r.doc_id for r in final} == set(kept)
     digest = {r.doc_id: r.decoded_sha256 for r in final}
     assert all(digest[i] == hashlib.sha256((r.text or "").encode()).hexdigest() for i, r in kept.items())
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'><article>Whole <p>text</article></div>",
+        "<div class='no-sidebar'>%s</div>" % "<main class='with-sidebar'>Whole <p>text</main>",
+        "<div class='layout sidebar'><a href='#x'>Skip</a><article class='post has-comments widget'>Whole <p>text</article></div>",
+        "<form id='form1'><div class='content search'><main><div class='widget'><article>Whole <p>text</article></div></main></div></form>",
+        "<article><div class='entry-header'><h1>Whole</h1></div><div class='header'>text</div></article>",
+        "<article>Whole <svg><path d=''/><p>text</article><footer>f</footer>",
+        "<article>Whole <p>te<math><mi>x</mi></math>t<select><option>1</select></article><div class='site-footer'>f</div>",
+        "<div>Whole text</div><aside><article>A teaser that is longer</article></aside>",
+        "<article>Whole text</article><div class='related'><article>A teaser that is longer</article></div>",
+        "<article>Whole text<div class='post-1 ad ad-1'>Buy</div><ul class='comment-list'><li>First</ul></article>",
+    ],
+)
+def test_marks_do_not_hide_the_article(page):
+    assert html.main_text(page, None) == "Whole text"
