@@ -1,19 +1,21 @@
 """Main text of web pages, by a template deduced from the pages of a host.
 
 1. Each page becomes a sequence of tokens: its container tags, named by the path to them, and its texts
-   outside an article, named by path and content. Over the pages of a host a token has an occurrence
-   vector: how often each page has it. Vectors are compared by a digest that is summed up in any order,
-   so a host of any size is an aggregate.
+   outside an article, named by path and content. Pages of a host with equal content (their article, or
+   else their texts without furniture) count once. Over the pages of a host, and over those of each of its
+   layouts (equal paths of boxes), a token has an occurrence vector: how often each page has it. Vectors
+   are compared by a digest that is summed up in any order, so a host of any size is an aggregate.
 2. Tokens with equal vectors form a class. Classes that are large (`LARGE` tokens) and frequent (half of
-   the host's pages, three at least) make the template: what a host's pages are filled into. Their mean
-   places order them; paths nest them. What lies between template tokens is a slot.
-3. A page is matched with its host's template, token by token, in order. The text of the slots is kept
+   the pages of the host or of the layout, three at least) make the template: what pages are filled into.
+   Their mean places order them; paths nest them. What lies between template tokens is a slot.
+3. A page is matched with the template of its host and layout, token by token, in order. The text of the slots is kept
    where the elements around it are not furniture (menus, headers, footers, sidebars, notices, adverts,
    forms, scripts, styles, comments), by tag or by a whole value of class, id or role. Marks on what holds the
    page's article do not count. If the page marks its article, that is the slot that counts, whole;
    else texts that belong to the template are furniture too.
 
-Templates meet pages by host and a salt, so a host with a third of all pages is spread over tasks.
+Templates meet pages by host and a salt, so a host with a third of all pages is spread over tasks. A row
+carries the templates of all layouts of its host. Near copies with different texts count each.
 
 White space inside a block becomes one space; blocks are joined in page order by one space. Line breaks
 and tags other than inline ones separate blocks.
@@ -26,6 +28,7 @@ Unclosed and unmatched tags are tolerated. Other columns of the input are ignore
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,6 +41,9 @@ from pyspark.sql import functions as F
 
 #: Tokens of a large class; pages that a class is in at least, and their share of the host's.
 LARGE, FEWEST, SHARE = 3, 3, 0.5
+#: What tells layouts apart: tags of boxes, down to a depth.
+BOXES = frozenset("html body div section main article header footer nav aside form table".split())
+DEPTH = 6
 SALTS = 64
 
 INLINE = frozenset(
@@ -168,9 +174,9 @@ def _token(what: str, path: str, text: str = "") -> int:
     return xxhash.xxh3_64_intdigest(f"{what} {path} {text}".encode("utf-8", "replace")) - (1 << 63)
 
 
-def tokens(page: str) -> Iterator[int]:
+def tokens(found: list[tuple[str, Element | None, str]]) -> Iterator[int]:
     """The tokens of a page that a template may hold, in order."""
-    for what, element, text in parse(page):
+    for what, element, text in found:
         if what == "tag":
             yield _token("tag", element.path)
         elif what == "text" and not (element and element.article):
@@ -179,50 +185,102 @@ def tokens(page: str) -> Iterator[int]:
                 yield _token("text", element.path if element else "", text)
 
 
+def layout(found: list[tuple[str, Element | None, str]]) -> int:
+    """A digest of the boxes of a page outside its articles, never 0."""
+    paths = {e.path for what, e, _ in found if what == "tag" and e.tag in BOXES and not (e.article and e.root is not e)}
+    return _token("layout", "", "\n".join(sorted(x for x in paths if x.count("/") <= DEPTH))) | 1
+
+
+def content(found: list[tuple[str, Element | None, str]], lifted: set[Element]) -> int:
+    """A digest of the article of a page, or else of all texts that are not furniture by their elements."""
+    kept = [(e, " ".join(text.split())) for what, e, text in found if what == "text"]
+    kept = [(e, text) for e, text in kept if text and not (e and (e.below if e.root in lifted else e.furniture))]
+    article = [text for e, text in kept if e and e.article]
+    return _token("content", "", "\n".join(article or [text for _, text in kept]))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each host and content of a batch: the layout and the tokens of one page."""
+    for batch in batches:
+        seen: dict[tuple[str, int], tuple[int, bytes]] = {}
+        for host, page in zip(*(batch.column(i).to_pylist() for i in range(2))):
+            found, lifted = nodes(page)
+            one = (layout(found), array("q", tokens(found)).tobytes())
+            key = (host, content(found, lifted))
+            seen[key] = min(seen.get(key, one), one)
+        columns = list(zip(*((h, c, *one) for (h, c), one in seen.items()))) or [[]] * 4
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "content", "layout", "tokens"]
+        )
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each host and token of a batch: the digest of its vector, pages, occurrences and places."""
+    """For each host, layout (0 for all together) and token of a batch: the digest of its vector, pages,
+    occurrences and places."""
     for batch in batches:
-        found: dict[tuple[str, int], list[int]] = {}
-        for host, page_id, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        found: dict[tuple[str, int, int], list[int]] = {}
+        for host, page, kind, held in zip(*(batch.column(i).to_pylist() for i in range(4))):
             place: dict[int, int] = {}
             many = Counter()
-            for i, token in enumerate(tokens(page)):
+            for i, token in enumerate(array("q", held)):
                 place.setdefault(token, i)
                 many[token] += 1
             many[0], place[0] = 1, 0
             for token, n in many.items():
-                entry = found.setdefault((host, token), [0, 0, 0, 0])
-                entry[0] ^= xxhash.xxh3_64_intdigest(f"{page_id} {n}") - (1 << 63)
-                entry[1] += 1
-                entry[2] += n
-                entry[3] += place[token]
-        columns = list(zip(*((h, t, *e) for (h, t), e in found.items()))) or [[]] * 6
-        kinds = [pa.string(), *[pa.int64()] * 5]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "token", "vector", "pages", "times", "places"]
-        )
+                vector = xxhash.xxh3_64_intdigest(f"{page} {n}") - (1 << 63)
+                for group in (0, kind):
+                    entry = found.setdefault((host, group, token), [0, 0, 0, 0])
+                    entry[0] ^= vector
+                    entry[1] += 1
+                    entry[2] += n
+                    entry[3] += place[token]
+        columns = list(zip(*((*key, *e) for key, e in found.items()))) or [[]] * 7
+        kinds = [pa.string(), *[pa.int64()] * 6]
+        names = ["host", "layout", "token", "vector", "pages", "times", "places"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """`host` and `template`, its tokens in order, for (host, page_id, html)."""
-    counted = pages.where("host is not null").select("host", "page_id", "html")
-    counted = counted.mapInArrow(_counted, "host string, token long, vector long, pages long, times long, places long")
-    counted = counted.groupBy("host", "token").agg(
+    """`host` and `templates` for (host, html): of each layout (0 for all together) the tokens, in order, and
+    their mean places."""
+    read = pages.where("host is not null").select("host", "html")
+    read = read.mapInArrow(_read, "host string, content long, layout long, tokens binary")
+    # Copies count once, so that what they say is no template.
+    once = read.groupBy("host", "content").agg(F.min(F.struct("layout", "tokens")).alias("page"))
+    counted = once.select("host", "content", "page.layout", "page.tokens").mapInArrow(
+        _counted, "host string, layout long, token long, vector long, pages long, times long, places long"
+    )
+    group = ["host", "layout"]
+    counted = counted.groupBy(*group, "token").agg(
         F.bit_xor("vector").alias("vector"), *(F.sum(c).alias(c) for c in ("pages", "times", "places"))
     )
     counted = counted.where(F.col("pages") >= FEWEST)
-    hosts = counted.where("token = 0").select("host", F.col("pages").alias("all"))
-    frequent = counted.where("token <> 0").join(hosts, "host").where(F.col("pages") >= SHARE * F.col("all"))
+    hosts = counted.where("token = 0").select(*group, F.col("pages").alias("all"))
+    frequent = counted.where("token <> 0").join(hosts, group).where(F.col("pages") >= SHARE * F.col("all"))
     member = F.struct((F.col("places") / F.col("pages")).alias("place"), "token")
-    classes = frequent.groupBy("host", "vector", "pages", "times").agg(F.collect_list(member).alias("members"))
+    classes = frequent.groupBy(*group, "vector", "pages", "times").agg(F.collect_list(member).alias("members"))
     large = classes.where(F.size("members") >= LARGE)
-    ordered = F.transform(F.array_sort(F.flatten(F.collect_list("members"))), lambda m: m["token"])
-    return large.groupBy("host").agg(ordered.alias("template"))
+    ordered = large.groupBy(*group).agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("m"))
+    one = F.struct("layout", F.col("m.token").alias("tokens"), F.col("m.place").alias("places"))
+    return ordered.groupBy("host").agg(F.collect_list(one).alias("templates"))
+
+
+def _template(known: list[dict], kind: int) -> list[int]:
+    """The tokens of the host's template and that of the layout, by the places in the layout first."""
+    place: dict[int, float] = {}
+    for group in (0, kind):
+        for one in known:
+            if one["layout"] == group:
+                place.update(zip(one["tokens"], one["places"]))
+    return sorted(place, key=lambda token: (place[token], token))
 
 
 def main_text(page: str, template: list[int] | None) -> str:
-    rank = {token: i for i, token in enumerate(template or [])}
-    found, lifted = nodes(page)
+    return _slots(*nodes(page), {token: i for i, token in enumerate(template or [])})
+
+
+def _slots(found: list[tuple[str, Element | None, str]], lifted: set[Element], rank: dict[int, int]) -> str:
     furniture = lambda e: e.below if e.root in lifted else e.furniture
     marked = any(what == "text" and e and e.article and not furniture(e) and text.strip() for what, e, text in found)
     out, last = [], -1
@@ -248,7 +306,16 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
-            texts = [main_text(p, t) for p, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts, known, ranks = [], {}, {}
+            hosts, pages, held = batch.column(3).to_pylist(), batch.column(2).to_pylist(), batch.column(4)
+            for i, (host, page) in enumerate(zip(hosts, pages)):
+                if host not in known:
+                    known[host] = held[i].as_py() or []
+                found, lifted = nodes(page)
+                kind = layout(found) if known[host] else 0
+                if (host, kind) not in ranks:
+                    ranks[host, kind] = {token: k for k, token in enumerate(_template(known[host], kind))}
+                texts.append(_slots(found, lifted, ranks[host, kind]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
@@ -268,4 +335,4 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     # Pages without a host have one of their own each, so that they do not meet in one task.
     key = F.coalesce("host", F.xxhash64("page_id", "url").cast("string"))
     matched = rows.withColumns({"salt": salt, "host": key}).join(found, ["host", "salt"], "left")
-    return matched.select("page_id", "url", "html", "template").mapInArrow(_extracted, "page_id long, url string, text string")
+    return matched.select("page_id", "url", "html", "host", "templates").mapInArrow(_extracted, "page_id long, url string, text string")

@@ -137,3 +137,17 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, tmp_path):
 )
 def test_marks_do_not_hide_the_article(page):
     assert html.main_text(page, None) == "Whole text"
+
+
+def test_copies_and_layouts_without_an_article(spark):
+    box = "<html><body><div class='top'>Home %s</div><div>Menu %s</div><div>%s</div><div>All rights %s</div></body></html>"
+    story = "<p>Copied one</p><p>Copied two</p><p>Copied three</p><p>Copied four</p>"
+    # Four copies of one article among seven pages.
+    data = [(i, "http://c.org/", box % ("c", "c", story, "c"), "Copied one Copied two Copied three Copied four") for i in range(4)]
+    data += [(4 + i, "http://c.org/", box % ("c", "c", f"<p>Story {i}", "c"), f"Story {i}") for i in range(3)]
+    # Three layouts of a third each, none of which says the same around its stories.
+    for k in range(3):
+        page = f"<html><body><div id='l{k}'>Home {k}<div>Menu {k}</div><p>%s</p><div>Rights {k}</div></div></body></html>"
+        data += [(100 * k + 10 + i, "http://l.org/", page % f"Story {k} {i}", f"Story {k} {i}") for i in range(4)]
+    pages = spark.createDataFrame([d[:3] for d in data], "page_id long, url string, html string").repartition(5)
+    assert rows(html.extract(pages), "page_id", "text") == sorted(((d[0], d[3]) for d in data), key=repr)
