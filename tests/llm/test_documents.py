@@ -226,3 +226,31 @@ def test_empty_tables(nothing, spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminated(nothing, items).count() == 0
     assert toxicity.score_toxicity(nothing, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
+
+
+def test_each_looser_kind_is_added(spark):
+    """Bases in many texts; each looser form in a few, and what only looks like it."""
+    import random
+
+    rng = random.Random(5)
+
+    def luhn(head):
+        return next(head + str(d) for d in range(10) if sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(head + str(d)))) % 10 == 0)
+
+    def number(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    texts = [(i, f"und a{i}x@mail.example.org sowie +1 (212) 555-{number(4)} mit {luhn('4' + number(14))} und noch mehr 8{number(7)} da") for i in range(120)]
+    texts += [
+        (1001, "schreib jane.doe (at) example (dot) org bitte"), (1002, "schreib jane.doe[at]mail.example[dot]org bitte"),
+        (1003, "zahl auf DE89 3704 0044 0532 0130 00 ein"), (1004, "zahl auf GB82WEST12345698765432 ein"), (1005, "zahl auf DE88 3704 0044 0532 0130 00 ein"),
+        (1006, "mit 378282246310005 bezahlt"), (1007, "mit 378282246310006 bezahlt"), (1008, "ruf (212) 555-0188 an"), (1009, "Phone: 212 555-0188 an"),
+        (1010, "account 12345678 da"), (1011, "nichts 12345678 da"), (1012, "sat at home. And slept"), (1013, "mit 4222 2222 2222 2 bezahlt"),
+    ]
+    found = pii.find_personal_data(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).where("doc_id > 1000")
+    got = {(r.doc_id, s.value) for r in found.collect() for s in r.spans}
+    assert got == {
+        (1001, "jane.doe (at) example (dot) org"), (1002, "jane.doe[at]mail.example[dot]org"), (1003, "DE89 3704 0044 0532 0130 00"),
+        (1004, "GB82WEST12345698765432"), (1006, "378282246310005"), (1008, "(212) 555-0188"), (1009, "212 555-0188"),
+        (1010, "12345678"), (1013, "4222 2222 2222 2"),
+    }
