@@ -7,7 +7,9 @@ in a document with a smaller id; windows are judged on the input.
    the same minimiser (the smallest hash of four consecutive words in the window) travel as one
    packed string. Equal strings of a chunk travel once, with the smallest id that has them, so a
    passage that a third of all documents share is one string per chunk.
-2. Strings go to buckets by minimiser; equal windows have equal minimisers and meet there. A bucket
+2. Strings go to buckets by minimiser; equal windows have equal minimisers and meet there. Buckets that
+   would get more than `HEAVY_BYTES` by a count before are dealt window by window, by the hash of the
+   whole window, so that a hot minimiser spreads and equal windows still meet. A bucket
    sorts its windows by hash, tells equal from colliding ones by their bytes, and answers each chunk
    with the windows that start in a smaller document elsewhere.
 3. The chunk finds its strings again and removes what was answered, and what its own smaller
@@ -35,12 +37,45 @@ from lakestar.llm.common import LOW, Words, fold
 WINDOW, MINIMISER = 13, 4
 #: Bytes of text of a chunk, and of packed strings of a bucket, about.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+#: Bytes of packed strings from which a bucket is cut.
+HEAVY_BYTES = 4 * BUCKET_BYTES
+
+
+def _windows(words: Words, texts: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the windows of the first texts start, and their minimisers."""
+    starts = [np.arange(a, b - window + 1) for a, b in zip(words.bound[:texts].tolist(), words.bound[1:].tolist())]
+    starts = np.concatenate(starts) if starts else np.empty(0, np.int64)
+    return starts, _sliding_least(fold(words.hash, MINIMISER), window - MINIMISER + 1)[starts]
+
+
+def _weighed(window: int, buckets: int):
+    """The bytes of the distinct strings of each batch, by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets)
+        for batch in batches:
+            words = Words(batch.column(0).to_pylist())
+            starts, least = _windows(words, batch.num_rows, window)
+            if not len(starts):
+                continue
+            new = np.ones(len(starts), bool)
+            new[1:] = (starts[1:] != starts[:-1] + 1) | (least[1:] != least[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(starts)) - 1
+            code = fold(words.hash, window)[starts[first]] + (last - first).astype(np.uint64)
+            one = np.unique(code, return_index=True)[1]
+            size = words.end[starts[last[one]] + window - 1] - words.start[starts[first[one]]]
+            total += np.bincount((least[first[one]] % np.uint64(buckets)).astype(np.int64), size, buckets)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some].astype(np.int64))], ["bucket", "bytes"])
+
+    return run
 
 
 class _Chunk:
     """The words of some documents, their super-k-mers, and the distinct strings of these."""
 
-    def __init__(self, ids: pa.ChunkedArray, texts: pa.ChunkedArray, window: int):
+    def __init__(self, ids: pa.ChunkedArray, texts: pa.ChunkedArray, window: int, buckets: int, heavy: dict[int, tuple[int, int]]):
         order = np.lexsort((np.arange(len(ids)), ids.fill_null(0).to_numpy(), ids.is_null().to_numpy()))
         self.ids, texts = ids.take(pa.array(order)), texts.take(pa.array(order))
         self.words = words = Words(texts.to_pylist())
@@ -54,18 +89,23 @@ class _Chunk:
         self.joined[self.at[1:] - 1] = 32
 
         known = len(ids) - ids.null_count
-        starts = [
-            np.arange(a, b - window + 1) for a, b in zip(words.bound[:known].tolist(), words.bound[1:].tolist())
-        ]
-        starts = np.concatenate(starts) if starts else np.empty(0, np.int64)
-        least = _sliding_least(fold(words.hash, MINIMISER), window - MINIMISER + 1)[starts]
+        starts, least = _windows(words, known, window)
+        bucket = (least % np.uint64(buckets)).astype(np.int64)
+        hot = np.isin(bucket, list(heavy)) if heavy else np.zeros(len(starts), bool)
+        if hot.any():
+            codes = fold(words.hash, window)[starts]
+            for b, (base, many) in heavy.items():
+                here = hot & (bucket == b)
+                bucket[here] = base + (codes[here] % np.uint64(many)).astype(np.int64)
         new = np.ones(len(starts), bool)
         new[1:] = (starts[1:] != starts[:-1] + 1) | (least[1:] != least[:-1])
+        new |= hot
+        new[1:] |= hot[:-1]
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(starts)) - 1
-        #: Of each super-k-mer: its first word, the one after its last, its minimiser, its document.
+        #: Of each super-k-mer: its first word, the one after its last, its bucket, its document.
         self.begin, self.stop = starts[first], starts[last] + window if len(first) else starts[first]
-        self.least = least[first]
+        self.bucket = bucket[first]
         doc = np.searchsorted(words.bound, self.begin, "right") - 1
         self.doc = self.ids.fill_null(0).to_numpy()[doc] if len(doc) else doc
         found: dict[bytes, int] = {}
@@ -88,10 +128,10 @@ def _sliding_least(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (n - span)], x[n - span :])
 
 
-def _packed(window: int, buckets: int):
+def _packed(window: int, buckets: int, heavy: dict[int, tuple[int, int]]):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        chunk = _Chunk(table.column("id"), table.column("text"), window)
-        bucket = (chunk.least[chunk.first] % np.uint64(buckets)).astype(np.int64)
+        chunk = _Chunk(table.column("id"), table.column("text"), window, buckets, heavy)
+        bucket = chunk.bucket[chunk.first]
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         zip_ = zstandard.ZstdCompressor(level=1)
@@ -193,9 +233,9 @@ def _regroup(words, starts, order, group, mixed, window) -> np.ndarray:
     return group
 
 
-def _removed(window: int):
+def _removed(window: int, buckets: int, heavy: dict[int, tuple[int, int]]):
     def run(key: tuple, docs: pa.Table, spans: pa.Table) -> pa.Table:
-        chunk = _Chunk(docs.column("id"), docs.column("text"), window)
+        chunk = _Chunk(docs.column("id"), docs.column("text"), window, buckets, heavy)
         words = chunk.words
         marks = np.zeros(len(words) + 1, np.int64)
 
@@ -246,13 +286,20 @@ def remove_repeats(
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = total // CHUNK_BYTES + 1, 3 * total // BUCKET_BYTES + 12
     chunk = F.pmod(F.xxhash64(F.coalesce("id", F.xxhash64("text"))), F.lit(chunks)).cast("long")
+    weighed = docs.where("id is not null").select("text").mapInArrow(_weighed(window, buckets), "bucket long, bytes long")
+    weighed = weighed.groupBy("bucket").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > HEAVY_BYTES)
+    # At most as many as HEAVY_BYTES fit into the packed strings. Cut into windows, a string is `window` times longer.
+    heavy, free = {}, int(buckets)
+    for r in sorted(weighed.collect()):
+        many = window * r["bytes"] // BUCKET_BYTES + 2
+        heavy[r["bucket"]], free = (free, many), free + many
     dealt = docs.withColumn("chunk", chunk)
     packed = dealt.groupBy("chunk").applyInArrow(
-        _packed(window, buckets), "bucket long, chunk long, entries binary, docs binary, strings binary"
+        _packed(window, buckets, heavy), "bucket long, chunk long, entries binary, docs binary, strings binary"
     )
     answers = packed.groupBy("bucket").applyInArrow(_answers(window), "chunk long, spans binary")
     return (
         dealt.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(_removed(window), "doc_id long, n_words long, n_removed long, kept string")
+        .applyInArrow(_removed(window, buckets, heavy), "doc_id long, n_words long, n_removed long, kept string")
     )

@@ -254,3 +254,31 @@ def test_each_looser_kind_is_added(spark):
         (1004, "GB82WEST12345698765432"), (1006, "378282246310005"), (1008, "(212) 555-0188"), (1009, "212 555-0188"),
         (1010, "12345678"), (1013, "4222 2222 2222 2"),
     }
+
+
+def test_a_hot_minimiser_is_cut_into_windows(spark, texts, monkeypatch):
+    """A short line in most documents, with other words around it: no group gets all of it."""
+    line = "aa bb cc dd ee"
+    many = texts + [(1000 + i, passage(500 + i % 250, 9) + f" {line} " + passage(900 + i % 250, 9)) for i in range(400)]
+    monkeypatch.setattr(substring, "BUCKET_BYTES", 4000)
+    monkeypatch.setattr(substring, "HEAVY_BYTES", 6000)
+    answers = substring._answers
+
+    def bounded(window):
+        run = answers(window)
+
+        def one(table):
+            import zstandard
+
+            size = sum(len(zstandard.ZstdDecompressor().decompress(x)) for x in table.column("strings").to_pylist())
+            assert size < 20_000, "one group has it all"
+            return run(table)
+
+        return one
+
+    monkeypatch.setattr(substring, "_answers", bounded)
+    docs = spark.createDataFrame(many, "doc_id long, text string").repartition(3)
+    assert rows(substring.remove_repeats(docs)) == repeats_brute(many)
+    monkeypatch.setattr(substring, "HEAVY_BYTES", 1 << 60)
+    with pytest.raises(Exception, match="one group has it all"):
+        substring.remove_repeats(docs).collect()
