@@ -175,7 +175,8 @@ def proposals(text: Column) -> Column:
 
 
 def described(rows: DataFrame) -> DataFrame:
-    """The features of the proposals: columns kind, value, before and after."""
+    """The features of the proposals, and their check as `ok`: columns kind, value, before and after."""
+    rows = rows.withColumn("ok", checks())
     value, digits = F.col("value"), _digits(F.col("value"))
     number = lambda c: c.cast("double")
     sizes = {
@@ -195,7 +196,7 @@ def described(rows: DataFrame) -> DataFrame:
         "cue": F.concat("before", "after").rlike(CUES),
         "first_digit": F.coalesce(F.try_to_number(F.substring(digits, 1, 1), F.lit("9")), F.lit(-1)),
         "distinct": F.size(F.array_distinct(F.split(digits, ""))),
-        "passed": F.coalesce(checks(), F.lit(False)),
+        "passed": F.coalesce("ok", F.lit(False)),
         "disguised": value.rlike(DISGUISE),
         "blank_dot": value.rlike(r"\.\x20|\x20\."),
     }
@@ -222,11 +223,14 @@ def find_personal_data(docs: DataFrame, text: str = "text", sample: int = SAMPLE
     meets = F.exists("_base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
     equal = F.exists("_base", lambda b: (b["start"] == F.col("start")) & (b["end"] == F.col("end")))
     loose = described(loose.withColumns({"meets": meets, "equal": equal}))
-    loose = loose.withColumn("label", F.when(F.col("equal"), 1).when(~F.col("meets"), checks().cast("int")))
+    label = F.when(F.col("equal"), 1).when(~F.col("meets"), F.col("ok").cast("int"))
+    # Proposals are few beside the texts, and read several times.
+    loose = staged(loose.select("_row", "start", "end", "kind", "value", "meets", label.alias("label"), *FEATURES), "proposals")
     near = rows.select("_row", F.explode("_near").alias("s")).select("_row", "s.*")
 
     columns = ["_row", "start", "end", "kind", "label", *FEATURES]
     known = loose.where("label is not null").select(columns).unionByName(described(rewritten(near)).select(columns))
+    known = staged(known, "known")
     rate = min(1.0, sample / max(1, known.count()))
     key = F.xxhash64("_row", "start", "end", "kind", "label")
     drawn = F.pmod(key, F.lit(1 << 30)) < int(rate * (1 << 30))
