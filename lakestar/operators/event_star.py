@@ -90,10 +90,13 @@ def songplays(
     match: str = "left",
     use_duration: bool = False,
     start: int = 1,
+    row_key: str | None = None,
 ) -> DataFrame:
     """The play fact. Each play meets at most one song, by title and artist (and duration).
 
-    `match="inner"` drops plays without a song. Keys are numbered by start time.
+    `match="inner"` drops plays without a song. Keys are numbered by start time, then by the other
+    columns in their order. `row_key` is a column of `log` that differs from row to row, such as
+    `source_row`: with it plays move once to get their number; without it equal plays are counted first.
     """
     on = ["song", "artist", "length"] if use_duration else ["song", "artist"]
     ids = ["song_id", "artist_id"]
@@ -107,8 +110,12 @@ def songplays(
         F.col("sessionId").alias("session_id"),
         "location",
         F.col("userAgent").alias("user_agent"),
+        *([row_key] if row_key else []),
     )
-    return add_row_numbers(fact, ["start_time"], "songplay_id", start)
+    if row_key is None:
+        return add_row_numbers(fact, ["start_time"], "songplay_id", start)
+    ties = [c for c in fact.columns if c != "start_time"]
+    return add_row_numbers(fact, ["start_time"], "songplay_id", start, ties).drop(row_key)
 
 
 def build_event_star(

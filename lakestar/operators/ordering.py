@@ -1,8 +1,10 @@
 """Row numbers and running sums over a whole table, without a one-task sort.
 
-Both rest on the same step: the rows are range-partitioned by the full sort order, sorted inside
-each partition and checkpointed. Every partition then knows its place in the global order, and
-only one small value per partition has to be carried over to the next one.
+Both rest on the same step. Bounds that cut the full sort order into parts of about equal size are taken
+from a sample as plain values, so the part of a row is a function of the row. The rows are shuffled once,
+by part; what the parts before a row add up to is a small table, one row per part, from a second look at
+the few columns that it needs. No job runs while a plan is built, nothing is checkpointed, and a task
+that runs again after a lost executor finds the same parts.
 """
 
 from __future__ import annotations
@@ -11,41 +13,114 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakestar.session import checkpointed
-
+#: Parts per shuffle partition, and sampled rows per part.
+PARTS, SAMPLED = 2, 20
 # Copies of one row written out from one list.
 BLOCK = 100_000
+#: Hashes are compared as fractions of this.
+RANGE = 1 << 30
 
 
-def _in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """`df` sorted across partitions, with `_part` and the position `_pos` inside it."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    fixed = checkpointed(ranged)
-    # The id is (partition << 33) + position in the partition.
-    row_id = F.monotonically_increasing_id()
-    return fixed.select(
-        "*",
-        F.shiftright(row_id, 33).cast("int").alias("_part"),
-        row_id.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
-    )
+def _split(order: Sequence[str]) -> list[tuple[str, bool]]:
+    """Column names, and whether they descend: a leading minus means so."""
+    return [(c.removeprefix("-"), c.startswith("-")) for c in order]
+
+
+def _sort(order: Sequence[str]) -> list[Column]:
+    """Sort columns: nulls first, or last where the order descends."""
+    return [F.desc(c) if down else F.asc(c) for c, down in _split(order)]
+
+
+def _plain(order: Sequence[str]) -> list[str]:
+    return [c for c, _ in _split(order)]
+
+
+def _descending(value: Column, kind: T.DataType) -> list[Column]:
+    """Values that ascend, nulls last, where `value` descends."""
+    if isinstance(kind, T.IntegralType):
+        turned = F.bitwise_not(value)
+    elif isinstance(kind, T.BooleanType):
+        turned = ~value
+    elif isinstance(kind, T.DateType):
+        turned = -F.unix_date(value)
+    elif isinstance(kind, T.TimestampType):
+        turned = -F.unix_micros(value)
+    elif isinstance(kind, T.TimestampNTZType):
+        turned = F.lit("1970-01-01").cast("timestamp_ntz") - value
+    elif isinstance(kind, T.FractionalType):
+        # Not a number is the largest number.
+        first = F.when(F.isnan(value), 0).otherwise(1) if not isinstance(kind, T.DecimalType) else F.lit(1)
+        return [value.isNull(), first, -value]
+    elif isinstance(kind, T.StringType):
+        # The complement of each half byte, and an end that is larger than all of them.
+        turned = F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    else:
+        raise TypeError(f"no descending order by {kind.simpleString()}")
+    return [value.isNull(), turned]
+
+
+def _key(df: DataFrame, order: Sequence[str]) -> Column:
+    """The order columns as one value that ascends with the order."""
+    schema, parts = df.schema, []
+    for name, down in _split(order):
+        parts += _descending(F.col(name), schema[name].dataType) if down else [F.col(name)]
+    return F.struct(*(c.alias(f"c{i}") for i, c in enumerate(parts)))
+
+
+def bounds(df: DataFrame, order: Sequence[str], parts: int) -> Column:
+    """Up to `parts - 1` keys that cut `df` into parts of about equal size, as one array value: a scalar
+    subquery, evaluated with the query that uses it.
+
+    The sample is drawn by a hash of the order columns, so it is the same whenever it is drawn, and rows
+    equal in them are drawn together and count once: name columns that tell most rows apart.
+    """
+    every = df.agg(F.count("*")).scalar()
+    hashed = F.pmod(F.xxhash64(*_plain(order)), F.lit(RANGE))
+    drawn = df.where(hashed * every <= F.lit(RANGE * SAMPLED * parts))
+    sample = F.sort_array(F.collect_set(_key(df, order)))
+
+    def cut(s: Column) -> Column:
+        number = F.greatest(F.least(F.lit(parts), F.size(s)), F.lit(1))
+        places = F.sequence(F.lit(1), F.greatest(number, F.lit(2)) - 1)
+        return F.transform(places, lambda i: F.get(s, F.floor(i * F.size(s) / number).cast("int")))
+
+    # One value of a list of one, so that the sample is sorted once.
+    return drawn.agg(F.transform(F.array(sample), cut)[0]).scalar()
+
+
+def with_part(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
+    """(`df` with a column of bounds, the number of a row's part in it); rows equal in `order` share a part.
+
+    A binary search for how many bounds the row has reached. The row's key and the bounds go along, so
+    that they are worked out once.
+    """
+    parts = PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = [1 << i for i in reversed(range(parts.bit_length()))]
 
+    def search(acc: Column, step: Column) -> Column:
+        there = F.get(acc["bounds"], acc["at"] + step - 1) <= acc["key"]
+        at = F.when(there, acc["at"] + step).otherwise(acc["at"])
+        return F.struct(at.alias("at"), acc["key"].alias("key"), acc["bounds"].alias("bounds"))
 
-def _tell_copies_apart(df: DataFrame) -> DataFrame:
-    """`df` with `_salt` and `_copy`, which differ between rows equal in all columns.
+    start = F.struct(F.lit(0).alias("at"), _key(df, order).alias("key"), F.col("_bounds").alias("bounds"))
+    part = F.aggregate(F.array(*map(F.lit, steps)), start, search, lambda acc: acc["at"])
+    return df.select("*", bounds(df, order, parts).alias("_bounds")), part.alias("_part")
 
-    Equal rows are counted per input partition and written out again with a running number. This
-    does not depend on the order in which a task sees its rows, so a task that runs again after a
-    lost executor gives the same result; and no count exceeds the rows of one input partition.
+
+def _tell_copies_apart(df: DataFrame, counts: str, copy: str) -> DataFrame:
+    """Every row of `df` as often as its column `counts` says, with `copy` from 0.
+
+    In two steps with a shuffle of the blocks between them, so that no list gets long and the copies of
+    one row are written by many tasks.
     """
-    salted = df.withColumn("_salt", F.spark_partition_id())
-    counted = salted.groupBy(*salted.columns).agg(F.count("*").alias("_n"))
-    # In two steps, so that no list gets long.
-    starts = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BLOCK).cast("long"))
-    blocks = counted.withColumn("_block", F.explode(starts))
-    end = F.least(F.col("_block") + F.lit(BLOCK - 1), F.col("_n") - 1)
-    copies = blocks.withColumn("_copy", F.explode(F.sequence(F.col("_block"), end)))
-    return copies.drop("_n", "_block")
+    last = F.col(counts) - 1
+    starts = F.sequence(F.lit(0).cast("long"), last, F.lit(BLOCK).cast("long"))
+    blocks = df.withColumn("_block", F.explode(starts))
+    key = F.xxhash64(*df.columns, "_block")
+    end = F.least(F.col("_block") + F.lit(BLOCK - 1), last)
+    return blocks.repartition(key).withColumn(copy, F.explode(F.sequence(F.col("_block"), end))).drop("_block")
 
 
 def add_row_numbers(
@@ -55,36 +130,44 @@ def add_row_numbers(
     start: int = 1,
     ties: Sequence[str] | None = None,
 ) -> DataFrame:
-    """A gapless key in the order of `order`, then `ties` (nulls first).
+    """A gapless key in the order of `order`, then `ties`, then the other columns (nulls first).
 
-    Same numbers as `row_number()` over that order, in which no two rows may be equal. Without
-    `ties` all other columns settle the order and rows may have any number of copies: these are
-    told apart first, so that the range partitioning can cut between them. Name short `ties` for
-    wide rows, as the range partitioning samples the columns it sorts by.
+    `ties` should be short columns that, after `order`, tell most rows apart, such as a natural key or
+    `source_row`: parts are cut by them, and rows move once. Without `ties`, rows may have any number of
+    copies: equal rows are counted, their counts summed up, and the copies written out again; this groups
+    by all columns, so it is for narrow rows.
     """
     columns = df.columns
     if ties is None:
-        rows = _tell_copies_apart(df)
-        ties = [c for c in rows.columns if c not in order]
-    else:
-        rows = df
-    placed = _in_order(rows, _sort([*order, *(c for c in ties if c not in order)]))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    # One row per partition, whatever the size of the data: a window and a broadcast will do.
+        rest = [c for c in columns if c not in _plain(order)]
+        counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+        summed = running_sum(counted, [], [*order, *rest], "_n", "_upto", ties=[])
+        copies = _tell_copies_apart(summed, "_n", "_copy")
+        number = F.col("_upto") - F.col("_n") + F.col("_copy") + F.lit(start)
+        return copies.select(number.alias(name), *columns)
+    full = [*order, *(c for c in ties if c not in _plain(order))]
+    bounded, part = with_part(df, full)
+    sizes = bounded.groupBy(part).agg(F.count("*").alias("_rows"))
+    # One row per part, whatever the size of the data: a window and a broadcast will do.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
-    number = F.col("_off") + F.col("_pos") + F.lit(start)
-    numbered = placed.join(F.broadcast(offsets), "_part")
+    settled = [*full, *(c for c in columns if c not in _plain(full) and _orderable(df, c))]
+    position = F.row_number().over(Window.partitionBy("_part").orderBy(*_sort(settled)))
+    numbered = bounded.select(*columns, part).withColumn("_pos", position).join(F.broadcast(offsets), "_part")
+    number = F.col("_off") + F.col("_pos") + F.lit(start - 1)
     return numbered.select(number.alias(name), *columns)
 
 
-def _sort(order: Sequence[str]) -> list[Column]:
-    """Sort columns from names; a leading minus means descending."""
-    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+def _orderable(df: DataFrame, column: str) -> bool:
+    """Maps and variants have no order."""
+    kind = df.schema[column].dataType.simpleString()
+    return "map<" not in kind and "variant" not in kind
 
 
-def _plain(order: Sequence[str]) -> list[str]:
-    return [c.removeprefix("-") for c in order]
+def source_row(df: DataFrame, name: str = "_row") -> DataFrame:
+    """A table read from files, with the place of each row in them: a key that never changes."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return df.select("*", place.alias(name))
 
 
 def running_sum(
@@ -100,8 +183,8 @@ def running_sum(
 
     `order` names columns, a leading minus means descending. `peers=False` is a ROWS frame, with
     rows equal in `order` taken by `ties` (by default all other columns); `peers=True` is a RANGE
-    frame, where such rows share one result. The rows are spread over range partitions, so no key is
-    too large for a task, and there is one way whatever the size.
+    frame, where such rows share one result. Parts are cut by key and order, so no key is too large
+    for a task, and there is one way whatever the size.
     """
     if ties is None:
         ties = [c for c in df.columns if c not in keys and c not in _plain(order)]
@@ -125,22 +208,19 @@ def _same(columns: Sequence[str]) -> Column:
 def _spread_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
-    placed = _in_order(df, _sort([*keys, *order]))
-    parts = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
+    full = [*keys, *order]
+    bounded, part = with_part(df, full)
+    parts = bounded.groupBy(part, *keys).agg(F.sum(value).alias("_sum"))
     seen = Window.partitionBy(*keys).orderBy("_part")
-    # A partition boundary falls inside at most one key, so the carried sums are fewer than the
-    # partitions and can be broadcast.
-    carried = (
-        parts.withColumn("_nth", F.row_number().over(seen))
-        .withColumn("_carry", F.sum("_sum").over(seen.rowsBetween(Window.unboundedPreceding, -1)))
-        .where(F.col("_nth") > 1)
-        .select(*(F.col(c).alias(f"_r_{c}") for c in ("_part", *keys)), "_carry")
-    )
-    local = Window.partitionBy("_part", *keys).orderBy("_pos")
+    # A bound falls inside at most one key, so the carried sums are fewer than the parts and can be
+    # broadcast.
+    before = F.sum("_sum").over(seen.rowsBetween(Window.unboundedPreceding, -1))
+    named = [F.col(c).alias(f"_r_{c}") for c in ("_part", *keys)]
+    carried = parts.select(*named, F.row_number().over(seen).alias("_nth"), before.alias("_carry")).where("_nth > 1")
+    local = Window.partitionBy("_part", *keys).orderBy(*_sort(order))
     inside = F.sum(value).over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = placed.withColumn("_inside", inside).join(
-        F.broadcast(carried), _same(["_part", *keys]), "left"
-    )
+    placed = bounded.select(*df.columns, part).withColumn("_inside", inside)
+    summed = placed.join(F.broadcast(carried), _same(["_part", *keys]), "left")
     # Null until a value has been seen, as in a plain window.
     total = F.when(
         F.col("_inside").isNotNull() | F.col("_carry").isNotNull(),

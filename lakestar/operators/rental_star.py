@@ -120,21 +120,28 @@ def rental_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame) ->
     )
 
 
-def fact_sales(sales: DataFrame) -> DataFrame:
-    """The sales fact, keyed for the star; see `number_sales` for a sales key."""
+def fact_sales(sales: DataFrame, *more: str) -> DataFrame:
+    """The sales fact, keyed for the star, and `more` columns; see `number_sales` for a sales key."""
     return sales.select(
         calendar.date_key(F.col("payment_date")).alias("date_key"),
         F.col("customer_id").alias("customer_key"),
         F.col("film_id").alias("movie_key"),
         F.col("store_id").alias("store_key"),
         F.col("amount").alias("sales_amount"),
+        *more,
     )
 
 
-def number_sales(fact: DataFrame, start: int = 0) -> DataFrame:
-    """The sales fact with a gapless `sales_key`, in key order."""
+def number_sales(fact: DataFrame, start: int = 0, row_key: str | None = None) -> DataFrame:
+    """The sales fact with a gapless `sales_key`, in key order, then by amount.
+
+    With `row_key`, a column that differs from row to row, sales move once to get their number; without
+    it equal sales are counted first.
+    """
     order: Sequence[str] = ["date_key", "customer_key", "movie_key", "store_key"]
-    return add_row_numbers(fact, order, "sales_key", start)
+    if row_key is None:
+        return add_row_numbers(fact, order, "sales_key", start)
+    return add_row_numbers(fact, order, "sales_key", start, ["sales_amount", row_key]).drop(row_key)
 
 
 def build_rental_star(tables: Mapping[str, DataFrame], as_of: Column) -> dict[str, DataFrame]:

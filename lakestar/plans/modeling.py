@@ -86,8 +86,9 @@ def surrogate_key(spark, sf):
 """)
 def surrogate_key_copies(spark, sf):
     """Numbers from 0 for rows that may be equal."""
-    lines = t.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return ordering.add_row_numbers(lines, ["l_orderkey"], "line_id", start=0)
+    lines = ordering.source_row(t.table(spark, sf, "lineitem")).select("l_orderkey", "l_linenumber", "_row")
+    numbered = ordering.add_row_numbers(lines, ["l_orderkey"], "line_id", 0, ["l_linenumber", "_row"])
+    return numbered.drop("_row")
 
 
 @query("""
@@ -220,8 +221,8 @@ def fact_sales(spark, sf):
            * FROM ({FACT})
 """)
 def fact_sales_keyed(spark, sf):
-    fact = rs.fact_sales(t.sales(spark, sf))
-    return t.in_units(rs.number_sales(fact), "sales_amount")
+    fact = rs.fact_sales(t.sales(spark, sf, line=["_row"]), "_row")
+    return t.in_units(rs.number_sales(fact, row_key="_row"), "sales_amount")
 
 
 @query("""
@@ -361,7 +362,7 @@ def users_dim(spark, sf):
 """)
 def fact_songplays(spark, sf):
     """The play fact with at most one song per play, by title, artist and duration."""
-    return es.songplays(t.log(spark, sf), t.songs_raw(spark, sf), use_duration=True)
+    return es.songplays(t.log(spark, sf), t.songs_raw(spark, sf), use_duration=True, row_key="_row")
 
 
 @query("""

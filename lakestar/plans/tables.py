@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar import schemas
+from lakestar.operators.ordering import source_row
 
 NAMES = list(schemas.GIVEN)
 
@@ -82,9 +83,10 @@ def stores(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFram
     return _placed(spark, sf_dir, supplier, columns).select("store_id", *columns)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their amount in cents."""
-    return table(spark, sf_dir, "lineitem").select(
+def order_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Order lines with their amount in cents; `_row`, if wanted, is their place in the files."""
+    return source_row(table(spark, sf_dir, "lineitem")).select(
+        *more,
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("film_id"),
         F.col("l_suppkey").alias("store_id"),
@@ -104,15 +106,19 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales(
-    spark: SparkSession, sf_dir: str, buyer: Sequence[str] = (), product: Sequence[str] = ()
+    spark: SparkSession,
+    sf_dir: str,
+    buyer: Sequence[str] = (),
+    product: Sequence[str] = (),
+    line: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per order line, with the wanted attributes of buyer and product.
+    """One row per order line, with the wanted attributes of buyer, product and line.
 
     Attributes of the buyer are joined to the orders, which are fewer than their lines, so the
     lines are shuffled by order once whatever the number of order attributes. Join attributes of
     the store after summing per store.
     """
-    bought, lines = orders(spark, sf_dir), order_lines(spark, sf_dir)
+    bought, lines = orders(spark, sf_dir), order_lines(spark, sf_dir, *line)
     if buyer:
         bought = bought.join(buyers(spark, sf_dir, buyer), "customer_id")
     if product:
@@ -160,7 +166,8 @@ def songs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as an activity log: lines not returned are plays of the ordered product."""
+    """Order lines as an activity log: lines not returned are plays of the ordered product. `_row` is
+    their place in the files."""
     part = table(spark, sf_dir, "part").select(
         "p_partkey",
         "p_name",
@@ -169,7 +176,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(10,5)").alias("length"),
     )
     ordered = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = source_row(table(spark, sf_dir, "lineitem")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     joined = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         F.col("_artist").alias("artist"),
@@ -186,6 +193,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("itemInSession"),
         F.col("l_returnflag").alias("location"),
         F.col("l_linestatus").alias("userAgent"),
+        "_row",
     )
 
 

@@ -78,9 +78,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written once to the shared folder, so that later passes see the same partitions."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

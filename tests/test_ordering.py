@@ -77,18 +77,54 @@ def test_hot_key_is_spread_over_tasks(spark):
     )
     summed = ordering.running_sum(one_key, ["k"], ["ts"], "v", "s")
     assert summed.where("s != ts + 1").count() == 0
-    placed = ordering._in_order(one_key, [F.col("k"), F.col("ts")])
+    bounded, part = ordering.with_part(one_key, ["k", "-ts"])
+    placed = bounded.select("ts", part)
     sizes = [r[1] for r in placed.groupBy("_part").count().collect()]
-    assert len(sizes) > 1 and max(sizes) < 20000 / 2
+    assert len(sizes) > 4 and max(sizes) < 20000 / 4
+    cut = placed.groupBy("_part").agg(F.min("ts"), F.max("ts")).orderBy("_part").collect()
+    assert all(after[2] < before[1] for before, after in zip(cut, cut[1:]))
 
 
-def test_copies_of_one_row_are_spread_over_tasks(spark):
+def test_copies_of_one_row_are_written_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BLOCK", 500)
     copies = spark.range(0, 20000, 1, 8).select(F.lit("same").alias("a"))
     numbered = ordering.add_row_numbers(copies, ["a"], "n")
     assert rows(numbered.agg(F.min("n"), F.max("n"), F.count_distinct("n"))) == [(1, 20000, 20000)]
-    told = ordering._tell_copies_apart(copies)
-    placed = ordering._in_order(told, [F.asc(c) for c in told.columns])
-    assert max(r[1] for r in placed.groupBy("_part").count().collect()) < 20000 / 2
+    sizes = numbered.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and max(r[1] for r in sizes) < 20000 * 0.6
+
+
+def test_place_in_the_source_tells_copies_apart(spark, tmp_path):
+    spark.range(0, 6000, 1, 3).select((F.col("id") % 2).alias("a")).write.parquet(str(tmp_path / "t"))
+    table = ordering.source_row(spark.read.parquet(str(tmp_path / "t")))
+    numbered = ordering.add_row_numbers(table, ["-a"], "n", ties=["_row"])
+    assert rows(numbered.groupBy("a").agg(F.min("n"), F.max("n"), F.count_distinct("n"))) == [
+        (0, 3001, 6000, 3000),
+        (1, 1, 3000, 3000),
+    ]
+    bounded, part = ordering.with_part(table, ["a", "_row"])
+    sizes = [r[1] for r in bounded.groupBy(part).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 2000
+
+
+def test_nulls_strings_and_directions(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([None, "a", "b", "c"]), rng.choice([None, 1.5, 2.5]), i) for i in range(500)]
+    df = spark.createDataFrame(data, "s string, x double, i int").repartition(5)
+    for order in (["s", "x", "i"], ["-s", "x", "-i"], ["s", "-x", "i"]):
+        window = Window.orderBy(*ordering._sort(order))
+        expected = df.select(F.row_number().over(window).alias("n"), "i")
+        assert rows(ordering.add_row_numbers(df, order, "n", ties=[]), "n", "i") == rows(expected)
+
+
+def test_no_job_runs_before_an_action(spark, events):
+    spark.sparkContext.setJobGroup("planned", "planned")
+    numbered = ordering.add_row_numbers(events, ["ts"], "n", ties=["id"])
+    summed = ordering.running_sum(events, ["user"], ["ts"], "v", "s")
+    numbered._jdf.queryExecution().executedPlan(), summed._jdf.queryExecution().executedPlan()
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup("planned")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(started) == []
 
 
 def test_checkpoint_folder_is_the_configured_one(spark):
