@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm import bpe, decontam, html, minhash, pii, secrets, substring, topk, toxicity, warc
+from lakestar.llm import align, bpe, decontam, html, importance, markov, minhash, pii, secrets, substring, topk, toxicity, warc
 from lakestar.llm.common import scratch
 from lakestar.llm.spans import count_of, listed
 
@@ -188,3 +188,52 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY shared / (total
 """)
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = align.align(table(spark, sf_dir, "documents"), path_a, path_b, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(r"""
+WITH t0 AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM benchmark),
+e AS (SELECT doc_id, unnest(w) AS x FROM d),
+v AS (SELECT x, hex(encode(x)) AS h FROM (SELECT x FROM e UNION SELECT x FROM b)),
+c AS (
+  SELECT x, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2),
+      lambda i: 16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)),
+    lambda c, z: xor(c // 256, t[xor(c % 256, z) + 1])), 4294967295) % 10000 AS k FROM v, t0),
+s AS (SELECT k, count(*) AS s FROM e JOIN c USING (x) GROUP BY k),
+u AS (SELECT k, count(*) AS t FROM b JOIN c USING (x) GROUP BY k),
+g AS (
+  SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * CAST((SELECT count(*) FROM e) + 10000 AS DOUBLE)
+    / ((s + 1) * CAST((SELECT count(*) FROM b) + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM s LEFT JOIN u USING (k)),
+m AS (SELECT doc_id, CAST(floor(sum(g) / count(*)) AS BIGINT) AS w FROM e JOIN c USING (x) JOIN g USING (k) GROUP BY doc_id),
+h AS (SELECT doc_id, len(w) AS n, sha256('2024:' || doc_id) AS h FROM d),
+z AS (
+  SELECT doc_id, CAST(n AS BIGINT) AS n_features, coalesce(w, 0) AS weight,
+    coalesce(w, 0) + CAST(floor(-1000 * ln(-ln((list_reduce(list_transform(range(1, 9),
+      lambda i: CAST(strpos('0123456789abcdef', h[i]) - 1 AS BIGINT)), lambda a, z: 16 * a + z) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM h LEFT JOIN m USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM z WHERE n_features >= 20),
+q AS (SELECT doc_id, r FROM r WHERE r <= (SELECT count(*) * 10 // 100 FROM r))
+SELECT z.*, r AS rank FROM z LEFT JOIN q USING (doc_id)
+""")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_markov_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return markov.score_texts(table(spark, sf_dir, "documents"), held_out)
