@@ -23,6 +23,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 WIDTH = 8
 MASK = (1 << WIDTH) - 1
 BIT = [1 << i for i in range(1 << WIDTH)]
-#: Texts that are encoded together, and new matches of these that are worth a queue in common.
-TEXTS, MANY = 4096, 1000
-#: Matches that half of a worker's memory holds, and the characters of the longest one.
-REMEMBERED, SHORT = 1 << 18, 64
+#: Bytes of text whose new matches share one queue, and bytes whose ids are held at a time.
+GROUP, SLICE = 8 << 20, 1 << 20
+#: Matches that half of a worker's memory holds before it is renewed, and the characters of the longest one.
+REMEMBERED, SHORT = 1 << 16, 64
 
 
 class Codec:
@@ -153,9 +154,9 @@ class Codec:
         that it would be merged in alone.
         """
         sizes = np.array([len(p) for p in pieces])
-        ids = self.first_ids[np.frombuffer(b"".join(pieces), np.uint8)].copy()
-        owner = np.repeat(np.arange(len(pieces)), sizes)
-        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        ids = self.first_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        owner = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        after, before = (np.arange(x, len(ids) + x, dtype=np.int32) for x in (1, -1))
         ends = np.cumsum(sizes)
         after[ends - 1], before[ends - sizes] = -1, -1
         upper, lower, buckets = 0, {}, {}
@@ -240,7 +241,7 @@ class Codec:
         whole = [(p, self.ranks.get(p.encode())) for p in new]
         self.known.update((p, (rank,)) for p, rank in whole if rank is not None)
         new = [p for p, rank in whole if rank is None]
-        if len(new) >= MANY:
+        if new:
             self.known.update(zip(new, self.merge_all([p.encode() for p in new])))
 
     def pieces(self, text: str) -> list[int]:
@@ -277,8 +278,41 @@ class Codec:
                 out += self.pieces(" " + part)
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    @cached_property
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all tokens in a row, and by id where a token starts and how long it is; -1 is no id."""
+        places = np.zeros((2, max(self.tokens) + 1), np.int32)
+        places[1] = -1
+        listed = list(self.tokens.items())
+        sizes = np.array([len(t) for _, t in listed])
+        ids = [i for i, _ in listed]
+        places[0, ids], places[1, ids] = np.cumsum(sizes) - sizes, sizes
+        return np.frombuffer(b"".join(t for _, t in listed), np.uint8), places[0], places[1]
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The bytes of several lists of ids, which lie in a row with `bounds` between them."""
+        data, start, size = self.flat
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or size[ids].min() < 0):
+            raise ValueError("an id that is not in the vocabulary")
+        sizes = size[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        out = np.empty(ends[-1], np.uint8)
+        # In steps, as places take more room than bytes.
+        step = SLICE
+        for at in range(0, len(ids), step):
+            part = sizes[at : at + step]
+            low, high = ends[at], ends[min(at + step, len(ids))]
+            place = np.arange(high - low, dtype=np.int32) + np.repeat((start[ids[at : at + step]] - (ends[at : at + len(part)] - low)).astype(np.int32), part)
+            out[low:high] = data[place]
+        offsets = pa.array(ends[bounds], pa.int64())
+        return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets.buffers()[1], pa.py_buffer(out)])
+
+
+def _slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Rows in a row that hold about `limit` bytes; a larger one stands alone."""
+    filled = np.cumsum(sizes, dtype=np.int64) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(sizes)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
 
 
 def codec(path: str, pattern: str) -> Codec:
@@ -290,40 +324,54 @@ def codec(path: str, pattern: str) -> Codec:
     return kept[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """`docs` (any columns) with `ids`, an array of int. `path` is the vocabulary's rank file, which
-    every executor has. If `docs` has a column `ids`, that one is left out of the result."""
-    others = [c for c in docs.columns if c.lower() != "ids"]
-    rows = docs.select(*others, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+def _kinds(rows: DataFrame) -> str:
+    """The columns of `rows` but the last, each followed by a comma."""
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+
+
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """`docs` (any columns) with `ids`, an array of int, and if wanted `decoded`, the bytes that these ids decode
+    to, worked out from the ids alone by the same worker. `path` is the vocabulary's rank file, which every executor
+    has. Columns of `docs` with the names of new ones are left out of the result."""
+    added = ["ids", *(["decoded"] if decoded else [])]
+    rows = docs.select(*[c for c in docs.columns if c.lower() not in added], F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, TEXTS):
-                batch = whole.slice(at, TEXTS)
-                texts = batch.column(batch.num_columns - 1).to_pylist()
-                own.prepare(texts)
-                ids = [own.encode(t) for t in texts]
-                found = pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], [*batch.schema.names[:-1], "ids"])
-
-    return rows.mapInArrow(run, f"{kinds}, ids array<int>" if kinds else "ids array<int>")
+        for batch in batches:
+            texts, others = batch.column(batch.num_columns - 1), batch.columns[:-1]
+            names = [*batch.schema.names[:-1], *added]
+            size = pc.binary_length(texts).to_numpy()
+            for low, high in _slices(size, GROUP):
+                own.prepare(texts.slice(low, high - low).to_pylist())
+                for start, stop in _slices(size[low:high], SLICE):
+                    found = [np.array(own.encode(t), np.int32) for t in texts.slice(low + start, stop - start).to_pylist()]
+                    bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+                    ids = np.concatenate(found)
+                    columns = [c.slice(low + start, stop - start) for c in others]
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
+                    if decoded:
+                        columns.append(own.decode_all(ids, bounds).cast(pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.mapInArrow(run, f"{_kinds(rows)}ids array<int>" + (", decoded binary" if decoded else ""))
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """`rows` with `decoded`, the bytes of the ids; null for null. A column of that name is left out."""
-    others = [c for c in rows.columns if c.lower() != "decoded"]
-    kept = rows.select(*others, F.col(ids).alias("_decoded_from"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    kept = rows.select(*[c for c in rows.columns if c.lower() != "decoded"], F.col(ids).alias("_decoded_from"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            lists = (None if x is None else own.decode(x) for x in column.to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lists, pa.binary())], [*batch.schema.names[:-1], "decoded"]
-            )
-
-    return kept.mapInArrow(run, f"{kinds}, decoded binary" if kinds else "decoded binary")
+            lists = batch.column(batch.num_columns - 1)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            for start, stop in _slices(size, SLICE):
+                part = lists.slice(start, stop - start)
+                bounds = np.concatenate([[0], np.cumsum(size[start:stop])])
+                found = own.decode_all(part.flatten().to_numpy(), bounds).cast(pa.binary())
+                found = pc.if_else(pc.is_valid(part), found, pa.scalar(None, pa.binary()))
+                columns = [c.slice(start, stop - start) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, found], [*batch.schema.names[:-1], "decoded"])
+
+    return kept.mapInArrow(run, f"{_kinds(kept)}decoded binary")

@@ -99,8 +99,8 @@ def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
-    return bpe.decode(ids, path, pattern).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, path, pattern, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),

@@ -114,6 +114,25 @@ def test_encoding_is_that_of_the_public_library(docs, texts):
     assert codec.merge_all([w.encode() for w in many if w.encode() not in codec.ranks]) == alone
 
 
+@pytest.mark.parametrize("size", [1, 700, 1 << 20])
+def test_ids_and_bytes_in_one_step_and_in_slices(spark, docs, monkeypatch, size):
+    monkeypatch.setattr(bpe, "SLICE", size)
+    monkeypatch.setattr(bpe, "GROUP", 3 * size)
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    small = docs.where("length(text) < 2000 or text is null")
+    found = bpe.encode(small, RANKS, public_tokenizers.PATTERN, decoded=True)
+    again = rows(bpe.decode(found, RANKS, public_tokenizers.PATTERN), "doc_id", "ids", "decoded")
+    assert again == rows(found, "doc_id", "ids", "decoded")
+    assert rows(found, "doc_id", "decoded") == rows(small.selectExpr("doc_id", "cast(coalesce(text, '') as binary) as b"))
+
+
+def test_null_lists_decode_to_null(spark):
+    lists = spark.createDataFrame([(1, None), (2, []), (3, [64, 65])], "k int, ids array<int>")
+    assert rows(bpe.decode(lists, RANKS, public_tokenizers.PATTERN), "k", "decoded") == [(1, None), (2, b""), (3, b"ab")]
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        bpe.decode(spark.createDataFrame([([99_999_999],)], "ids array<int>"), RANKS, public_tokenizers.PATTERN).collect()
+
+
 def test_toxicity_is_learned_and_judged_on_held_out_rows(spark):
     data, labels = [], []
     for i in range(600):
