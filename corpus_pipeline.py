@@ -57,9 +57,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`doc_id`, `n_tokens`, `ids`, and digests of the ids and of the bytes that they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids")
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return bpe.decode(ids, path, pattern).select(
+    return bpe.encode(docs.select("doc_id", "text"), path, pattern, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
