@@ -15,6 +15,7 @@ Other columns of the input are kept.
 from __future__ import annotations
 
 import base64
+import re
 import sys
 from collections.abc import Iterator
 from functools import cached_property
@@ -33,9 +34,9 @@ WIDTH = 8
 MASK = (1 << WIDTH) - 1
 BIT = [1 << i for i in range(1 << WIDTH)]
 #: Bytes of text whose new matches share one queue, and bytes whose ids are held at a time.
-GROUP, SLICE = 8 << 20, 1 << 20
+GROUP, SLICE = 16 << 20, 1 << 20
 #: Matches that half of a worker's memory holds before it is renewed, and the characters of the longest one.
-REMEMBERED, SHORT = 1 << 16, 64
+REMEMBERED, SHORT = 1 << 17, 64
 
 
 class Codec:
@@ -50,9 +51,10 @@ class Codec:
         space = r"\t\n\v\f\r\x20\x85\xa0  -     　"
         pattern = pattern.replace(r"[^\s", f"[^{space}").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
         self.find = regex.compile(pattern, regex.V0).findall
-        self.odd = regex.compile(r" \s|\s \Z").search
+        self.odd = re.compile(r" \s|\s \Z").search
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
 
     # What only encoding needs is built when it is first asked for.
 
@@ -223,6 +225,7 @@ class Codec:
         """
         if len(self.known) >= REMEMBERED:
             self.older, self.known = self.known, {}
+        self.parts = {}
         parts: set[str] = set()
         for text in texts:
             parts.update(text.split(" "))
@@ -256,26 +259,35 @@ class Codec:
             out += ids
         return out
 
+    def part(self, part: str) -> tuple[int, ...]:
+        """The ids of a space and what follows it up to the next one."""
+        known = self.known.get
+        if part.isalpha():
+            return known(" " + part) or tuple(self.pieces(" " + part))
+        if part[:-1].isalpha():  # what follows letters is a match of its own
+            return (known(" " + part[:-1]) or tuple(self.pieces(" " + part[:-1]))) + (
+                known(part[-1]) or tuple(self.pieces(part[-1]))
+            )
+        return tuple(self.pieces(" " + part))
+
     def encode(self, text: str) -> list[int]:
         """The ids of a text.
 
         A space before something else than white space starts a match, whatever is left of it, if
-        no white space is there. So the parts between single spaces are encoded one by one; a part of
-        letters only is one match, and only other parts are searched for the pattern. Texts with other
-        white space around spaces are searched as a whole.
+        no white space is there. So the parts between single spaces are encoded one by one, each distinct one
+        once in a group of texts; a part of letters only is one match, and only other parts are searched for
+        the pattern. Texts with other white space around spaces are searched as a whole.
         """
         if self.odd(text):
             return self.pieces(text)
         first, *parts = text.split(" ")
-        out, get = self.pieces(first), self.known.get
+        out = self.pieces(first)
+        get, keep = self.parts.get, self.parts
         for part in parts:
-            if part.isalpha():
-                out += get(" " + part) or self.pieces(" " + part)
-            elif part[:-1].isalpha():  # what follows letters is a match of its own
-                out += get(" " + part[:-1]) or self.pieces(" " + part[:-1])
-                out += get(part[-1]) or self.pieces(part[-1])
-            else:
-                out += self.pieces(" " + part)
+            ids = get(part)
+            if ids is None:
+                ids = keep[part] = self.part(part)
+            out += ids
         return out
 
     @cached_property
