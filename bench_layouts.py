@@ -22,7 +22,7 @@ from lakestar.operators.ordering import add_row_numbers
 from lakestar.plans import tables as t
 from lakestar.session import build_session
 from lakestar.sinks.files import write_csv
-from lakestar.sinks.tables import save_bucketed, save_sorted
+from lakestar.sinks.tables import save_colocated, save_sorted
 
 BUCKETS = 16
 
@@ -55,22 +55,23 @@ def main() -> None:
     part = t.benchmark_part(spark, folder)
     supplier = t.benchmark_supplier(spark, folder)
     schema = lines.schema
+    keyed = part.withColumnRenamed("p_partkey", "lo_partkey")
 
     load = {
         "csv": seconds(lambda: write_csv(lines, f"{scratch}/csv")),
         "plain": seconds(lambda: lines.write.saveAsTable("lines_plain")),
-        "bucketed": seconds(lambda: save_bucketed(lines, "lines_dist", ["lo_partkey"], BUCKETS)),
+        "bucketed": seconds(
+            lambda: save_colocated(lines, keyed, ("lines_dist", "part_dist"), "lo_partkey", BUCKETS)
+        ),
         "sorted": seconds(lambda: save_sorted(lines, "lines_sorted", ["lo_orderdate"])),
     }
     part.write.saveAsTable("part_plain")
-    save_bucketed(part, "part_dist", ["p_partkey"], BUCKETS)
     csv = spark.read.schema(schema).csv(f"{scratch}/csv", header=True)
     plain, dist, ordered = (spark.table(f"lines_{n}") for n in ("plain", "dist", "sorted"))
     parts, parts_dist = spark.table("part_plain"), spark.table("part_dist")
 
     def located():
-        keyed = parts_dist.withColumnRenamed("p_partkey", "lo_partkey")
-        joined = colocated_join(dist, keyed, "lo_partkey")
+        joined = colocated_join(dist, parts_dist, "lo_partkey")
         return joined.groupBy("lo_orderdate").agg(F.sum(ssb.discount_revenue()))
 
     def one_dim(table):

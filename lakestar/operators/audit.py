@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -46,14 +47,29 @@ def key_audit(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Nulls per table and column, one pass per table."""
+    """Nulls per table and column.
 
-    def nulls(name: str, df: DataFrame) -> DataFrame:
-        counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))
-        rows = _rows_of(counts, [(c, c) for c in df.columns], "column_name", "num_nulls")
+    Rows and values are counted, which a reader of `session.statistics_session` answers from the footers of
+    the files, without reading a page. Footers cannot tell a null list from an empty one, so lists, structs and
+    maps are looked at one by one, by reading these columns alone.
+    """
+
+    def listed(name: str, counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+        rows = _rows_of(counts, [(c, c) for c in columns], "column_name", "num_nulls")
         return rows.select(F.lit(name).alias("table_name"), "column_name", "num_nulls")
 
-    return _union([nulls(name, df) for name, df in tables.items()])
+    parts = []
+    for name, df in tables.items():
+        nested = [f.name for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+        plain = [c for c in df.columns if c not in nested]
+        if plain:
+            counts = df.agg(F.count("*").alias("_rows"), *(F.count(c).alias(c) for c in plain))
+            missing = counts.select(*((F.col("_rows") - F.col(c)).alias(c) for c in plain))
+            parts.append(listed(name, missing, plain))
+        if nested:
+            found = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in nested))
+            parts.append(listed(name, found, nested))
+    return _union(parts)
 
 
 def each_table(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -90,13 +90,10 @@ def bounds(df: DataFrame, order: Sequence[str], parts: int) -> Column:
     return drawn.agg(F.transform(F.array(sample), cut)[0]).scalar()
 
 
-def with_part(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
-    """(`df` with a column of bounds, the number of a row's part in it); rows equal in `order` share a part.
-
-    A binary search for how many bounds the row has reached. The row's key and the bounds go along, so
-    that they are worked out once.
+def rank_of(df: DataFrame, order: Sequence[str], held: str, parts: int) -> Column:
+    """How many of the bounds in the column `held` a row has reached: a binary search. The row's key and the
+    bounds go along, so that they are worked out once.
     """
-    parts = PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = [1 << i for i in reversed(range(parts.bit_length()))]
 
     def search(acc: Column, step: Column) -> Column:
@@ -104,12 +101,18 @@ def with_part(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
         at = F.when(there, acc["at"] + step).otherwise(acc["at"])
         return F.struct(at.alias("at"), acc["key"].alias("key"), acc["bounds"].alias("bounds"))
 
-    start = F.struct(F.lit(0).alias("at"), _key(df, order).alias("key"), F.col("_bounds").alias("bounds"))
-    part = F.aggregate(F.array(*map(F.lit, steps)), start, search, lambda acc: acc["at"])
-    return df.select("*", bounds(df, order, parts).alias("_bounds")), part.alias("_part")
+    start = F.struct(F.lit(0).alias("at"), _key(df, order).alias("key"), F.col(held).alias("bounds"))
+    return F.aggregate(F.array(*map(F.lit, steps)), start, search, lambda acc: acc["at"])
+
+
+def with_part(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
+    """(`df` with a column of bounds, the number of a row's part in it); rows equal in `order` share a part."""
+    parts = PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = rank_of(df, order, "_bounds", parts).alias("_part")
+    return df.select("*", bounds(df, order, parts).alias("_bounds")), part
 
 
-def _tell_copies_apart(df: DataFrame, counts: str, copy: str) -> DataFrame:
+def written_out(df: DataFrame, counts: str, copy: str) -> DataFrame:
     """Every row of `df` as often as its column `counts` says, with `copy` from 0.
 
     In two steps with a shuffle of the blocks between them, so that no list gets long and the copies of
@@ -142,7 +145,7 @@ def add_row_numbers(
         rest = [c for c in columns if c not in _plain(order)]
         counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
         summed = running_sum(counted, [], [*order, *rest], "_n", "_upto", ties=[])
-        copies = _tell_copies_apart(summed, "_n", "_copy")
+        copies = written_out(summed, "_n", "_copy")
         number = F.col("_upto") - F.col("_n") + F.col("_copy") + F.lit(start)
         return copies.select(number.alias(name), *columns)
     full = [*order, *(c for c in ties if c not in _plain(order))]

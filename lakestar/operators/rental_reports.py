@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions import calendar
-from lakestar.functions.text import capitalized, full_name, group_concat
+from lakestar.functions.text import capitalized, full_name, group_concat, paged_concat
 from lakestar.operators.rental_star import with_place
 
 
@@ -86,6 +86,18 @@ def film_list(
     )
 
 
+def actor_info_pages(
+    actor: DataFrame, roles: DataFrame, page_chars: int = 1 << 16
+) -> DataFrame:
+    """Actors with the titles of each category as pages of text, for actors with any number of films.
+
+    `roles` has `actor_id`, `category` and `title`; a title counts once.
+    """
+    pages = paged_concat(roles, ["actor_id", "category"], "title", "titles", True, page_chars=page_chars)
+    named = actor.select("actor_id", "first_name", "last_name")
+    return named.join(pages, "actor_id")
+
+
 def actor_info(
     actor: DataFrame,
     film_actor: DataFrame,

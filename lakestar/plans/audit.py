@@ -7,8 +7,10 @@ from pyspark.sql.types import NumericType
 
 from lakestar import schemas
 from lakestar.operators import audit
+from lakestar.operators.samples import sample_by, sample_rows
 from lakestar.plans import tables as t
 from lakestar.plans.registry import query
+from lakestar.session import statistics_session
 
 KEYS = {
     "region": "r_regionkey",
@@ -71,6 +73,7 @@ def pk_audit(spark, sf):
     for name, columns in COLUMNS.items() for c in columns
 ))
 def null_audit(spark, sf):
+    spark = statistics_session(spark)
     return audit.null_audit(
         {name: t.table(spark, sf, name).select(*columns) for name, columns in COLUMNS.items()}
     )
@@ -142,3 +145,40 @@ def sample_keys(spark, sf):
         for name, key in KEYS.items()
     }
     return audit.each_table({n: df.orderBy("row_key").limit(5) for n, df in frames.items()})
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+    ORDER BY md5('0|' || o_orderkey), o_orderkey LIMIT 5
+""")
+def sample_of_orders(spark, sf):
+    """Five whole orders, the same ones in every run."""
+    return sample_rows(t.table(spark, sf, "orders"), ["o_orderkey"], 5)
+
+
+@query("""
+    SELECT doc_id, text, lang, source, n_chars FROM documents
+    ORDER BY md5('0|' || doc_id), doc_id LIMIT 5
+""")
+def sample_of_documents(spark, sf):
+    """Five whole documents."""
+    return sample_rows(t.table(spark, sf, "documents"), ["doc_id"], 5)
+
+
+@query("""
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+    QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5('0|' || c_custkey), c_custkey) <= 3
+""")
+def sample_of_segments(spark, sf):
+    """Three whole customers of every segment."""
+    return sample_by(t.table(spark, sf, "customer"), ["c_mktsegment"], ["c_custkey"], 3)
+
+
+@query("""
+    SELECT event_id, ts, user_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('7|' || event_id), event_id) <= 4
+""")
+def sample_of_event_types(spark, sf):
+    """Four whole events of every type."""
+    events = t.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return sample_by(events, ["event_type"], ["event_id"], 4, seed=7)

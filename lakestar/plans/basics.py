@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakestar.functions.text import capitalized, count_values, group_concat, words
+from lakestar.functions.text import capitalized, count_values, group_concat, paged_concat, words
 from lakestar.operators import audit
 from lakestar.operators.joins import first_match
 from lakestar.operators.normalize import denormalize
@@ -350,3 +350,27 @@ def last_day_of_month(spark, sf):
     return t.table(spark, sf, "orders").select(
         "o_orderkey", F.last_day("o_orderdate").alias("month_end")
     )
+
+
+@query("""
+    WITH d AS (SELECT DISTINCT p_type AS category, upper(p_name[1]) || lower(p_name[2:]) AS name FROM part),
+    u AS (
+      SELECT *, sum(length(name) + 2) OVER (PARTITION BY category ORDER BY name
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(name) - 2 AS before FROM d)
+    SELECT category, (before // 1000)::BIGINT AS page, string_agg(name, ', ' ORDER BY name) AS names FROM u GROUP BY 1, 2
+""")
+def nice_names_paged(spark, sf):
+    """The names of a category in cells of bounded size."""
+    part = t.products(spark, sf).select("category", capitalized("title").alias("name"))
+    return paged_concat(part, ["category"], "name", "names", distinct=True, page_chars=1000)
+
+
+@query("""
+    WITH u AS (
+      SELECT p_type AS category, p_brand AS brand, sum(length(p_brand) + 2) OVER (PARTITION BY p_type ORDER BY p_brand
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(p_brand) - 2 AS before FROM part)
+    SELECT category, (before // 1000)::BIGINT AS page, string_agg(brand, ', ' ORDER BY brand) AS brands FROM u GROUP BY 1, 2
+""")
+def string_agg_paged(spark, sf):
+    """Every product's brand, copies included, in cells of bounded size."""
+    return paged_concat(t.products(spark, sf), ["category"], "brand", "brands", page_chars=1000)

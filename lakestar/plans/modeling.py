@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakestar.operators import audit
 from lakestar.operators import event_star as es
-from lakestar.operators import keyed, normalize, ordering
+from lakestar.operators import keyed, keys, normalize, ordering
 from lakestar.operators import rental_star as rs
 from lakestar.plans import tables as t
 from lakestar.plans.registry import query
@@ -379,3 +379,42 @@ def event_star_sizes(spark, sf):
     """The whole event star, built as one; rows per table."""
     star = es.build_event_star(t.songs_raw(spark, sf), t.log(spark, sf))
     return audit.row_counts(star)
+
+
+GROWN = """
+    WITH known AS (
+      SELECT p_type, p_brand, row_number() OVER (ORDER BY p_type, p_brand) AS product_id FROM (
+        SELECT DISTINCT p_type, p_brand FROM part WHERE p_partkey IN (
+          SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-10')
+          AND p_size < 20)),
+    keys AS (
+      SELECT * FROM known UNION ALL
+      SELECT p_type, p_brand, (SELECT coalesce(max(product_id), 0) FROM known)
+             + row_number() OVER (ORDER BY p_type, p_brand)
+      FROM (SELECT DISTINCT p_type, p_brand FROM part ANTI JOIN known USING (p_type, p_brand)))
+"""
+
+
+def _grown(spark, sf):
+    """(all products, the key map of types and brands after a first run on what had been sold early)"""
+    part = t.table(spark, sf, "part").select("p_partkey", "p_type", "p_brand", "p_size")
+    early = t.table(spark, sf, "lineitem").where(F.col("l_shipdate") < t.day("1995-01-10 00:00:00"))
+    sold = part.join(early.select("l_partkey").distinct(), F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+    small = sold.where(F.col("p_size") < 20)
+    return part, keys.extend_keys(small, ["p_type", "p_brand"], "product_id")
+
+
+@query(GROWN + " SELECT * FROM keys")
+def dimension_keys_grown(spark, sf):
+    """The key map after a second run on all products: early values keep their keys."""
+    part, known = _grown(spark, sf)
+    return keys.extend_keys(part, ["p_type", "p_brand"], "product_id", known)
+
+
+@query(GROWN + " SELECT p_partkey, product_id FROM part JOIN keys USING (p_type, p_brand)")
+def keyed_by_grown_map(spark, sf):
+    """All products with the key of that map."""
+    part, known = _grown(spark, sf)
+    grown = keys.extend_keys(part, ["p_type", "p_brand"], "product_id", known)
+    narrow = part.select("p_partkey", "p_type", "p_brand")
+    return keys.replace_by_key(narrow, grown, ["p_type", "p_brand"], "product_id")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakestar.operators import olap
 from lakestar.operators import star_benchmark as ssb
+from lakestar.operators.joins import colocated_join
 from lakestar.plans import tables as t
 from lakestar.plans.registry import query
+from lakestar.session import ensure_checkpoint_dir
+from lakestar.sinks.tables import save_colocated
 
 # The SQL twin of `tables.sales` with all attributes.
 SALES = """
@@ -278,3 +283,21 @@ def ssb_drill(spark, sf):
 def ssb_same_dist(spark, sf):
     sums = ssb.same_dist(t.shipped_lines(spark, sf), t.benchmark_part(spark, sf))
     return _revenue(sums.orderBy("lo_orderdate"))
+
+
+@query("""
+    SELECT l_shipdate AS lo_orderdate,
+           sum(l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))::DOUBLE AS revenue
+    FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY l_shipdate
+""")
+def ssb_same_dist_colocated(spark, sf):
+    """The same question on a pair of tables that are bucketed by product: the join moves no row."""
+    lines = t.shipped_lines(spark, sf)
+    part = t.benchmark_part(spark, sf).select(F.col("p_partkey").alias("lo_partkey"))
+    mark = uuid.uuid4().hex
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/colocated-{mark}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = (f"lines_{mark}", f"part_{mark}")
+    fact, dimension = save_colocated(lines, part, tables, "lo_partkey", buckets, path)
+    joined = colocated_join(fact, dimension, "lo_partkey", "left_semi")
+    return _revenue(joined.groupBy("lo_orderdate").agg(F.sum(ssb.discount_revenue()).alias("revenue")))

@@ -111,6 +111,23 @@ def actor_info_like(spark, sf):
     return r.actor_info(actor, cast, film, links, t.category(spark, sf))
 
 
+@query("""
+    WITH d AS (SELECT DISTINCT l_suppkey, p_type, p_name FROM lineitem JOIN part ON l_partkey = p_partkey),
+    u AS (
+      SELECT *, sum(length(p_name) + 2) OVER (PARTITION BY l_suppkey, p_type ORDER BY p_name
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(p_name) - 2 AS before FROM d)
+    SELECT s_suppkey AS actor_id, split_part(s_name, '#', 1) AS first_name, split_part(s_name, '#', 2) AS last_name,
+           p_type AS category, (before // 500)::BIGINT AS page, string_agg(p_name, ', ' ORDER BY p_name) AS titles
+    FROM u JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL
+""")
+def actor_info_paged(spark, sf):
+    """Suppliers with the titles they sell, by category, in cells that do not grow with the catalogue."""
+    titles = t.products(spark, sf).select("film_id", "category", "title")
+    sold = t.order_lines(spark, sf).select("film_id", F.col("store_id").alias("actor_id")).join(titles, "film_id")
+    actor = t.staff(spark, sf).withColumnRenamed("staff_id", "actor_id")
+    return r.actor_info_pages(actor, sold, page_chars=500)
+
+
 ITEMS = """
     WITH items AS (
       SELECT DISTINCT l_partkey || '-' || l_suppkey AS inventory_id, l_partkey AS film_id,

@@ -57,6 +57,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+def statistics_session(spark: SparkSession) -> SparkSession:
+    """A session beside `spark` whose Parquet reader answers counts, smallest and largest values from the files'
+    footers, where a whole table is asked for them."""
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(key, spark.conf.get(key))
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints: the one the cluster names, or a scratch one in local mode."""
     context = spark.sparkContext

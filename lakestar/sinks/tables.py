@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakestar.operators.joins import SHARE, share_hot_keys
+from lakestar.operators.ordering import bounds, rank_of
+
 
 def create_table(spark: SparkSession, name: str, schema: StructType) -> None:
     """An empty Parquet table unless it is there already."""
@@ -96,8 +99,78 @@ def save_bucketed(
     (writer.sortBy(*sort_keys) if sort_keys else writer).saveAsTable(table)
 
 
-def save_sorted(df: DataFrame, table: str, sort_keys: Sequence[str]) -> None:
-    """A table whose files each cover a narrow range of `sort_keys`, so scans can skip files."""
-    order = [F.col(c) for c in sort_keys]
+def save_colocated(
+    fact: DataFrame,
+    dimension: DataFrame,
+    tables: tuple[str, str],
+    key: str,
+    buckets: int,
+    path: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """A fact and a dimension as two tables bucketed alike, for `operators.joins.colocated_join`.
+
+    Both are bucketed by `key`, which both have, and by the shares of hot keys, so that a key with a
+    third of all rows fills a third of the buckets. A bucket is one sorted file and later one task: choose
+    `buckets` by the size of the fact. Files go below `path`, or to the warehouse.
+    """
+    pair = share_hot_keys(fact, dimension, key, buckets)
+    for df, table in zip(pair, tables):
+        dealt = df.repartition(buckets, key, SHARE).sortWithinPartitions(key, SHARE)
+        writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key, SHARE).sortBy(key, SHARE)
+        (writer.option("path", f"{path}/{table}") if path else writer).saveAsTable(table)
+    return fact.sparkSession.table(tables[0]), fact.sparkSession.table(tables[1])
+
+
+def save_sorted(
+    df: DataFrame, table: str, sort_keys: Sequence[str], ties: Sequence[str] = (), path: str | None = None
+) -> None:
+    """A table whose files each cover a narrow range of `sort_keys`, so scans can skip files.
+
+    `ties` tell rows with equal keys apart, so that a value with many rows fills several files.
+    """
+    order = [F.col(c) for c in (*sort_keys, *ties)]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.write.mode("overwrite").format("parquet").saveAsTable(table)
+    _save(ranged, table, path)
+
+
+def _save(df: DataFrame, table: str, path: str | None) -> None:
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", f"{path}/{table}") if path else writer).saveAsTable(table)
+
+
+#: Ranges that an interleaved layout tells apart in each column, as a power of two.
+BITS = 8
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], name: str = "_z") -> DataFrame:
+    """`df` with a number whose bits are taken in turn from the ranks of `columns`: the first bits of all of
+    them, then the second ones, and so on. A rank is one of 2 ** BITS ranges with about as many values each.
+    """
+    ranked, ranks = df, []
+    for i, column in enumerate(columns):
+        held = f"_bounds{i}"
+        ranked = ranked.withColumn(held, bounds(df.select(column).distinct(), [column], 1 << BITS))
+        ranks.append(rank_of(df, [column], held, 1 << BITS))
+    ranked = ranked.select(*df.columns, *(r.alias(f"_rank{i}") for i, r in enumerate(ranks)))
+    number = F.lit(0).cast("long")
+    for bit in reversed(range(BITS)):
+        for i in range(len(columns)):
+            one = F.shiftright(F.col(f"_rank{i}"), bit).bitwiseAND(F.lit(1))
+            number = number * 2 + one
+    return ranked.select(*df.columns, number.alias(name))
+
+
+def save_interleaved(
+    df: DataFrame, table: str, columns: Sequence[str], ties: Sequence[str], files: int, path: str | None = None
+) -> None:
+    """A table in about `files` files, each of which covers a narrow range of every one of `columns`, so that a
+    filter on any of them, or on several, skips files.
+
+    `ties` tell rows apart that are equal in `columns`: a hot value fills several files. At most seven columns.
+    """
+    if not 1 <= len(columns) <= 7:
+        raise ValueError("one to seven columns")
+    numbered = interleaved(df, columns)
+    order = [F.col(c) for c in ("_z", *columns, *ties)]
+    ranged = numbered.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    _save(ranged.drop("_z"), table, path)

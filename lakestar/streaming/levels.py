@@ -8,10 +8,12 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from lakestar import schemas
 from lakestar.operators.keyed import latest_by
-from lakestar.sinks.files import read_snapshot, write_snapshot
+from lakestar.sinks.ranged import expire, manifest, merge_ranged, read_ranged, write_ranged
 from lakestar.sources.events import with_user_id
 
 ORDER = ["ts", "sessionId", "itemInSession"]
+#: Ranges of users that are written again as one, and versions kept for readers that are still running.
+RANGES, VERSIONS = 256, 3
 
 
 def level_rows(log: DataFrame, action: str = "NextSong") -> DataFrame:
@@ -20,16 +22,19 @@ def level_rows(log: DataFrame, action: str = "NextSong") -> DataFrame:
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, number: int, root: str) -> None:
-    """Writes snapshot `number` from the one before it and a batch of log rows.
+    """Merges a batch of log rows into the user table; only ranges of users that it touches are written again.
 
-    The order columns are part of the table, so a late file cannot bring back an older level, and
-    a batch that is run again writes the same snapshot.
+    The order columns are part of the table, so a late file cannot bring back an older level. The table
+    knows its last batch: one that is run again changes nothing.
     """
     rows = latest_by(level_rows(batch), ["userId"], ORDER)
-    before = read_snapshot(spark, root, schemas.LEVELS, before=number)
-    if before is not None:
-        rows = latest_by(before.unionByName(rows), ["userId"], ORDER)
-    write_snapshot(rows, root, number)
+    known = manifest(spark, root)
+    if known is None:
+        write_ranged(rows, root, ["userId"], RANGES, number)
+    elif known["batch"] < number:
+        newer = lambda old, new: latest_by(old.unionByName(new), ["userId"], ORDER)
+        merge_ranged(spark, root, rows, newer, number)
+        expire(spark, root, VERSIONS)
 
 
 def follow_logs(
@@ -54,5 +59,5 @@ def follow_logs(
 
 def current_levels(spark: SparkSession, root: str) -> DataFrame | None:
     """The user table after the newest batch."""
-    state = read_snapshot(spark, root, schemas.LEVELS)
+    state = read_ranged(spark, root)
     return None if state is None else state.drop(*ORDER)

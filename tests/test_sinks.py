@@ -77,13 +77,12 @@ def test_bucketed_join_has_no_shuffle(spark, plays, settings):
     from lakestar.operators.joins import colocated_join
 
     names = plays.select("session").distinct().selectExpr("session", "concat('s', session) name")
-    tables.save_bucketed(plays, "plays_b", ["session"], 4, ["session"])
-    tables.save_bucketed(names, "names_b", ["session"], 4, ["session"])
-    fact, dim = spark.table("plays_b"), spark.table("names_b")
+    fact, dim = tables.save_colocated(plays, names, ("plays_b", "names_b"), "session", 4)
     joined = colocated_join(fact, dim, "session")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     expected = rows(plays.join(names, "session"))
     assert rows(joined) == expected
+    assert rows(colocated_join(fact, dim.where("session > 3"), "session", "left_semi")) == rows(plays.where("session > 3"))
     tables.save_sorted(plays, "plays_s", ["item"])
     assert spark.table("plays_s").count() == 24
     for name in ("plays_b", "names_b", "plays_s"):
