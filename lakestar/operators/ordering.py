@@ -90,26 +90,23 @@ def bounds(df: DataFrame, order: Sequence[str], parts: int) -> Column:
     return drawn.agg(F.transform(F.array(sample), cut)[0]).scalar()
 
 
-def rank_of(df: DataFrame, order: Sequence[str], held: str, parts: int) -> Column:
-    """How many of the bounds in the column `held` a row has reached: a binary search. The row's key and the
-    bounds go along, so that they are worked out once.
-    """
-    steps = [1 << i for i in reversed(range(parts.bit_length()))]
-
-    def search(acc: Column, step: Column) -> Column:
-        there = F.get(acc["bounds"], acc["at"] + step - 1) <= acc["key"]
-        at = F.when(there, acc["at"] + step).otherwise(acc["at"])
-        return F.struct(at.alias("at"), acc["key"].alias("key"), acc["bounds"].alias("bounds"))
+def with_rank(df: DataFrame, order: Sequence[str], cuts: Column, parts: int, name: str) -> DataFrame:
+    """`df` with `name`, how many of up to `parts - 1` bounds a row has reached.
 
-    start = F.struct(F.lit(0).alias("at"), _key(df, order).alias("key"), F.col(held).alias("bounds"))
-    return F.aggregate(F.array(*map(F.lit, steps)), start, search, lambda acc: acc["at"])
+    A binary search with one projection for each step, which stay in generated code: as a lambda function it
+    takes several times as long.
+    """
+    found = df.select("*", cuts.alias("_bounds"), _key(df, order).alias("_key"), F.lit(0).alias(name))
+    for step in (1 << i for i in reversed(range(parts.bit_length()))):
+        there = F.get("_bounds", F.col(name) + F.lit(step - 1)) <= F.col("_key")
+        found = found.withColumn(name, F.when(there, F.col(name) + F.lit(step)).otherwise(F.col(name)))
+    return found.drop("_bounds", "_key")
 
 
-def with_part(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
-    """(`df` with a column of bounds, the number of a row's part in it); rows equal in `order` share a part."""
+def with_part(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """`df` with `_part`, the number of a row's part; rows equal in `order` share a part."""
     parts = PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = rank_of(df, order, "_bounds", parts).alias("_part")
-    return df.select("*", bounds(df, order, parts).alias("_bounds")), part
+    return with_rank(df, order, bounds(df, order, parts), parts, "_part")
 
 
 def written_out(df: DataFrame, counts: str, copy: str) -> DataFrame:
@@ -149,14 +146,14 @@ def add_row_numbers(
         number = F.col("_upto") - F.col("_n") + F.col("_copy") + F.lit(start)
         return copies.select(number.alias(name), *columns)
     full = [*order, *(c for c in ties if c not in _plain(order))]
-    bounded, part = with_part(df, full)
-    sizes = bounded.groupBy(part).agg(F.count("*").alias("_rows"))
+    placed = with_part(df, full)
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     # One row per part, whatever the size of the data: a window and a broadcast will do.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
     settled = [*full, *(c for c in columns if c not in _plain(full) and _orderable(df, c))]
     position = F.row_number().over(Window.partitionBy("_part").orderBy(*_sort(settled)))
-    numbered = bounded.select(*columns, part).withColumn("_pos", position).join(F.broadcast(offsets), "_part")
+    numbered = placed.withColumn("_pos", position).join(F.broadcast(offsets), "_part")
     number = F.col("_off") + F.col("_pos") + F.lit(start - 1)
     return numbered.select(number.alias(name), *columns)
 
@@ -212,8 +209,8 @@ def _spread_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     full = [*keys, *order]
-    bounded, part = with_part(df, full)
-    parts = bounded.groupBy(part, *keys).agg(F.sum(value).alias("_sum"))
+    placed = with_part(df, full)
+    parts = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
     seen = Window.partitionBy(*keys).orderBy("_part")
     # A bound falls inside at most one key, so the carried sums are fewer than the parts and can be
     # broadcast.
@@ -222,8 +219,7 @@ def _spread_rows(
     carried = parts.select(*named, F.row_number().over(seen).alias("_nth"), before.alias("_carry")).where("_nth > 1")
     local = Window.partitionBy("_part", *keys).orderBy(*_sort(order))
     inside = F.sum(value).over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = bounded.select(*df.columns, part).withColumn("_inside", inside)
-    summed = placed.join(F.broadcast(carried), _same(["_part", *keys]), "left")
+    summed = placed.withColumn("_inside", inside).join(F.broadcast(carried), _same(["_part", *keys]), "left")
     # Null until a value has been seen, as in a plain window.
     total = F.when(
         F.col("_inside").isNotNull() | F.col("_carry").isNotNull(),

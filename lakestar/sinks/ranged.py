@@ -17,11 +17,11 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakestar.operators.ordering import bounds, rank_of
+from lakestar.operators.ordering import bounds, with_rank
 
 #: The range of a row, as a folder.
 RANGE = "range"
@@ -60,10 +60,10 @@ def _commit(spark: SparkSession, root: str, content: dict) -> None:
         raise RuntimeError(f"version {content['version']} of {root} has been written meanwhile")
 
 
-def _range(spark: SparkSession, root: str, df: DataFrame, keys: Sequence[str], ranges: int) -> tuple[DataFrame, Column]:
-    """(`df` with the bounds of the table, the range of a row)."""
-    kept = spark.read.parquet(f"{root}/bounds").agg(F.sort_array(F.collect_list("key"))).scalar()
-    return df.select("*", kept.alias("_bounds")), rank_of(df, keys, "_bounds", ranges)
+def _with_range(spark: SparkSession, root: str, df: DataFrame, keys: Sequence[str], ranges: int) -> DataFrame:
+    """`df` with the range of each row."""
+    cuts = spark.read.parquet(f"{root}/bounds").agg(F.sort_array(F.collect_list("key"))).scalar()
+    return with_rank(df, keys, cuts, ranges, RANGE)
 
 
 def _write(
@@ -71,8 +71,7 @@ def _write(
 ) -> dict[str, str]:
     """Writes rows below a folder of their own, a sorted file or more for each range; returns the ranges with the
     name of that folder."""
-    held, number = _range(spark, root, df, keys, ranges)
-    placed = held.select(*df.columns, number.alias(RANGE)).hint("rebalance", F.col(RANGE))
+    placed = _with_range(spark, root, df, keys, ranges).hint("rebalance", F.col(RANGE))
     name = f"{version}-{uuid.uuid4().hex}"
     path = f"{root}/data/write={name}"
     placed.sortWithinPartitions(RANGE, *keys).write.mode("overwrite").partitionBy(RANGE).parquet(path)
@@ -129,9 +128,9 @@ def merge_ranged(
     """
     content = manifest(spark, root)
     keys, ranges = content["keys"], content["ranges"]
-    held, number = _range(spark, root, source.select(*keys), keys, ranges)
     # No more rows than the table has ranges.
-    touched = {r[0] for r in held.select(number.alias(RANGE)).distinct().collect()}
+    placed = _with_range(spark, root, source.select(*keys), keys, ranges)
+    touched = {r[0] for r in placed.select(RANGE).distinct().collect()}
     version = content["version"] + 1
     kept = {r: w for r, w in content["writes"].items() if int(r) not in touched}
     if touched:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakestar.operators.joins import SHARE, share_hot_keys
-from lakestar.operators.ordering import bounds, rank_of
+from lakestar.operators.ordering import bounds, with_rank
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType) -> None:
@@ -146,12 +146,10 @@ def interleaved(df: DataFrame, columns: Sequence[str], name: str = "_z") -> Data
     """`df` with a number whose bits are taken in turn from the ranks of `columns`: the first bits of all of
     them, then the second ones, and so on. A rank is one of 2 ** BITS ranges with about as many values each.
     """
-    ranked, ranks = df, []
+    ranked = df
     for i, column in enumerate(columns):
-        held = f"_bounds{i}"
-        ranked = ranked.withColumn(held, bounds(df.select(column).distinct(), [column], 1 << BITS))
-        ranks.append(rank_of(df, [column], held, 1 << BITS))
-    ranked = ranked.select(*df.columns, *(r.alias(f"_rank{i}") for i, r in enumerate(ranks)))
+        cuts = bounds(df.select(column).distinct(), [column], 1 << BITS)
+        ranked = with_rank(ranked, [column], cuts, 1 << BITS, f"_rank{i}")
     number = F.lit(0).cast("long")
     for bit in reversed(range(BITS)):
         for i in range(len(columns)):
