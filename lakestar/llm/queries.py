@@ -77,7 +77,7 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH p AS (
-  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages WHERE page_id IS NOT NULL),
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
 SELECT page_id, n AS payload_bytes, d AS payload_digest,
   CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,

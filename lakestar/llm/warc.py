@@ -14,9 +14,9 @@ record. Files are compressed, each as large as what one task writes.
 Of records with equal payloads of at least `least` bytes the one with the smallest id is a response,
 the others are revisits, which carry the digest and the id of that response instead of the payload.
 
-Defined results: a null payload is an empty one. Rows without an id are left out of the archive, as a
-record needs a name. Rows that share id and payload are one record; if they share the id only, each
-payload is a record. Other columns of the input are ignored.
+Defined results: every row is a record, repeated rows too, with a name of its own: the id, the digest of the
+payload and a number that no other row has. A null payload is an empty one. A row without an id is a
+response, as it cannot be smaller than another. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -57,17 +57,17 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
         payloads = batch.column(2).cast(pa.binary())
-        for i, (id, origin, first) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)))):
+        for i, (id, origin, first, copy) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4)))):
             view = memoryview(payloads[i].as_buffer())
             if first is not None:
-                rows.append((id, origin, 0, True, "", origin, len(view), first))
+                rows.append((id, origin, copy, 0, True, "", origin, len(view), first))
                 continue
             running, done = hashlib.sha256(), 0
             for number, piece in enumerate(cuts(view)):
                 running.update(piece)
                 done += len(piece)
                 text = str(piece, "utf-8")
-                rows.append((id, origin, number, done == len(view), text, running.hexdigest(), done, None))
+                rows.append((id, origin, copy, number, done == len(view), text, running.hexdigest(), done, None))
                 held += len(piece)
                 if held > 4 * CHUNK:
                     yield _rows(rows)
@@ -77,31 +77,41 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-    names = ["id", "origin", "chunk", "last", "payload", "digest", "bytes", "first"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    names = ["id", "origin", "copy", "chunk", "last", "payload", "digest", "bytes", "first"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def named(records: DataFrame, id: str = "page_id", payload: str = "html") -> DataFrame:
     """`id`, `origin` (what tells payloads of one id apart: their digest) and `payload`."""
     whole = F.coalesce(F.col(payload), F.lit(""))
-    rows = records.select(F.col(id).cast("long").alias("id"), whole.alias("payload")).where("id is not null")
+    rows = records.select(F.col(id).cast("long").alias("id"), whole.alias("payload"))
     return rows.select("id", F.sha2(F.col("payload").cast("binary"), 256).alias("origin"), "payload")
 
 
 def chunk_table(records: DataFrame) -> DataFrame:
-    """`named` records as chunks: `id`, `origin`, `chunk`, `last`, `payload`, and, of the payload up
-    to here, `digest` and `bytes`. A record with `first`, the id of an equal one, is a single row without
+    """`named` records as chunks: `id`, `origin`, `copy` (what tells equal rows apart), `chunk`, `last`, `payload`,
+    and, of the payload up to here, `digest` and `bytes`. A record with `first`, the id of an equal one, is a single row without
     payload that has the digest and the bytes of the whole."""
-    kinds = "id long, origin string, chunk long, last boolean, payload string, digest string, bytes long, first long"
-    return records.select("id", "origin", "payload", "first").mapInArrow(_chunked, kinds)
+    kinds = "id long, origin string, copy long, chunk long, last boolean, payload string, digest string, bytes long, first long"
+    copy = F.monotonically_increasing_id().alias("copy")
+    return records.select("id", "origin", "payload", "first", copy).mapInArrow(_chunked, kinds)
 
 
-def record_name(id, chunk) -> Column:
-    name = F.concat_ws(":", F.lit("urn:record"), id.cast("string"), F.col("origin"), chunk.cast("string"))
+def _page(id: Column) -> Column:
+    """What rows of equal id and payload have in common."""
+    return F.concat_ws(":", F.coalesce(id.cast("string"), F.lit("none")), F.col("origin"))
+
+
+def record_name(chunk: Column) -> Column:
+    name = F.concat_ws(":", F.lit("urn:record"), _page(F.col("id")), F.col("copy").cast("string"), chunk.cast("string"))
     return F.concat(F.lit("<"), name, F.lit(">"))
 
 
+def target(id: Column) -> Column:
+    return F.concat(F.lit("urn:page:"), _page(id))
+
+
 def write_warc(
     records: DataFrame, path: str, id: str = "page_id", payload: str = "html", least: int = LEAST
 ) -> None:
@@ -126,8 +136,9 @@ def write_warc(
     segment = F.concat(
         fields(
             ("WARC-Type", kind),
-            ("WARC-Record-ID", record_name(F.col("id"), F.col("chunk"))),
-            ("WARC-Segment-Origin-ID", record_name(F.col("id"), whole)),
+            ("WARC-Record-ID", record_name(F.col("chunk"))),
+            ("WARC-Target-URI", target(F.col("id"))),
+            ("WARC-Segment-Origin-ID", record_name(whole)),
             ("WARC-Segment-Number", F.col("chunk") + 1),
             ("WARC-Segment-Last", F.col("last")),
             ("WARC-Prefix-Digest", digest),
@@ -138,8 +149,9 @@ def write_warc(
     )
     revisit = fields(
         ("WARC-Type", F.lit("revisit")),
-        ("WARC-Record-ID", record_name(F.col("id"), whole)),
-        ("WARC-Refers-To", record_name(F.col("first"), whole)),
+        ("WARC-Record-ID", record_name(whole)),
+        ("WARC-Target-URI", target(F.col("id"))),
+        ("WARC-Refers-To-Target-URI", target(F.col("first"))),
         ("WARC-Payload-Digest", digest),
         ("WARC-Payload-Length", F.col("bytes")),
         ("Content-Length", whole),
@@ -149,7 +161,7 @@ def write_warc(
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The chunks of an archive: `id`, `origin`, `type`, `chunk`, `last`, `payload`, and, as the headers
+    """The chunks of an archive: `id`, `origin`, `copy`, `type`, `chunk`, `last`, `payload`, and, as the headers
     state them, `digest`, `bytes` and `refers_to`."""
     lines = spark.read.option("lineSep", BOUNDARY.decode()).text(path).where("value <> ''")
     split = lines.select(
@@ -166,41 +178,41 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     payload = F.when(F.octet_length("rest") == size, F.col("rest")).otherwise(
         F.expr(f"left(rest, length(rest) - {len(END)})")
     )
-    record = r"<urn:record:(-?\d+):"
+    record = r"<urn:record:(-?\d+|none):"
     return split.select(
-        field("WARC-Record-ID", record).cast("long").alias("id"),
-        field("WARC-Record-ID", r"<urn:record:-?\d+:([0-9a-f]*)").alias("origin"),
+        F.nullif(field("WARC-Record-ID", record), F.lit("none")).cast("long").alias("id"),
+        field("WARC-Record-ID", record.replace("(", "(?:") + r"([0-9a-f]*)").alias("origin"),
+        field("WARC-Record-ID", r"[^\r]*:(\d+):\d+>").cast("long").alias("copy"),
         field("WARC-Type").alias("type"),
         (F.coalesce(field("WARC-Segment-Number").cast("long"), F.lit(1)) - 1).alias("chunk"),
         F.coalesce(field("WARC-Segment-Last") == "true", F.lit(True)).alias("last"),
         payload.alias("payload"),
         field("WARC-(?:Prefix|Payload)-Digest", "sha256:([0-9a-f]+)").alias("digest"),
         field("WARC-(?:Prefix|Payload)-Length").cast("long").alias("bytes"),
-        field("WARC-Refers-To", record).cast("long").alias("refers_to"),
+        field("WARC-Refers-To-Target-URI", r"urn:page:(-?\d+):").cast("long").alias("refers_to"),
     )
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs along the chunks of each record, in order, with one digest and one count."""
-    key, running, done, number, before = None, hashlib.sha256(), 0, 0, None
+    key, running, done, number = None, hashlib.sha256(), 0, 0
     for batch in batches:
         out: list[tuple] = []
         payloads = batch.column("payload").cast(pa.binary())
-        rows = zip(*(batch.column(c).to_pylist() for c in ("id", "origin", "type", "chunk", "last", "digest", "bytes", "refers_to")))
-        for i, (id, origin, kind, chunk, last, digest, size, refers) in enumerate(rows):
+        names = ("id", "origin", "copy", "type", "chunk", "last", "digest", "bytes", "refers_to")
+        rows = zip(*(batch.column(c).to_pylist() for c in names))
+        for i, (id, origin, copy, kind, chunk, last, digest, size, refers) in enumerate(rows):
             if kind == "revisit":
                 out.append((id, size, digest, "revisit", refers))
                 continue
-            if (id, origin) != key:
-                key, running, done, number, before = (id, origin), hashlib.sha256(), 0, 0, None
-            if chunk == number - 1 and digest == before:
-                continue  # a repeated row of the input
+            if (id, origin, copy) != key:
+                key, running, done, number = (id, origin, copy), hashlib.sha256(), 0, 0
             piece = memoryview(payloads[i].as_buffer())
             running.update(piece)
             done += len(piece)
             if chunk != number or done != size or running.hexdigest() != digest:
                 raise ValueError(f"record {id}: chunk {chunk} is missing, doubled or damaged")
-            number, before = number + 1, digest
+            number += 1
             if last:
                 out.append((id, done, digest, "response", None))
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
@@ -216,5 +228,6 @@ def check_warc(chunks: DataFrame) -> DataFrame:
     kinds = "id long, bytes long, digest string, type string, refers_to long"
     # Records of one chunk need no other row; only the chunks of longer ones are brought together.
     single = F.expr("chunk = 0 and last")
-    several = chunks.where(~single).repartition("id").sortWithinPartitions("id", "origin", "chunk")
-    return chunks.where(single).mapInArrow(_checked, kinds).union(several.mapInArrow(_checked, kinds)).distinct()
+    record = ["id", "origin", "copy"]
+    several = chunks.where(~single).repartition(*record).sortWithinPartitions(*record, "chunk")
+    return chunks.where(single).mapInArrow(_checked, kinds).union(several.mapInArrow(_checked, kinds))
