@@ -14,7 +14,8 @@ if their sets have a Jaccard similarity of at least `threshold`.
    that no star centre saw is found too.
 
 Defined results: a null or blank text has the empty set and is linked with nothing. Rows without
-an id take part in no link and have no component. Repeated rows have equal results. Ties cannot
+an id take part in no link and have no component. Repeated rows have equal results. Rows that share an id
+but not the text are one document for links: what one of its texts is linked with, all are. Ties cannot
 matter: components are named by their smallest id. Other columns of the input are ignored.
 
 A pair at similarity s shares no band with probability (1 - s^ROWS)^BANDS: 2e-6 at 0.75.
@@ -285,9 +286,11 @@ def near_duplicates(
     buckets = rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
     buckets = buckets.where("centre < last").drop("last")
     members = staged(rows.join(buckets, "key"), "members")
-    sketches = reps.select("id", "sketch").dropDuplicates(["id"])
+    # An id that has several texts stands for several classes, and has a sketch of each.
+    sketches = reps.select("id", "n", "sketch").distinct()
+    first, second = (sketches.select(F.col("id").alias(i), F.col("sketch").alias(s)) for i, s in (("a", "sa"), ("b", "sb")))
     star = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    star = star.distinct().join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+    star = star.distinct().join(first, "a").join(second, "b")
     star = staged(star.select("a", "b", "sa", "sb").mapInArrow(_alike(percent / 100), "a long, b long"), "star")
 
     # Full sets of the documents that have a bucket in common with another one.
@@ -309,7 +312,7 @@ def near_duplicates(
     several = several.where("least < most").drop("least", "most")
     left = members.join(several, "key").withColumn("minor", F.expr("comp <> main"))
     counts = left.where("minor").groupBy("key").agg(F.count("*").alias("few"))
-    left = left.join(counts, "key").join(sketches, "id")
+    left = left.join(counts, "key").join(sketches, ["id", "n"])
     blocks = {"across": F.ceil(F.col("all") / BLOCK), "down": F.ceil(F.col("few") / BLOCK)}
     left = left.withColumns(blocks).withColumns(
         {"i": F.pmod(F.xxhash64("id"), "across"), "j": F.pmod(F.xxhash64(F.lit(1), "id"), "down")}

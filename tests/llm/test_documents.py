@@ -43,6 +43,19 @@ def test_near_duplicates(docs, texts):
     assert rows(minhash.near_duplicates(docs)) == near_brute(texts)
 
 
+def test_an_id_with_two_texts_has_the_links_of_both(spark):
+    texts = []
+    for i in range(20):
+        for side in (0, 1):
+            words = passage(1000 + 2 * i + side, 160).split()
+            texts.append((i, " ".join(words)))
+            # Neighbours at similarities around the threshold.
+            for k, cut in enumerate((18, 22, 26)):
+                texts.append((100 + 10 * i + 5 * side + k, " ".join(words[cut:] + [f"y{i}"])))
+    found = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(4))
+    assert rows(found) == near_brute(texts)
+
+
 def test_near_duplicates_in_a_bucket_of_many(spark):
     """Near copies whose smallest member is alike with few: the rest is linked without it."""
     base = passage(11, 200).split()
