@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lakestar.llm.boosting import CalibratedTrees
 from lakestar.llm.common import staged
-from lakestar.llm.spans import SPAN, ordered, spans
+from lakestar.llm.spans import ONE, SPAN, fold, ordered, spans
 
 #: Proposals that are learned from, about, and the probability that a proposal needs.
 SAMPLE, THRESHOLD = 20_000, 0.8
@@ -250,15 +250,15 @@ def _apart(found: Column) -> Column:
     """Of overlapping proposals the one that starts first, the longest of those."""
     order = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("a"), (-s["end"]).alias("b"), s.alias("s"))))
 
-    def step(acc: Column, x: Column) -> Column:
-        free = x["a"] >= acc["end"]
+    def step(acc: Column, x: Column, _: Column) -> Column:
+        free = x["a"] >= acc["state"]
         return F.struct(
-            F.when(free, -x["b"]).otherwise(acc["end"]).alias("end"),
+            F.when(free, -x["b"]).otherwise(acc["state"]).alias("state"),
             F.when(free, F.array_append(acc["out"], x["s"])).otherwise(acc["out"]).alias("out"),
         )
 
-    start = F.struct(F.lit(0).alias("end"), F.array().cast(SPAN).alias("out"))
-    return F.aggregate(order, start, step, lambda acc: acc["out"])
+    move = lambda end, x: F.when(x["a"] >= end, -x["b"]).otherwise(end)
+    return F.when(found.isNotNull(), fold(order, F.lit(0), move, step, ONE))
 
 
 def redact(text: Column, found: Column) -> Column:
@@ -266,16 +266,21 @@ def redact(text: Column, found: Column) -> Column:
     that they cover is replaced by the kind of the first."""
     order = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k"))))
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["a"] >= acc["at"]
-        piece = F.concat(
-            F.substring(text, acc["at"] + 1, F.greatest(x["a"] - acc["at"], F.lit(0))), F.lit("["), F.upper(x["k"]), F.lit("]")
-        )
+    def stretch(at: Column, items: Column) -> Column:
+        """The text from `at` to the end of a block's spans: looking for a place in the whole text takes as long
+        as the text."""
+        end = F.array_max(F.transform(items, lambda x: x["b"]))
+        return F.struct(at.alias("low"), F.substring(text, at + 1, F.greatest(end - at, F.lit(0))).alias("part"))
+
+    def step(acc: Column, x: Column, known: Column) -> Column:
+        at = acc["state"]
+        between = F.substring(known["part"], at - known["low"] + 1, F.greatest(x["a"] - at, F.lit(0)))
+        piece = F.concat(between, F.lit("["), F.upper(x["k"]), F.lit("]"))
         return F.struct(
-            F.greatest(acc["at"], x["b"]).alias("at"),
-            F.when(fresh, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
+            F.greatest(at, x["b"]).alias("state"),
+            F.when(x["a"] >= at, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    finish = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(found) > 0, F.aggregate(order, start, step, finish)).otherwise(text)
+    move = lambda at, x: F.greatest(at, x["b"])
+    finish = lambda at, out: F.concat(F.array_join(out, ""), F.substring(text, at + 1, F.length(text)))
+    return F.when(F.size(found) > 0, fold(order, F.lit(0), move, step, "string", finish, stretch)).otherwise(text)

@@ -1,6 +1,9 @@
 """Operators on documents against brute force."""
 
 import base64
+import random
+import re
+import time
 
 import public_tokenizers
 import pytest
@@ -218,7 +221,6 @@ def test_secrets(spark):
 
 
 def test_trigram_queries_hold_for_all_that_match():
-    import re
 
     for rule, text in [
         (secrets.BASE[0], 'API_KEY="abcdefgh'), (secrets.BASE[0], "passwd:zzzzzzz"), (secrets.BASE[1], "AKIA" + "A" * 16),
@@ -262,7 +264,6 @@ def test_empty_tables(nothing, spark):
 
 def test_each_looser_kind_is_added(spark):
     """Bases in many texts; each looser form in a few, and what only looks like it."""
-    import random
 
     rng = random.Random(5)
 
@@ -314,3 +315,68 @@ def test_a_hot_minimiser_is_cut_into_windows(spark, texts, monkeypatch):
     monkeypatch.setattr(substring, "HEAVY_BYTES", 1 << 60)
     with pytest.raises(Exception, match="one group has it all"):
         substring.remove_repeats(docs).collect()
+
+
+# --- spans -------------------------------------------------------------------------------------
+
+
+def luhn(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
+
+
+def base_brute(text):
+    """The base kinds of both scans, by the standard library."""
+
+    text = text or ""
+    assign = re.compile(
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
+    )
+    found = {"assign": [m.span() for m in assign.finditer(text) if len(m[2]) >= 6]}
+    found["access"] = [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found["hex"] = [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    found["email"] = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    ips = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+    found["ip"] = [m.span() for m in ips if all(int(p) <= 255 for p in m[0].split("."))]
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    cards = re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
+    found["card"] = [m.span() for m in cards if 16 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    phones = re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+    found["phone"] = [m.span() for m in phones if 8 <= len(digits(m)) <= 15]
+    return found
+
+
+def span_texts():
+    rng = random.Random(12)
+    pieces = ["password=", "Secret: ", "api_key='", "TOKEN:", "hunter22", "AKIA", "ABCD1234EFGH5678", "deadbeef", "0123456789abcdef",
+              "a.b@c.de", "@x", ".", "10.0.0.1", "256.1.1.1", "4111 1111 1111 1111", "5500-0000-0000-0004", "+49 30 1234567", "(0)", " ",
+              "é", "\n", "=", "-", "12", "🙂"]
+    return [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(0, 60)))) for i in range(400)] + [(900, None), (901, "")]
+
+
+def test_base_spans_are_those_of_the_standard_library(spark):
+    data = span_texts()
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    kinds = {"secrets": ["assign", "access", "hex"], "pii": list(pii.BASE)}
+    scans = {
+        "secrets": secrets.find_secrets(frame),
+        "pii": frame.select("doc_id", pii.base_spans(F.coalesce("text", F.lit(""))).alias("spans")),
+    }
+    for scan, found in scans.items():
+        for doc_id, held in found.select("doc_id", "spans").collect():
+            expected = base_brute(dict(data)[doc_id])
+            for kind in kinds[scan]:
+                assert [(s.start, s.end) for s in held if s.kind == kind] == expected[kind], (doc_id, kind)
+
+
+def test_a_text_with_very_many_matches_takes_seconds(spark):
+
+    text = "é write to a.b@c.de or c.d@e.fr, " * 100_000
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.time()
+    found = frame.select(pii.base_spans(F.col("text")).alias("spans")).first().spans
+    assert time.time() - started < 60
+    assert len(found) == 200_000 and all(text[s.start : s.end] == s.value for s in found)
+    frame = spark.createDataFrame([(text[: 33 * 20_000], found[:40_000])], "text string, spans " + pii.SPAN)
+    redacted = frame.select(pii.redact(F.col("text"), F.col("spans"))).first()[0]
+    assert redacted == "é write to [EMAIL] or [EMAIL], " * 20_000
