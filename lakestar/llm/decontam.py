@@ -9,10 +9,14 @@ Jaccard similarity of at least `percent` / 100.
    text can add to a similarity. A window that is not entered at such a place is no better than the next
    one that is, so windows start there. Windows of size n with too few such places for any item of that
    size are left out.
-2. Each window and item gets a 64-bit SimHash: each bit is the majority over the weighted shingles.
+2. Each window and item gets a 64-bit SimHash: each bit is the majority over the weighted shingles. A window
+   slides: along the places of a text, running sums add the shingle that enters and subtract the one that
+   leaves, so the work is linear in the places, however long the items are.
 3. Fingerprints are cut into `RADIUS` + 1 blocks. Two within the radius agree in one block at least, so
    joining on (size, block, bits) finds all of them. Equal fingerprints are joined once.
-4. The pairs are verified exactly.
+4. The pairs are verified exactly, by sliding as well. An item that has a shingle c times shares an occurrence of it
+   with a window if the occurrence is in the window and the c-th one before it is not. That holds for a run
+   of starts, so the starts of runs less their ends up to a window's start are the size of the intersection.
 
 At a similarity of 0.75 the angle between the weighted shingles makes 11 bits differ on average, with a
 deviation of 3; the radius lies four deviations above.
@@ -22,19 +26,20 @@ task only if their written size allows it.
 
 Defined results: null or blank texts and items match nothing. Repeated items and repeated rows of one
 id count once; of several windows the most similar one is reported, the first of these. Rows without an
-id are reported under a null id. Other columns of the input are ignored.
+id are reported under a null id. Items and texts of any length are taken whole (counters are 32 bits wide).
+Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestar.llm.common import GAP, staged
 
 SHINGLE, RADIUS, BITS = 5, 23, 64
-#: Counters of a fingerprint: 16 bits wide, four to a number.
-LANES = 16
+#: Counters of a fingerprint: 32 bits wide, two to a number. A text has fewer words than they count.
+LANES = 32
 
 
 def words(text: Column) -> Column:
@@ -51,27 +56,60 @@ def shingles(found: Column, k: int) -> Column:
 def lanes(h: Column) -> list[Column]:
     """The bits of a hash as counters that can be summed."""
     bit = lambda i: F.shiftright(h, i).bitwiseAND(F.lit(1))
-    return [sum((F.shiftleft(bit(4 * j + i), 16 * i) for i in range(1, 4)), bit(4 * j)) for j in range(LANES)]
+    return [bit(2 * j) + F.shiftleft(bit(2 * j + 1), 32) for j in range(LANES)]
 
 
 def majority(sums: list[Column], n: Column) -> Column:
     """The fingerprint: a bit is set if more than half of the `n` summed hashes have it."""
     out = F.lit(0).cast("long")
     for j, lane in enumerate(sums):
-        for i in range(4):
-            count = F.shiftrightunsigned(lane, 16 * i).bitwiseAND(F.lit(0xFFFF))
-            out = out.bitwiseOR(F.when(count * 2 > n, F.shiftleft(F.lit(1).cast("long"), 4 * j + i)).otherwise(F.lit(0).cast("long")))
+        for i in range(2):
+            count = F.shiftrightunsigned(lane, 32 * i).bitwiseAND(F.lit(0xFFFFFFFF))
+            out = out.bitwiseOR(F.when(count * 2 > n, F.shiftleft(F.lit(1).cast("long"), 2 * j + i)).otherwise(F.lit(0).cast("long")))
     return out
 
 
 def fingerprinted(rows: DataFrame, key: list[str]) -> DataFrame:
-    """One row per `key` of (key, h): `fp`, `m` (how many shingles) and `hs`, each occurrence by itself."""
-    summed = rows.withColumns({f"l{j}": c for j, c in enumerate(lanes(F.col("h")))}).groupBy(*key).agg(
-        F.count("*").alias("m"), F.array_sort(F.collect_list("h")).alias("hs"), *(F.sum(f"l{j}").alias(f"l{j}") for j in range(LANES))
-    )
-    numbered = F.transform("hs", lambda x, i: F.xxhash64(x, i + 1 - F.array_position(F.col("hs"), x)))
-    fp = majority([F.col(f"l{j}") for j in range(LANES)], F.col("m"))
-    return summed.select(*key, "m", fp.alias("fp"), numbered.alias("hs"))
+    """One row per `key` of (key, h): `fp` and `m`, how many shingles."""
+    named = rows.withColumns({f"l{j}": c for j, c in enumerate(lanes(F.col("h")))})
+    summed = named.groupBy(*key).agg(F.count("*").alias("m"), *(F.sum(f"l{j}").alias(f"l{j}") for j in range(LANES)))
+    return summed.select(*key, "m", majority([F.col(f"l{j}") for j in range(LANES)], F.col("m")).alias("fp"))
+
+
+def _slid(hits: DataFrame) -> DataFrame:
+    """For each of `hits`, the window that starts there: `start`, `m` (its hits), `total` (its shingles) and `fp`."""
+    key = ["_row", "n", "k"]
+    span = F.col("n") - F.col("k") + 1
+    # A hit is in the windows that start from `span` - 1 places before it up to its own place. Doubled places
+    # put what enters at a place before the window there, and what leaves after it right behind.
+    enters = F.struct((2 * (F.col("pos") - span + 1)).cast("long").alias("at"), F.lit(1).cast("long").alias("sign"))
+    leaves = F.struct((2 * F.col("pos") + 1).cast("long").alias("at"), F.lit(-1).cast("long").alias("sign"))
+    moves = hits.select("*", F.explode(F.array(enters, leaves)).alias("x")).select(*hits.columns, "x.*").repartition(*key)
+    moves = moves.withColumns({f"l{j}": F.col("sign") * c for j, c in enumerate(lanes(F.col("h")))})
+    to_here = Window.partitionBy(*key).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The row of the window's own hit has subtracted it already.
+    sums = {f"s{j}": F.sum(f"l{j}").over(to_here) - F.col(f"l{j}") for j in range(LANES)}
+    slid = moves.withColumns(sums | {"m": F.sum("sign").over(to_here) + 1}).where("sign < 0")
+    total = F.least(span, F.col("size") - F.col("k") + 1 - F.col("pos"))
+    fp = majority([F.col(f"s{j}") for j in range(LANES)], F.col("m"))
+    return slid.select("_row", "doc_id", "n", "k", F.col("pos").alias("start"), total.alias("total"), "m", fp.alias("fp"))
+
+
+def _shared(pairs: DataFrame, hits: DataFrame, held: DataFrame) -> DataFrame:
+    """`pairs` of windows and items with `shared`, the size of the weighted intersection of their shingles."""
+    wanted = pairs.select("_row", "_item").distinct().join(held, "_item")
+    same = hits.select("_row", "n", "k", "h", "pos").join(wanted, ["_row", "n", "k", "h"])
+    # The places of one shingle in one text, in order.
+    places = same.groupBy("_row", "_item", "n", "k", "h", "c").agg(F.array_sort(F.collect_list("pos")).alias("ps"))
+    placed = F.transform("ps", lambda p, i: F.struct(p.alias("pos"), F.get(F.col("ps"), i - F.col("c")).alias("before")))
+    placed = places.select("_row", "_item", "n", "k", F.explode(placed).alias("x")).select("_row", "_item", "n", "k", "x.*")
+    first = F.greatest(F.col("before") + 1, F.col("pos") - F.col("n") + F.col("k"))
+    run = F.array(F.struct(first.alias("at"), F.lit(1).alias("add")), F.struct((F.col("pos") + 1).alias("at"), F.lit(-1).alias("add")))
+    runs = placed.select("_row", "_item", F.explode(run).alias("x")).select("_row", "_item", "x.*")
+    asked = pairs.withColumns({"at": F.col("start"), "add": F.lit(0)})
+    up_to = Window.partitionBy("_row", "_item").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = asked.unionByName(runs, allowMissingColumns=True).withColumn("shared", F.sum("add").over(up_to))
+    return swept.where("start is not null").drop("at", "add")
 
 
 def _blocks(fp: Column, radius: int) -> Column:
@@ -109,28 +147,20 @@ def contaminated(
         hits = some if hits is None else hits.unionByName(some)
     hits = staged(hits, "hits")
 
-    # Windows: a place and what follows within the item's size, found by blocks of that size.
-    span = F.col("n") - F.col("k") + 1
-    block = F.floor(F.col("pos") / span)
-    starts = hits.select("_row", "doc_id", "n", "k", "size", F.col("pos").alias("start"), F.explode(F.array(block, block + 1)).alias("block"))
-    starts = starts.dropDuplicates(["_row", "n", "k", "start", "block"])
-    inside = hits.select("_row", "n", "k", "pos", "h", block.alias("block"))
-    pairs = starts.join(inside, ["_row", "n", "k", "block"]).where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + span))
-    whole = F.least(span, F.col("size") - F.col("k") + 1 - F.col("start")).alias("total")
     enough = f"{100 + int(percent)} * m >= {int(percent)} * (total + n - k + 1)"
-    windows = fingerprinted(pairs.select("_row", "doc_id", "n", "k", "start", whole, "h"), ["_row", "doc_id", "n", "k", "start", "total"])
-    windows = staged(windows.where(enough), "windows")
-    known = fingerprinted(parts.select("_item", "item_id", "n", "k", "h"), ["_item", "item_id", "n", "k"])
-    known = staged(known.select("_item", "item_id", "n", F.col("fp").alias("ifp"), F.col("hs").alias("is"), F.col("m").alias("im")), "known")
+    windows = staged(_slid(hits).where(enough).drop("m"), "windows")
+    held = parts.groupBy("_item", "n", "k", "h").agg(F.count("*").cast("int").alias("c"))
+    known = fingerprinted(parts, ["_item", "item_id", "n"])
+    known = staged(known.select("_item", "item_id", "n", F.col("fp").alias("ifp"), F.col("m").alias("im")), "known")
 
     seen = windows.select("n", "fp").distinct().withColumn("x", F.explode(_blocks(F.col("fp"), radius))).select("n", "fp", "x.*")
     index = known.select("n", "_item", "ifp", F.explode(_blocks(F.col("ifp"), radius)).alias("x")).select("n", "_item", "ifp", "x.*")
     near = seen.join(index, ["n", "b", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
     near = near.select("n", "fp", "_item").distinct()
 
-    both = windows.join(near, ["n", "fp"]).join(known.drop("n", "ifp"), "_item")
-    both = both.withColumn("shared", F.size(F.array_intersect("hs", "is")))
-    alike = both.where(f"{100 + int(percent)} * shared >= {int(percent)} * (total + im)")
+    pairs = windows.join(near, ["n", "fp"]).join(known.select("_item", "item_id", "im"), "_item")
+    pairs = staged(pairs.select("_row", "_item", "doc_id", "item_id", "n", "start", "total", "im"), "pairs")
+    alike = _shared(pairs, hits, held).where(f"{100 + int(percent)} * shared >= {int(percent)} * (total + im)")
     alike = alike.withColumn("similarity", F.col("shared") / (F.col("total") + F.col("im") - F.col("shared")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("first"), "n")).alias("x")
     return alike.groupBy("doc_id", "item_id").agg(best).select(

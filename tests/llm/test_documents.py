@@ -4,6 +4,7 @@ import base64
 import random
 import re
 import time
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -193,6 +194,43 @@ def test_contaminated_documents(spark):
     assert found.where("doc_id = 2").first().similarity == pytest.approx(31 / 41)
 
 
+def test_contaminated_documents_by_brute_force(spark):
+    """Few different words, so that shingles repeat; the radius is wide enough for all pairs."""
+    rng = random.Random(17)
+    text = lambda n: [rng.choice("abc") for _ in range(n)]
+    items = {i: text(rng.choice([3, 9, 16, 24])) for i in range(25)}
+    docs = {i: text(rng.randrange(40)) for i in range(60)}
+    for i in range(30):
+        item = list(items[rng.randrange(25)])
+        item[rng.randrange(len(item))] = "x"
+        docs[100 + i] = text(6) + item + text(rng.randrange(9))
+
+    def bag(words, k):
+        return Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+
+    want = {}
+    for d, words in docs.items():
+        for i, item in items.items():
+            n, k = len(item), min(5, len(item))
+            of = bag(item, k)
+            for at in range(len(words)):
+                one = bag(words[at : at + n], k)
+                shared, union = sum((one & of).values()), sum((one | of).values())
+                if 100 * shared >= 75 * union:
+                    want[d, i] = max(want.get((d, i), 0), shared / union)
+    made = lambda x, name: spark.createDataFrame([(i, " ".join(t)) for i, t in x.items()], f"{name} long, text string")
+    found = decontam.contaminated(made(docs, "doc_id"), made(items, "item_id"), radius=63).collect()
+    assert len(want) > 40 and {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(want)
+
+
+def test_long_items_take_linear_time(spark):
+    """More shingles than 16 bits count, in an item and in the window that holds it."""
+    item = passage(33, 100_000)
+    docs = spark.createDataFrame([(1, "before it " + item + " and after"), (2, passage(34, 1000))], "doc_id long, text string")
+    found = decontam.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert rows(found, "doc_id", "item_id", "similarity", "start", "n_words") == [(1, 7, 1.0, 2, 100_000)]
+
+
 def test_blocks_find_all_fingerprints_within_the_radius(spark):
     pairs = spark.range(3000).selectExpr("xxhash64(id) a", "id").withColumn(
         "b", F.expr("a ^ shiftleft(xxhash64(id, 1) & 8388607, cast(id % 41 as int))")
