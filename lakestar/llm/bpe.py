@@ -17,9 +17,12 @@ from __future__ import annotations
 import base64
 import re
 import sys
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 from heapq import heappop, heappush
+from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -38,6 +41,9 @@ GROUP, SLICE = 16 << 20, 1 << 20
 #: Matches that half of a worker's memory holds before it is renewed, and the characters of the longest one.
 REMEMBERED, SHORT = 1 << 17, 64
 
+#: The ids of distinct parts in a row, and the bounds between parts.
+Parts = tuple[np.ndarray, np.ndarray]
+
 
 class Codec:
     """A vocabulary of byte strings with ranks, which are the ids."""
@@ -51,10 +57,9 @@ class Codec:
         space = r"\t\n\v\f\r\x20\x85\xa0  -     　"
         pattern = pattern.replace(r"[^\s", f"[^{space}").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
         self.find = regex.compile(pattern, regex.V0).findall
-        self.odd = re.compile(r" \s|\s \Z").search
+        self.gap = re.compile(r" \s").search
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
 
     # What only encoding needs is built when it is first asked for.
 
@@ -217,26 +222,24 @@ class Codec:
         cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
         return [tuple(found[a:b]) for a, b in zip(cuts, cuts[1:])]
 
-    def prepare(self, texts: list[str]) -> None:
-        """Encodes all matches of some texts that are not remembered, together.
+    def odd(self, text: str) -> bool:
+        """Whether a space of a text has white space behind it, or ends the text and has some before it."""
+        return text[-1:] == " " and text[-2:-1].isspace() or self.gap(text) is not None
+
+    def cut(self, part: str) -> Sequence[str]:
+        """The matches in a space and what follows it up to the next one."""
+        if part.isalpha():
+            return (" " + part,)
+        if part[:-1].isalpha():  # what follows letters is a match of its own
+            return (" " + part[:-1], part[-1])
+        return self.find(" " + part)
+
+    def remember(self, pieces: set[str]) -> None:
+        """Encodes matches that are not remembered, together.
 
         The memory has two halves. When the newer one is full it becomes the older one, so what is
         used again stays and what is not goes.
         """
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        self.parts = {}
-        parts: set[str] = set()
-        for text in texts:
-            parts.update(text.split(" "))
-        pieces: set[str] = set()
-        for part in parts:
-            if part.isalpha():
-                pieces.add(" " + part)
-            elif part[:-1].isalpha():
-                pieces.add(" " + part[:-1])
-            else:
-                pieces.update(self.find(" " + part))
         new = [p for p in pieces if p not in self.known and len(p) <= SHORT]
         again = [p for p in new if p in self.older]
         self.known.update((p, self.older[p]) for p in again)
@@ -247,48 +250,45 @@ class Codec:
         if new:
             self.known.update(zip(new, self.merge_all([p.encode() for p in new])))
 
-    def pieces(self, text: str) -> list[int]:
-        """The ids of a text, match by match."""
-        known, out = self.known, []
-        for piece in self.find(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.merge(piece.encode())
-                if len(piece) <= SHORT:
-                    known[piece] = ids
-            out += ids
-        return out
-
-    def part(self, part: str) -> tuple[int, ...]:
-        """The ids of a space and what follows it up to the next one."""
-        known = self.known.get
-        if part.isalpha():
-            return known(" " + part) or tuple(self.pieces(" " + part))
-        if part[:-1].isalpha():  # what follows letters is a match of its own
-            return (known(" " + part[:-1]) or tuple(self.pieces(" " + part[:-1]))) + (
-                known(part[-1]) or tuple(self.pieces(part[-1]))
-            )
-        return tuple(self.pieces(" " + part))
-
-    def encode(self, text: str) -> list[int]:
-        """The ids of a text.
+    def prepare(self, texts: list[str]) -> tuple[list[np.ndarray], Parts]:
+        """The texts as numbers of their distinct parts, and the ids of these parts.
 
         A space before something else than white space starts a match, whatever is left of it, if
         no white space is there. So the parts between single spaces are encoded one by one, each distinct one
-        once in a group of texts; a part of letters only is one match, and only other parts are searched for
-        the pattern. Texts with other white space around spaces are searched as a whole.
+        once; a part of letters only is one match, and only other parts are searched for the pattern. The
+        first part of a text has no space before it. Texts with other white space around spaces are one part.
         """
-        if self.odd(text):
-            return self.pieces(text)
-        first, *parts = text.split(" ")
-        out = self.pieces(first)
-        get, keep = self.parts.get, self.parts
-        for part in parts:
-            ids = get(part)
-            if ids is None:
-                ids = keep[part] = self.part(part)
-            out += ids
-        return out
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        # Parts with a space before them are strings, others are tuples.
+        number: defaultdict[str | tuple[str], int] = defaultdict()
+        number.default_factory = number.__len__
+        numbers = []
+        for text in texts:
+            parts = [text] if self.odd(text) else text.split(" ")
+            parts[0] = (parts[0],)
+            numbers.append(np.fromiter(map(number.__getitem__, parts), np.int32, len(parts)))
+        cuts = [self.cut(part) if type(part) is str else self.find(part[0]) for part in number]
+        self.remember(set(chain.from_iterable(cuts)))
+        ids, ends, known = array("i"), array("q", [0]), self.known.get
+        for found in cuts:
+            for piece in found:
+                ids.extend(known(piece) or self.merge(piece.encode()))
+            ends.append(len(ids))
+        return numbers, (np.array(ids, np.int32), np.array(ends, np.int64))
+
+    def encode_all(self, numbers: list[np.ndarray], parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of several prepared texts in a row, and the bounds between texts."""
+        ids, ends = parts
+        held = np.concatenate(numbers)
+        sizes = np.diff(ends)[held]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(stops[-1]) + np.repeat(ends[held] - stops[:-1], sizes)
+        return ids[places], stops[np.concatenate([[0], np.cumsum([len(x) for x in numbers])])]
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of a text."""
+        return self.encode_all(*self.prepare([text]))[0].tolist()
 
     @cached_property
     def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -355,11 +355,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
             names = [*batch.schema.names[:-1], *added]
             size = pc.binary_length(texts).to_numpy()
             for low, high in _slices(size, GROUP):
-                own.prepare(texts.slice(low, high - low).to_pylist())
+                numbers, parts = own.prepare(texts.slice(low, high - low).to_pylist())
                 for start, stop in _slices(size[low:high], SLICE):
-                    found = [np.array(own.encode(t), np.int32) for t in texts.slice(low + start, stop - start).to_pylist()]
-                    bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])])
-                    ids = np.concatenate(found)
+                    ids, bounds = own.encode_all(numbers[start:stop], parts)
                     columns = [c.slice(low + start, stop - start) for c in others]
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
                     if decoded:
