@@ -28,15 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import LOW, Words, fold
+from lakestar.llm.common import LOW, Words, fold, slices
 
 WINDOW, MINIMISER = 13, 4
 #: Bytes of text of a chunk, and of packed strings of a bucket, about.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+#: Bytes of texts or strings whose words are held at a time: these take some twenty times as much.
+SLICE = 2 << 20
 #: Bytes of packed strings from which a bucket is cut.
 HEAVY_BYTES = 4 * BUCKET_BYTES
 
@@ -48,14 +51,22 @@ def _windows(words: Words, texts: int, window: int) -> tuple[np.ndarray, np.ndar
     return starts, _sliding_least(fold(words.hash, MINIMISER), window - MINIMISER + 1)[starts]
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str | None]]:
+    """The texts of batches of any size, about `SLICE` bytes at a time."""
+    for batch in batches:
+        texts = batch.column(0)
+        for low, high in slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), SLICE):
+            yield texts.slice(low, high - low).to_pylist()
+
+
 def _weighed(window: int, buckets: int):
-    """The bytes of the distinct strings of each batch, by bucket."""
+    """The bytes of the distinct strings of each slice of texts, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets)
-        for batch in batches:
-            words = Words(batch.column(0).to_pylist())
-            starts, least = _windows(words, batch.num_rows, window)
+        for texts in _texts(batches):
+            words = Words(texts)
+            starts, least = _windows(words, len(texts), window)
             if not len(starts):
                 continue
             new = np.ones(len(starts), bool)
@@ -151,13 +162,11 @@ def _packed(window: int, buckets: int, heavy: dict[int, tuple[int, int]]):
     return run
 
 
-def _same_bytes(words: Words, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
-    """Whether the windows that start at words `a` and `b` are equal byte by byte."""
-    eight = np.ndarray((len(words.data) + 1,), "<u8", buffer=words.data + bytes(8), strides=(1,))
-    x, y = words.start[a], words.start[b]
-    size = words.end[a + window - 1] - x
-    same = size == words.end[b + window - 1] - y
-    left = np.flatnonzero(same)
+def _same_bytes(data: bytes, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the `size` bytes that start at places `x` and `y` of `data` are equal."""
+    eight = np.ndarray((len(data) + 1,), "<u8", buffer=data + bytes(8), strides=(1,))
+    same = np.ones(len(x), bool)
+    left = np.arange(len(x))
     at = 0
     while len(left):
         mask = LOW[np.minimum(size[left] - at, 8)]
@@ -168,6 +177,33 @@ def _same_bytes(words: Words, a: np.ndarray, b: np.ndarray, window: int) -> np.n
     return same
 
 
+class _Bucket:
+    """The windows of packed strings, in the order of the strings.
+
+    Words are found in about `SLICE` bytes at a time and dropped again. Of each window its hash, its string, its
+    place among the words of that, its first byte and its size stay: a string of few windows has many words.
+    """
+
+    def __init__(self, packed: list[bytes], window: int):
+        unzip = zstandard.ZstdDecompressor()
+        parts = [unzip.decompress(x) for x in packed]
+        found, byte, line = [], 0, 0
+        for low, high in slices(np.array([len(x) + 1 for x in parts]), SLICE):
+            words = Words([b"\n".join(parts[low:high]).decode()])
+            # A string ends where a line feed follows its last word.
+            ends = np.flatnonzero(np.frombuffer(words.data, np.uint8)[words.end] == 10)
+            many = np.diff(ends, prepend=-1) - window + 1
+            of = np.repeat(np.arange(len(ends)), many)
+            place = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+            starts = place + np.repeat(ends + 1 - many - window + 1, many)
+            size = words.end[starts + window - 1] - words.start[starts]
+            codes = fold(words.hash, window)[starts]
+            found.append((codes, (of + line).astype(np.int32), place.astype(np.int32), words.start[starts] + byte, size.astype(np.int32)))
+            byte, line = byte + len(words.data), line + len(ends)
+        self.data = b"\n".join([*parts, b""])
+        self.codes, self.of, self.place, self.begin, self.size = (np.concatenate(x) for x in zip(*found))
+
+
 def _answers(window: int):
     """Of a bucket: for each chunk, the runs of windows of its strings that a smaller document has."""
 
@@ -177,28 +213,22 @@ def _answers(window: int):
         owner = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
         entries = np.concatenate(entries)
         docs = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("docs").to_pylist()])
-        unzip = zstandard.ZstdDecompressor()
-        data = b"\n".join([unzip.decompress(x) for x in table.column("strings").to_pylist()])
-        words = Words([data.decode()])
-        # A string ends where a line feed follows its last word.
-        ends = np.frombuffer(words.data, np.uint8)[words.end] == 10
-        line = np.concatenate([[0], np.cumsum(ends)[:-1]])
-        tail = np.append(np.flatnonzero(ends), len(words))[line]
-        starts = np.flatnonzero(np.arange(len(words)) + window - 1 <= tail)
-        of = line[starts]
-        codes = fold(words.hash, window)[starts]
-        order = np.argsort(codes, kind="stable")
-        head = np.concatenate([[True], np.diff(codes[order]) != 0])
+        own = _Bucket(table.column("strings").to_pylist(), window)
+        of, begin, size = own.of, own.begin, own.size
+        order = np.argsort(own.codes, kind="stable")
+        head = np.ones(len(order), bool)
+        head[1:] = own.codes[order[1:]] != own.codes[order[:-1]]
         group = np.cumsum(head) - 1
-        lead = order[np.flatnonzero(head)][group]
-        differ = np.flatnonzero(~_same_bytes(words, starts[lead], starts[order], window))
-        if len(differ):  # equal hashes of different windows: tell all windows of these groups apart
-            group = _regroup(words, starts, order, group, np.unique(group[differ]), window)
+        again = np.flatnonzero(~head)
+        lead, other = order[np.flatnonzero(head)][group[again]], order[again]
+        differ = (size[lead] != size[other]) | ~_same_bytes(own.data, begin[lead], begin[other], size[other])
+        if differ.any():  # equal hashes of different windows: tell all windows of these groups apart
+            group = _regroup(own, order, group, np.unique(group[again[differ]]))
             again = np.argsort(group, kind="stable")
             order, group = order[again], group[again]
             head = np.concatenate([[True], np.diff(group) != 0])
         least = np.minimum.reduceat(docs[of[order]], np.flatnonzero(head))
-        gone = np.zeros(len(starts), bool)
+        gone = np.zeros(len(order), bool)
         gone[order] = least[np.cumsum(head) - 1] < docs[of[order]]
         hit = np.flatnonzero(gone)
         new = np.ones(len(hit), bool)
@@ -206,8 +236,7 @@ def _answers(window: int):
         first = hit[new]
         last = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1] if len(hit) else hit
         string = of[first]
-        base = np.concatenate([[0], np.flatnonzero(ends) + 1])[string]
-        out = np.stack([entries[string], starts[first] - base, starts[last] - base + window], 1).astype(np.int32)
+        out = np.stack([entries[string], own.place[first], own.place[last] + window], 1).astype(np.int32)
         cuts = np.flatnonzero(np.diff(owner[string])) + 1
         parts = [p for p in np.split(np.arange(len(first)), cuts) if len(p)]
         return pa.table(
@@ -220,13 +249,13 @@ def _answers(window: int):
     return run
 
 
-def _regroup(words, starts, order, group, mixed, window) -> np.ndarray:
+def _regroup(own: _Bucket, order: np.ndarray, group: np.ndarray, mixed: np.ndarray) -> np.ndarray:
     """Numbers of groups, where those in `mixed` are split by the bytes of the windows."""
     group, free = group.copy(), int(group[-1]) + 1
     found: dict[tuple[int, bytes], int] = {}
     for i in np.flatnonzero(np.isin(group, mixed)).tolist():
-        a = starts[order[i]]
-        key = (int(group[i]), words.data[words.start[a] : words.end[a + window - 1]])
+        a = own.begin[order[i]]
+        key = (int(group[i]), own.data[a : a + own.size[order[i]]])
         if key not in found:
             found[key], free = free, free + 1
         group[i] = found[key]

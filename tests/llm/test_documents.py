@@ -111,6 +111,38 @@ def test_windows_with_equal_hashes_are_told_apart(docs, texts, monkeypatch):
     assert rows(substring.remove_repeats(docs)) == repeats_brute(texts)
 
 
+def traced(call):
+    """MB that Python and numpy held at most during a call."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_windows_of_a_large_batch_or_bucket_are_held_in_slices():
+    import pyarrow as pa
+    import zstandard
+
+    texts = [passage(i, 400, 50) for i in range(6000)]
+    batch = pa.record_batch([pa.array(texts)], ["text"])
+    mb = batch.nbytes / 1e6
+    assert mb > 8 and traced(lambda: list(substring._weighed(13, 20)(iter([batch])))) < 15 * mb
+    strings = [" ".join(t.split()[:14]) for t in texts] * 25
+    pieces = [strings[i::50] for i in range(50)]
+    bucket = pa.table({
+        "chunk": pa.array(range(50), pa.int64()),
+        "entries": [pa.array(range(len(p)), pa.int32()).buffers()[1].to_pybytes() for p in pieces],
+        "docs": [pa.array(range(len(p)), pa.int64()).buffers()[1].to_pybytes() for p in pieces],
+        "strings": [zstandard.ZstdCompressor().compress("\n".join(p).encode()) for p in pieces],
+    })
+    mb = sum(map(len, strings)) / 1e6
+    assert mb > 5 and traced(lambda: substring._answers(13)(bucket)) < 15 * mb
+
+
 def test_encoding_is_that_of_the_public_library(docs, texts):
     import tiktoken
 
