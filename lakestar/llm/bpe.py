@@ -32,13 +32,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.llm.common import slices
+
 #: A word of the lower bitmap has 2 ** WIDTH bits.
 WIDTH = 8
 MASK = (1 << WIDTH) - 1
 BIT = [1 << i for i in range(1 << WIDTH)]
 #: Bytes of text whose new matches share one queue, and bytes whose ids are held at a time.
-GROUP, SLICE = 16 << 20, 1 << 20
-#: Matches that half of a worker's memory holds before it is renewed, and the characters of the longest one.
+GROUP, SLICE = 4 << 20, 1 << 20
+#: Matches from which a task's memory of them is renewed before the next group, and the characters of the longest one.
 REMEMBERED, SHORT = 1 << 17, 64
 
 #: The ids of distinct parts in a row, and the bounds between parts.
@@ -59,7 +61,6 @@ class Codec:
         self.find = regex.compile(pattern, regex.V0).findall
         self.gap = re.compile(r" \s").search
         self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
 
     # What only encoding needs is built when it is first asked for.
 
@@ -235,21 +236,18 @@ class Codec:
         return self.find(" " + part)
 
     def remember(self, pieces: set[str]) -> None:
-        """Encodes matches that are not remembered, together.
-
-        The memory has two halves. When the newer one is full it becomes the older one, so what is
-        used again stays and what is not goes.
-        """
+        """Encodes matches that are not remembered, together."""
         new = [p for p in pieces if p not in self.known and len(p) <= SHORT]
-        again = [p for p in new if p in self.older]
-        self.known.update((p, self.older[p]) for p in again)
-        new = [p for p in new if p not in self.known]
         whole = [(p, self.ranks.get(p.encode())) for p in new]
         self.known.update((p, (rank,)) for p, rank in whole if rank is not None)
         new = [p for p, rank in whole if rank is None]
         if new:
             self.known.update(zip(new, self.merge_all([p.encode() for p in new])))
 
+    def forget(self) -> None:
+        """Drops all remembered matches. Workers outlive their tasks, and other stages use them next."""
+        self.known = {}
+
     def prepare(self, texts: list[str]) -> tuple[list[np.ndarray], Parts]:
         """The texts as numbers of their distinct parts, and the ids of these parts.
 
@@ -259,7 +257,7 @@ class Codec:
         first part of a text has no space before it. Texts with other white space around spaces are one part.
         """
         if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
+            self.forget()
         # Parts with a space before them are strings, others are tuples.
         number: defaultdict[str | tuple[str], int] = defaultdict()
         number.default_factory = number.__len__
@@ -320,13 +318,6 @@ class Codec:
         return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets.buffers()[1], pa.py_buffer(out)])
 
 
-def _slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Rows in a row that hold about `limit` bytes; a larger one stands alone."""
-    filled = np.cumsum(sizes, dtype=np.int64) // limit
-    cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(sizes)]
-    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
-
-
 def codec(path: str, pattern: str) -> Codec:
     """The codec of a vocabulary, built once per Python worker: the code of this module comes with each
     task, so what outlives a task is kept in a module of its own."""
@@ -350,19 +341,22 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            texts, others = batch.column(batch.num_columns - 1), batch.columns[:-1]
-            names = [*batch.schema.names[:-1], *added]
-            size = pc.binary_length(texts).to_numpy()
-            for low, high in _slices(size, GROUP):
-                numbers, parts = own.prepare(texts.slice(low, high - low).to_pylist())
-                for start, stop in _slices(size[low:high], SLICE):
-                    ids, bounds = own.encode_all(numbers[start:stop], parts)
-                    columns = [c.slice(low + start, stop - start) for c in others]
-                    columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
-                    if decoded:
-                        columns.append(own.decode_all(ids, bounds).cast(pa.binary()))
-                    yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in batches:
+                texts, others = batch.column(batch.num_columns - 1), batch.columns[:-1]
+                names = [*batch.schema.names[:-1], *added]
+                size = pc.binary_length(texts).to_numpy()
+                for low, high in slices(size, GROUP):
+                    numbers, parts = own.prepare(texts.slice(low, high - low).to_pylist())
+                    for start, stop in slices(size[low:high], SLICE):
+                        ids, bounds = own.encode_all(numbers[start:stop], parts)
+                        columns = [c.slice(low + start, stop - start) for c in others]
+                        columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
+                        if decoded:
+                            columns.append(own.decode_all(ids, bounds).cast(pa.binary()))
+                        yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            own.forget()
 
     return rows.mapInArrow(run, f"{_kinds(rows)}ids array<int>" + (", decoded binary" if decoded else ""))
 
@@ -376,7 +370,7 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFr
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-            for start, stop in _slices(size, SLICE):
+            for start, stop in slices(size, SLICE):
                 part = lists.slice(start, stop - start)
                 bounds = np.concatenate([[0], np.cumsum(size[start:stop])])
                 found = own.decode_all(part.flatten().to_numpy(), bounds).cast(pa.binary())

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.llm.boosting import CalibratedTrees
-from lakestar.llm.common import staged
+from lakestar.llm.common import slices, staged
 
 #: Labelled rows that are learned from, about; words of the lexicon at most; documents a word is in.
 SAMPLE, LEXICON, LEAST_DOCS = 20_000, 400, 4
@@ -44,6 +45,8 @@ SECOND = frozenset(
 #: Characters that stand for letters.
 LOOKALIKE = str.maketrans("013457@$!|", "oieastasil")
 NEAR = 5
+#: Bytes of text whose rows leave a task at a time.
+SLICE = 1 << 20
 FEATURES = [
     "words", "hits", "density", "weight", "strongest", "strong_density", "hidden", "hidden_density", "near_you",
     "you_density", "capitals", "shouted", "exclaims", "punctuation", "stretched", "digits",
@@ -88,17 +91,23 @@ def features(text: str, lexicon: dict[bytes, float]) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, lexicon: dict[bytes, float], text: str = "_text") -> DataFrame:
-    """`docs` with `text` as its last column, which gives way to the features."""
-    rows = docs.select(*[c for c in docs.columns if c != text], text)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+def with_features(docs: DataFrame, lexicon: dict[bytes, float], within: str | None = None) -> DataFrame:
+    """`docs` with the column `_text` replaced by its features. With `within`, the text is that field of the
+    column `row`, which stays, so that a text travels once."""
+    last = "row" if within else "_text"
+    rows = docs.select(*[c for c in docs.columns if c not in ("_text", last)], last)
+    kept = rows.schema.fields if within else rows.schema.fields[:-1]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            found = np.array([features(t.as_py() or "", lexicon) for t in texts], np.float64).reshape(-1, len(FEATURES))
-            columns = [pa.array(found[:, i]) for i in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *FEATURES])
+            texts = pc.struct_field(texts, within) if within else texts
+            for low, high in slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), SLICE):
+                found = np.array([features(t.as_py() or "", lexicon) for t in texts.slice(low, high - low)], np.float64)
+                columns = [c.slice(low, high - low) for c in batch.columns[: len(kept)]]
+                columns += [pa.array(found[:, i]) for i in range(len(FEATURES))]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[: len(kept)], *FEATURES])
 
     return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES))
 
@@ -151,7 +160,8 @@ def score_toxicity(
     taught = staged(docs.select("id", "_text").join(F.broadcast(known), "id").dropDuplicates(["id"]), "labelled")
     lexicon = learn_lexicon(taught)
     trees = CalibratedTrees(FEATURES).fit(with_features(taught.select("label", "fold", "_text"), lexicon))
-    scored = trees.score(with_features(docs, lexicon))
+    within = text if keep and dict(docs.select("row.*").dtypes).get(text) == "string" else None
+    scored = trees.score(with_features(docs, lexicon, within))
     return scored.select(
         *(["row"] if keep else []), F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),

@@ -175,6 +175,49 @@ def test_ids_and_bytes_in_one_step_and_in_slices(spark, docs, monkeypatch, size)
     assert rows(found, "doc_id", "decoded") == rows(small.selectExpr("doc_id", "cast(coalesce(text, '') as binary) as b"))
 
 
+class OneTask:
+    """Stands for a frame of one batch: runs what a task would run."""
+
+    def __init__(self, batch):
+        self.batch, self.columns = batch, batch.schema.names
+
+    def select(self, *columns):
+        return self
+
+    @property
+    def schema(self):
+        from pyspark.sql.types import LongType, StringType, StructType
+
+        return StructType().add("doc_id", LongType()).add("_text", StringType())
+
+    def mapInArrow(self, run, kinds):
+        return list(run(iter([self.batch])))
+
+
+def test_a_worker_holds_little_of_a_large_batch_and_no_matches_after_a_task(spark):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.randrange(10**7):x}q" for _ in range(250)) for _ in range(6000)]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "_text"])
+    codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    codec.merge_all([b"abc"])
+    most = 0
+
+    def remember(pieces, real=codec.remember):
+        nonlocal most
+        real(pieces)
+        most = max(most, len(codec.known))
+
+    codec.remember = remember
+    try:
+        out = bpe.encode(OneTask(batch), RANKS, public_tokenizers.PATTERN, decoded=True)
+    finally:
+        del codec.remember
+    assert [bytes(x) for b in out for x in b.column("decoded").to_pylist()] == [t.encode() for t in texts]
+    assert most < 700_000 and not codec.known
+
+
 def test_null_lists_decode_to_null(spark):
     lists = spark.createDataFrame([(1, None), (2, []), (3, [64, 65])], "k int, ids array<int>")
     assert rows(bpe.decode(lists, RANKS, public_tokenizers.PATTERN), "k", "decoded") == [(1, None), (2, b""), (3, b"ab")]
@@ -202,6 +245,25 @@ def test_toxicity_is_learned_and_judged_on_held_out_rows(spark):
     assert {r.score for r in found if r.doc_id in (9000, 9001)} <= {min(r.score for r in found)}
 
 
+def test_toxicity_of_whole_rows_sends_a_text_once(spark, monkeypatch):
+    """Scores with `keep` are those without; the text travels in the row alone, in slices."""
+    data = [(i, passage(i, 60, 300) + (" blorf you" if i % 4 == 0 else ""), f"s{i}") for i in range(300)]
+    data += [(900, None, "x"), (901, "", None), (None, "blorf", "y"), (0, data[0][1], "z")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SLICE", 3000)
+    kept = toxicity.score_toxicity(docs, labels, keep=True)
+    columns = ["doc_id", "held_out", "score", "predicted"]
+    assert rows(kept, *columns) == rows(toxicity.score_toxicity(docs, labels), *columns)
+    assert rows(kept.select("row.*")) == rows(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    sent = plan[plan.index("MapInArrow") :].split("Project", 1)[1]
+    assert "_text" not in sent.split("\n")[0]
+    # A text that is not a plain column of strings goes beside the row.
+    nested = docs.select("doc_id", F.struct("text").alias("a"))
+    assert rows(toxicity.score_toxicity(nested, labels, text="a.text", keep=True), *columns) == rows(kept, *columns)
+
+
 def test_toxicity_without_labels(docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.score_toxicity(docs, none).collect()} == {0.0}
